@@ -205,6 +205,11 @@ def _tree(fields: tuple[Leaf, ...]) -> tuple[list[tuple | None], list[int]]:
     return labels, lefts
 
 
+def _retyped(a: tuple, b: tuple) -> bool:
+    """Whether a field's type differs; without any value in a file a field has no type there."""
+    return a[3] != b[3] and bool(a[3] and b[3])
+
+
 def _change(a: tuple | None, b: tuple | None) -> float:
     if a is None or b is None or a[0] != b[0]:
         return 0.0 if a == b else APART
@@ -212,7 +217,7 @@ def _change(a: tuple | None, b: tuple | None) -> float:
         return 0.0 if a[1] == b[1] else APART
     if a[1] != b[1]:
         return APART
-    return RENAME * (a[2] != b[2]) + RETYPE * (a[3] != b[3])
+    return RENAME * (a[2] != b[2]) + RETYPE * _retyped(a, b)
 
 
 @lru_cache(maxsize=4096)
@@ -274,7 +279,7 @@ def edit_script(old: tuple[Leaf, ...], new: tuple[Leaf, ...]) -> tuple[tuple[str
     edits = []
     for a, b in kept:
         if a and a[0] == "field":
-            edits += [(b[1], "renamed")] * (a[2] != b[2]) + [(b[1], "retyped")] * (a[3] != b[3])
+            edits += [(b[1], "renamed")] * (a[2] != b[2]) + [(b[1], "retyped")] * _retyped(a, b)
     old_fields = {a[1] for a in gone if a and a[0] == "field"}
     new_fields = {b[1] for b in came if b and b[0] == "field"}
     lasts = {f.rpartition("/")[2]: f for f in old_fields}

@@ -6,9 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
+from .leakage import shared_passages
+from .lookalike import consistent_texts, look_alike_classes, look_alike_pairs
+from .mixture import mixture, mixture_shares, sized_documents
 from .quantiles import percentiles, value_counts
 from .topn import top_items
 
+#: Vocabulary in whose tokens documents are sized.
+RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 TOP_GENES = 10
 QUARTILES = [0.25, 0.5, 0.75]
 AXES = ("x_local_px", "y_local_px", "z")
@@ -61,12 +66,58 @@ def p3_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_axis_name(percentiles(loads, ["cell", "axis"], QUARTILES, weight="w"))
 
 
+def p6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p6_passages(spark, sf_dir).select("doc_id", "item_id")
+
+
+def p6_leaked_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents per leaked test item."""
+    items = table(spark, sf_dir, "eval_items").select("item_id", "bench_name", "lang")
+    return p6_found(spark, sf_dir).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_docs")).join(items, "item_id")
+
+
+def _sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sized_documents(table(spark, sf_dir, "documents"), RANKS)
+
+
+def p7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(_sized(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture_shares(_sized(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return look_alike_pairs(table(spark, sf_dir, "documents"))
+
+
+def p8_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return consistent_texts(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def p8_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return look_alike_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_top_genes": p2_top_genes,
     "p3_found": p3_found,
     "p3_quartiles": p3_quartiles,
     "p3_combined": p3_combined,
+    "p6_found": p6_found,
+    "p6_passages": p6_passages,
+    "p6_leaked_items": p6_leaked_items,
+    "p7_mixture": p7_mixture,
+    "p7_shares": p7_shares,
+    "p8_found": p8_found,
+    "p8_texts": p8_texts,
+    "p8_classes": p8_classes,
 }
 
 _P2 = """

@@ -118,3 +118,9 @@ def chi2_upper_col(x: Column, df: Column) -> Column:
 def normal_quantile_col(p: Column) -> Column:
     """Standard normal quantile as a column."""
     return _udf(lambda u, _: normal_quantile(u), p.cast("double"), F.lit(0.0))
+
+
+def normal_upper_col(z: Column) -> Column:
+    """P(Z > z) of the standard normal as a column."""
+    upper = np.vectorize(lambda v: 0.5 * math.erfc(v / math.sqrt(2)), otypes=[float])
+    return _udf(lambda v, _: upper(v), z.cast("double"), F.lit(0.0))

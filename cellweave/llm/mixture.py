@@ -38,7 +38,7 @@ def token_counts(documents: DataFrame, ranks_path: str, text: str = "text") -> D
     spark = documents.sparkSession
     with open(ranks_path, "rb") as f:
         ranks = spark.sparkContext.broadcast({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)})
-    others = [c for c in documents.columns if c != text]
+    others = [c for c in documents.columns if c not in (text, "n_tokens")]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
@@ -94,7 +94,7 @@ def mix_plan(sized: DataFrame, targets: DataFrame, block_tokens: int) -> DataFra
     wanted = (
         targets.where(F.col("mix_name").isNotNull() & F.col("source").isNotNull())
         .groupBy("mix_name", label.alias("source"))
-        .agg(F.sum(F.greatest(F.coalesce("target_weight", F.lit(0.0)), F.lit(0.0))).alias("w"), F.max(F.greatest(F.coalesce("max_repeats", F.lit(1)), F.lit(0))).alias("repeats"))
+        .agg(F.sum(F.greatest(F.coalesce(F.nanvl("target_weight", F.lit(0.0)), F.lit(0.0)), F.lit(0.0))).alias("w"), F.max(F.greatest(F.coalesce("max_repeats", F.lit(1)), F.lit(0))).alias("repeats"))
     )
     sizes = sized.groupBy("source").agg(F.sum("n_tokens").alias("tokens"))
     mix = Window.partitionBy("mix_name")

@@ -42,8 +42,10 @@ def _partition_pass(keys: list[str], percents: list[float], schema: pa.Schema):
         new = np.zeros(n_rows, dtype=bool)
         new[0] = True
         for k in keys:
-            col = batch.column(k)
-            new[1:] |= pc.fill_null(pc.not_equal(col.slice(1), col.slice(0, n_rows - 1)), True).to_numpy(zero_copy_only=False)
+            here, there = batch.column(k).slice(1), batch.column(k).slice(0, n_rows - 1)
+            new[1:] |= pc.fill_null(pc.not_equal(here, there), False).to_numpy(zero_copy_only=False)
+            if batch.column(k).null_count:
+                new[1:] |= pc.xor(pc.is_null(here), pc.is_null(there)).to_numpy(zero_copy_only=False)
         starts = np.flatnonzero(new)
         ends = np.append(starts[1:], n_rows)
         v = batch.column("v").to_numpy()

@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+csv.field_size_limit(2**31 - 1)  # lines of any length
 DELIMITERS = ",;|\t"
 TYPES = ("none", "integer", "decimal", "text")
 #: Edit costs: a rename is cheaper than a removal and an addition, and only offered to names of one field.
@@ -70,21 +71,10 @@ def _flatten(value: dict, above: str = "") -> Iterator[tuple[str, str | None]]:
             yield path, json.dumps(inner)
 
 
-class _Number(float):
-    """A JSON number that keeps its spelling."""
-
-    def __new__(cls, text: str):
-        made = float.__new__(cls, text)
-        made.text = text
-        return made
-
-    def __repr__(self) -> str:
-        return self.text
-
-
 def _json(line: str) -> list[tuple[str, str | None]]:
+    """Leaves of a JSON line, numbers in their spelling; nothing if it is no object."""
     try:
-        record = json.loads(line.lstrip("﻿"), parse_float=_Number, parse_int=_Number)
+        record = json.loads(line.lstrip("﻿"), parse_float=str, parse_int=str)
     except ValueError:
         return []
     return list(_flatten(record)) if isinstance(record, dict) else []

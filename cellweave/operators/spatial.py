@@ -57,12 +57,12 @@ def radius_edges(points: DataFrame, subset: str, key: str, radius: float) -> Dat
     )
 
 
-def knn_edges(points: DataFrame, subset: str, key: str, k: int, max_rounds: int = 40) -> DataFrame:
+def knn_edges(points: DataFrame, subset: str, key: str, k: int, max_rounds: int = 20) -> DataFrame:
     """(subset, src, dst, dist, rank): the k nearest points of the same subset, ties by key; exact.
 
     Each subset gets a grid in which a cell holds about k points. A round compares the open points with the nine
     cells around them; a point is settled when k neighbours lie within one cell width, for nothing outside
-    the nine cells can be nearer, or when the cells cover the subset. The rest go on with cells twice as wide. Only points in
+    the nine cells can be nearer, or when the cells cover the subset. The rest go on with cells four times as wide. Only points in
     sparse places need further rounds, so no round compares all pairs of a subset.
     """
     pts = saved(points.where(F.col("x").isNotNull() & F.col("y").isNotNull()).select(F.col(subset).alias("sub"), F.col(key).alias("k"), "x", "y"))
@@ -74,7 +74,7 @@ def knn_edges(points: DataFrame, subset: str, key: str, k: int, max_rounds: int
     located = saved(pts.join(grid, "sub"))
     opened, settled = located, None
     for level in range(max_rounds):
-        side = F.col("side") * float(2**level)
+        side = F.col("side") * float(4**level)
         at = lambda c, s=side: F.floor((F.col(c) - F.col(c + "0")) / s).cast("bigint")
         around = F.array(*[F.struct((F.col("bx") + i).alias("bx"), (F.col("by") + j).alias("by")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
         a = (

@@ -72,7 +72,7 @@ def aligned(cells: DataFrame, counts: DataFrame, key: str = "cell_id") -> tuple[
 
 def read_run_ids(spark: SparkSession, root: str, seed: int = 0) -> DataFrame:
     """(Run_Tissue_name, run_ID): from the first line of each run summary; a hash of the slide's name where that says nothing."""
-    lines = spark.read.option("wholetext", True).text(f"{root}/*/Run_*_ExptConfig.txt").select(slide_of_path().alias("Run_Tissue_name"), F.split("value", "\\r?\\n")[0].alias("line"))
+    lines = spark.read.text(f"{root}/*/Run_*_ExptConfig.txt", wholetext=True).select(slide_of_path().alias("Run_Tissue_name"), F.split("value", "\\r?\\n")[0].alias("line"))
     found = F.regexp_extract("line", r"^Run Number: (.+)$", 1)
     made = F.substring(F.sha2(F.concat("Run_Tissue_name", F.lit(f"|{seed}")), 256), 1, 37)
     return lines.select("Run_Tissue_name", F.when(found != "", F.trim(found)).otherwise(made).alias("run_ID"))

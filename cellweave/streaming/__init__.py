@@ -8,10 +8,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ..sources.flatfiles import MOLECULES, slide_of_path
 
 
-def arriving_molecules(spark: SparkSession, root: str, files_per_batch: int = 100) -> DataFrame:
+def arriving_molecules(spark: SparkSession, root: str, pattern: str = "*_tx_file*", files_per_batch: int = 100) -> DataFrame:
     """Molecule files as they are delivered, with the name of their slide's folder."""
     stream = spark.readStream.option("header", True).option("maxFilesPerTrigger", files_per_batch).schema(MOLECULES)
-    return stream.csv(f"{root}/*").withColumn("Run_Tissue_name", slide_of_path())
+    return stream.csv(f"{root}/*/{pattern}").withColumn("Run_Tissue_name", slide_of_path())
 
 
 def keep(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

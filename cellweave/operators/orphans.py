@@ -7,8 +7,8 @@ row with that key stands at that time: a parent row stands from its start (inclu
 Plan: the parent keys are folded into a Bloom filter of 64-bit words, built by one hash aggregation. The
 filter is a relation (word number, bits) of at most `max_words` rows, so its broadcast size is bounded
 whatever the number of parents. Probing it before any shuffle proves most orphans: a key whose bits are
-missing has no parent at any time. What the filter lets through is reduced to distinct (table, key,
-time) and checked by one exact anti join.
+missing has no parent at any time, and is reduced to (table, key, month). What the filter lets through is
+reduced to distinct (table, key, time) and checked by one exact anti join.
 """
 
 from __future__ import annotations
@@ -99,26 +99,15 @@ def orphan_references(
         )
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    proven = probed.where(~F.col("maybe")).select("src_table", "load_month", "ref_key", "n")
     standing = (
         keys.where(F.col("p_key").isNotNull() & F.col("p_start").isNotNull())
         .groupBy("p_key", "p_start")
         .agg(F.max(F.coalesce("p_end", F.lit("9999-12-31").cast("timestamp_ntz"))).alias("p_end"))
     )
-    checked = (
-        probed.where(F.col("maybe"))
-        .join(
-            standing,
-            (F.col("ref_key") == F.col("p_key")) & (F.col("at") >= F.col("p_start")) & (F.col("at") < F.col("p_end")),
-            "left_anti",
-        )
-        .select("src_table", "load_month", "ref_key", "n")
-    )
-    return (
-        proven.unionByName(checked)
-        .groupBy("src_table", "load_month", "ref_key")
-        .agg(F.sum("n").alias("n_rows"))
-    )
+    # what the filter proved has no time left and so meets no parent: both kinds take one path, and the tables are read once
+    same = (F.col("ref_key") == F.col("p_key")) & (F.col("at") >= F.col("p_start")) & (F.col("at") < F.col("p_end"))
+    orphans = probed.join(standing, same, "left_anti")
+    return orphans.groupBy("src_table", "load_month", "ref_key").agg(F.sum("n").alias("n_rows"))
 
 
 def orphan_report(orphans: DataFrame) -> DataFrame:

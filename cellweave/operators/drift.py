@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scratch import saved
+
 csv.field_size_limit(2**31 - 1)  # lines of any length
 DELIMITERS = ",;|\t"
 TYPES = ("none", "integer", "decimal", "text")
@@ -284,8 +286,10 @@ def schema_changes(schemas: DataFrame) -> DataFrame:
     """(stream_name, file_name, field_name, change_kind): edits from the file before in the stream.
 
     Files follow each other by delivered_at, then by name. First files have no edits. The order is found
-    on rows of names and times only; the schemas are joined to it.
+    on rows of names and times only; the schemas are joined to it. They are used three times and kept, so that the
+    lines are read once.
     """
+    schemas = saved(schemas)
     order = Window.partitionBy("stream_name").orderBy("delivered_at", "file_name")
     steps = schemas.select("stream_name", "file_name", F.lag("file_name").over(order).alias("before")).where(
         F.col("before").isNotNull()

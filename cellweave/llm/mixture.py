@@ -169,7 +169,8 @@ def mixture(sized: DataFrame, targets: DataFrame, block_tokens: int = 256, seed:
     """
     sized = sized.select("doc_id", F.lower(F.trim("source")).alias("source"), "n_tokens").where(F.col("source").isNotNull() & (F.col("source") != ""))
     plan = mix_plan(sized, targets, block_tokens)
-    return _slots(plan).join(_segments(sized, block_tokens, seed), ["source", "block"]).select(
+    # sorted on both sides: slots compress so well that their shuffled size would invite a broadcast of all of them
+    return _slots(plan).hint("merge").join(_segments(sized, block_tokens, seed), ["source", "block"]).select(
         "mix_name", "slot", "source", "repeat_no", "doc_id", "token_from", "token_to"
     )
 

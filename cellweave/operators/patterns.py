@@ -104,3 +104,34 @@ def envelope(edges: DataFrame, frame: DataFrame, by: str, r: float, simulations:
     kinds = frame.select(by, F.col("kind").alias("type_j")).distinct()
     g = n.join(kinds, by).join(reached, [by, "sim", "type_i", "type_j"], "left").withColumn("g", F.coalesce("c", F.lit(0)) / F.col("n_i"))
     return g.groupBy(by, "type_i", "type_j").agg(F.min("g").alias("lowest"), F.max("g").alias("highest"))
+
+
+def label_difference_test(edges: DataFrame, frame: DataFrame, by: str, radii: list[float], i: str, j: str, k: str, simulations: int, seed: int) -> DataFrame:
+    """(by, delta, p_value): area of g from i to j minus that to k, against labels dealt out anew among the points of j and k.
+
+    Windows where one of the two curves is missing give no row. Only edges from i to j or k are repeated per simulation.
+    """
+    jk = frame.where(F.col("kind").isin([j, k]))
+    dealt = relabelled(jk, by, simulations, seed).unionByName(jk.select(by, F.lit(0).alias("sim"), "cell_id", "kind"))
+    inner = frame.where(F.col("kind") == i).select(F.col("cell_id").alias("src"), "border")
+    grid = F.explode(F.array(*[F.lit(float(r)) for r in radii]))
+    n = frame.where(F.col("kind") == i).withColumn("r", grid).where(F.col("border") >= F.col("r")).groupBy(by, "r").agg(F.count(F.lit(1)).alias("n_i"))
+    reached = (
+        edges.select("src", "dst", "dist")
+        .join(inner, "src")
+        .join(dealt.withColumnRenamed("cell_id", "dst"), "dst")
+        .groupBy(by, "sim", "kind", "src", "border")
+        .agg(F.min("dist").alias("d"))
+        .withColumn("r", grid)
+        .where((F.col("d") <= F.col("r")) & (F.col("border") >= F.col("r")))
+        .groupBy(by, "sim", "kind", "r")
+        .agg(F.count(F.lit(1)).alias("c"))
+    )
+    step = (max(radii) - min(radii)) / max(1, len(radii) - 1)
+    sims = dealt.select(by, "sim", "kind").distinct()
+    g = sims.join(n, by).join(reached, [by, "sim", "kind", "r"], "left").withColumn("g", F.coalesce("c", F.lit(0)) / F.col("n_i"))
+    area = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("g"))) * step
+    deltas = g.groupBy(by, "sim").agg((area(j) - area(k)).alias("delta")).where(F.col("delta").isNotNull())
+    seen = deltas.where(F.col("sim") == 0).select(by, F.col("delta").alias("seen"))
+    far = F.abs(F.round("delta", 9)) >= F.abs(F.round("seen", 9))
+    return deltas.where(F.col("sim") > 0).join(seen, by).groupBy(by, F.col("seen").alias("delta")).agg(F.avg(far.cast("double")).alias("p_value"))

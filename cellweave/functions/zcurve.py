@@ -18,33 +18,38 @@ def axis_index(coordinate: Column, side: float) -> Column:
     return (strip + F.lit(HALF)).cast("bigint")
 
 
-def _spread(index: Column) -> Column:
-    for shift, mask in _STEPS:
-        index = index.bitwiseOR(F.shiftleft(index, shift)).bitwiseAND(F.lit(mask))
-    return index
-
+def with_morton(df: DataFrame, ix: Column, iy: Column, name: str) -> DataFrame:
+    """df with the interleaved bits of two 31-bit numbers.
 
-def morton(ix: Column, iy: Column) -> Column:
-    """Interleaved bits of two 31-bit numbers."""
-    return _spread(ix).bitwiseOR(F.shiftleft(_spread(iy), 1))
+    Each step of the spreading is a projection of its own: it uses the step before twice, and as one expression
+    the steps would double it each time.
+    """
+    made = df.withColumns({"z_sx": ix, "z_sy": iy})
+    for shift, mask in _STEPS:
+        made = made.withColumns({c: F.col(c).bitwiseOR(F.shiftleft(c, shift)).bitwiseAND(F.lit(mask)) for c in ("z_sx", "z_sy")})
+    return made.withColumn(name, F.col("z_sx").bitwiseOR(F.shiftleft("z_sy", 1))).drop("z_sx", "z_sy")
 
 
-def cover_ranges(rects: DataFrame, id_cols: list[str], ix0: Column, ix1: Column, iy0: Column, iy1: Column, level: Column) -> DataFrame:
-    """Code ranges (lo, hi) that cover grid rectangles; runs of adjacent codes are merged.
+def cover_ranges(rects: DataFrame, id_cols: list[str], ix0: Column, ix1: Column, iy0: Column, iy1: Column, level: Column, merge: bool = True) -> DataFrame:
+    """Code ranges (lo, hi) that cover grid rectangles; runs of adjacent codes are merged, unless `merge` is off.
 
     ix0..iy1 are inclusive strip numbers and `level` the quadtree level of the covering cells (each
     2**level strips wide), chosen by the caller so that a rectangle needs a bounded number of them.
     """
     shift = lambda c: F.call_function("shiftright", c, F.col("z_level"))
-    cells = (
+    cells = with_morton(
         rects.withColumn("z_level", level.cast("int"))
         .withColumns({"z_x0": ix0, "z_x1": ix1, "z_y0": iy0, "z_y1": iy1})
         .withColumn("z_x", F.explode(F.sequence(shift(F.col("z_x0")), shift(F.col("z_x1")))))
-        .withColumn("z_y", F.explode(F.sequence(shift(F.col("z_y0")), shift(F.col("z_y1")))))
-        .select(*id_cols, "z_level", morton(F.col("z_x"), F.col("z_y")).alias("z_code"))
-    )
-    run = F.row_number().over(Window.partitionBy(*id_cols).orderBy("z_code"))
+        .withColumn("z_y", F.explode(F.sequence(shift(F.col("z_y0")), shift(F.col("z_y1"))))),
+        F.col("z_x"),
+        F.col("z_y"),
+        "z_code",
+    ).select(*id_cols, "z_level", "z_code")
     width = F.call_function("shiftleft", F.lit(1).cast("bigint"), 2 * F.col("z_level"))
+    if not merge:  # a range per covering cell: no sorting where there are only a few of them
+        return cells.select(*id_cols, (F.col("z_code") * width).alias("lo"), ((F.col("z_code") + 1) * width - 1).alias("hi"))
+    run = F.row_number().over(Window.partitionBy(*id_cols).orderBy("z_code"))
     return (
         cells.withColumn("z_run", F.col("z_code") - run)
         .groupBy(*id_cols, "z_level", "z_run")

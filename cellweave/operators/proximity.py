@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.zcurve import axis_index, cover_ranges, morton, range_join
+from ..functions.scratch import saved
+from ..functions.zcurve import axis_index, cover_ranges, range_join, with_morton
 
 
 def located(x: Column, y: Column) -> Column:
@@ -41,21 +42,26 @@ def near_pairs(points: DataFrame, radius: float) -> DataFrame:
         .distinct()
         .withColumn("ix", axis_index(F.col("x"), radius))
         .withColumn("iy", axis_index(F.col("y"), radius))
-        .withColumn("code", morton(F.col("ix"), F.col("iy")))
     )
+    pts = saved(with_morton(pts, F.col("ix"), F.col("iy"), "code"))  # used for the groups and for both sides of the pairs
     groups = pts.select("space", "owner", "code", "ix", "iy").distinct()
     top = (1 << 31) - 1
+    # the three by three cells around a cell lie in at most two by two cells of the next level: four ranges
     around = cover_ranges(
-        groups.select("space", F.col("owner").alias("owner_a"), F.col("code").alias("code_a"), "ix", "iy"),
-        ["space", "owner_a", "code_a"],
-        F.greatest(F.col("ix") - 1, F.lit(0)),
-        F.least(F.col("ix") + 1, F.lit(top)),
-        F.greatest(F.col("iy") - 1, F.lit(0)),
-        F.least(F.col("iy") + 1, F.lit(top)),
-        F.lit(0),
+        groups.select("space", F.col("owner").alias("owner_a"), F.col("code").alias("code_a"), F.col("ix").alias("ix_a"), F.col("iy").alias("iy_a")),
+        ["space", "owner_a", "code_a", "ix_a", "iy_a"],
+        F.greatest(F.col("ix_a") - 1, F.lit(0)),
+        F.least(F.col("ix_a") + 1, F.lit(top)),
+        F.greatest(F.col("iy_a") - 1, F.lit(0)),
+        F.least(F.col("iy_a") + 1, F.lit(top)),
+        F.lit(1),
+        merge=False,
     )
-    meeting = range_join(around, groups.select("space", "owner", "code"), ["space"], 4).where(
-        F.col("owner_a") < F.col("owner")
+    touching = (F.abs(F.col("ix") - F.col("ix_a")) <= 1) & (F.abs(F.col("iy") - F.col("iy_a")) <= 1)
+    meeting = (
+        range_join(around, groups, ["space"], 2)
+        .where((F.col("owner_a") < F.col("owner")) & touching)
+        .select("space", "owner_a", "code_a", "owner", "code")
     )
     a = pts.select("space", F.col("owner").alias("owner_a"), F.col("code").alias("code_a"), F.col("key").alias("k1"), F.col("x").alias("x1"), F.col("y").alias("y1"))
     b = pts.select("space", "owner", "code", F.col("key").alias("k2"), F.col("x").alias("x2"), F.col("y").alias("y2"))
@@ -101,8 +107,8 @@ def in_regions(points: DataFrame, regions: DataFrame, side: float, fineness: int
     pts = (
         points.where(located(F.col("x"), F.col("y")) & F.col("space").isNotNull() & F.col("key").isNotNull())
         .select("space", "owner", "key", "x", "y")
-        .withColumn("code", morton(axis_index(F.col("x"), side), axis_index(F.col("y"), side)))
     )
+    pts = with_morton(pts, axis_index(F.col("x"), side), axis_index(F.col("y"), side), "code")
     return (
         range_join(covers, pts, ["space"], bucket_bits)
         .where(F.col("x").between(F.col("x_min"), F.col("x_max")) & F.col("y").between(F.col("y_min"), F.col("y_max")))

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cellweave.functions.zcurve import HALF, axis_index, cover_ranges, morton
+from cellweave.functions.zcurve import HALF, axis_index, cover_ranges, with_morton
 from cellweave.operators import proximity
 from tests.helpers import rows
 
@@ -70,7 +70,7 @@ def test_regions_against_brute_force(spark):
 
 
 def test_codes_and_ranges(spark):
-    codes = spark.createDataFrame([(3, 5), (2**31 - 1, 2**31 - 1), (0, 0)], "x long, y long").select(morton(F.col("x"), F.col("y")).alias("c"))
+    codes = with_morton(spark.createDataFrame([(3, 5), (2**31 - 1, 2**31 - 1), (0, 0)], "x long, y long"), F.col("x"), F.col("y"), "c")
     assert [r.c for r in codes.collect()] == [39, 2**62 - 1, 0]
     strips = spark.createDataFrame([(-0.1,), (0.0,), (25.0,), (1e300,), (-math.inf,)], "v double").select(axis_index(F.col("v"), 10.0).alias("i"))
     assert [r.i - HALF for r in strips.collect()] == [-1, 0, 2, HALF - 1, -(HALF - 1)]

@@ -39,7 +39,7 @@ def cue_words(text: str) -> list[str]:
     Left out: time lines with the number line before them, a WEBVTT line, markup in <> or {} and
     descriptions in [] or (), each within one line.
     """
-    plain = plain_form()(text).replace("﻿", "")
+    plain = plain_form()(text).replace("\ufeff", "")
     return _WORD.findall(_MARKUP.sub(" ", _TIME_LINES.sub("", plain)).lower())
 
 

@@ -38,12 +38,12 @@ LOOKALIKES = (
     "oօ hհ uս qզ gց nո OՕ SՏ LԼ UՍ DᎠ RᎡ TᎢ AᎪ JᎫ EᎬ WᎳ MᎷ HᎻ GᏀ ZᏃ SᏚ VᏙ KᏦ PᏢ LᏞ CᏟ BᏴ"
 ).split()
 # Invisible characters that Unicode does not class as format characters.
-INVISIBLE = "͏ᅟᅠ឴឵᠋᠌᠍ㅤﾠ"
+INVISIBLE = "\u034f\u115f\u1160\u17b4\u17b5\u180b\u180c\u180d\u3164\uffa0"
 
 
 def is_invisible(c: str) -> bool:
     """Format characters, variation selectors and fillers: nothing is drawn for them."""
-    return unicodedata.category(c) == "Cf" or c in INVISIBLE or "︀" <= c <= "️" or "\U000e0100" <= c <= "\U000e01ef"
+    return unicodedata.category(c) == "Cf" or c in INVISIBLE or "\ufe00" <= c <= "\ufe0f" or "\U000e0100" <= c <= "\U000e01ef"
 
 
 def pairs_of(code_points: Iterable[str], extra: Iterable[tuple[str, str]] = ()) -> Iterator[tuple[str, str]]:

@@ -40,7 +40,7 @@ def test_against_brute_force(spark, shared, gram, max_words):
 
 def test_passage_across_cues(spark):
     item = "One two three four five six seven eight nine ten eleven twelve thirteen"
-    doc = "﻿1\r\n00:00:01,000 --> 00:00:02,000\r\n<i>One two three</i> {b}four\r\n\r\n2\r\n00:00:03.000 --> 0l:00:04.000\r\n[door] five (noise) six ѕeven\r\nEIGHT ni­ne ten eleven\r\n\r\n3\r\n00:05.000 --> 00:06.000\r\ntwelve thirteen\r\n"
+    doc = "\ufeff1\r\n00:00:01,000 --> 00:00:02,000\r\n<i>One two three</i> {b}four\r\n\r\n2\r\n00:00:03.000 --> 0l:00:04.000\r\n[door] five (noise) six ѕeven\r\nEIGHT ni\u00adne ten eleven\r\n\r\n3\r\n00:05.000\u00a0--> 00:06.000\r\ntwelve thirteen\r\n"
     assert rows(run(spark, [(1, doc)], [(1, item), (2, item.rsplit(" ", 1)[0])])) == {(1, 1, 13)}
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder, made known to the Spark context if it is not yet."""
     context = spark.sparkContext
-    shared = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if shared is None:
         if not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

@@ -42,7 +42,7 @@ def type_rank(value: Column) -> Column:
 
 def plain_name(name: str) -> str:
     """A field name without byte order mark, surrounding spaces and quotes, in lower case."""
-    return name.strip("﻿ \t\r\n\"'").lower()
+    return name.strip("\ufeff \t\r\n\"'").lower()
 
 
 def delimiter_of(header: str) -> str:
@@ -58,7 +58,7 @@ def _cells(line: str, delimiter: str) -> list[str]:
 @lru_cache(maxsize=4096)
 def _header(line: str) -> tuple[str, tuple[str, ...]]:
     delimiter = delimiter_of(line)
-    return delimiter, tuple(plain_name(c) for c in _cells(line.lstrip("﻿"), delimiter))
+    return delimiter, tuple(plain_name(c) for c in _cells(line.lstrip("\ufeff"), delimiter))
 
 
 def _flatten(value: dict, above: str = "") -> Iterator[tuple[str, str | None]]:
@@ -76,7 +76,7 @@ def _flatten(value: dict, above: str = "") -> Iterator[tuple[str, str | None]]:
 def _json(line: str) -> list[tuple[str, str | None]]:
     """Leaves of a JSON line, numbers in their spelling; nothing if it is no object."""
     try:
-        record = json.loads(line.lstrip("﻿"), parse_float=str, parse_int=str)
+        record = json.loads(line.lstrip("\ufeff"), parse_float=str, parse_int=str)
     except ValueError:
         return []
     return list(_flatten(record)) if isinstance(record, dict) else []
@@ -100,14 +100,17 @@ def split_line(file_format: str, header: str | None, line: str) -> tuple[list[st
 
 
 def distinct_lines(raw: DataFrame) -> DataFrame:
-    """Each line of a file once: the delivery with the smallest record_id."""
+    """Each line of a file once: the delivery with the smallest record_id.
+
+    A null line counts as blank; blank lines and comments are left out, as are rows without a file name.
+    """
     kept = F.min(F.struct("record_id", "stream_name", "file_format", "delivered_at", "raw_line"))
     return (
         raw.where(F.col("file_name").isNotNull())
         .groupBy("file_name", "line_no")
         .agg(kept.alias("k"))
         .select("k.record_id", "k.stream_name", "file_name", "k.file_format", "k.delivered_at", "line_no", "k.raw_line")
-        .withColumn("bare", F.trim(F.regexp_replace(F.coalesce("raw_line", F.lit("")), "^﻿", "")))
+        .withColumn("bare", F.trim(F.regexp_replace(F.coalesce("raw_line", F.lit("")), "^\ufeff", "")))
         .where((F.col("bare") != "") & ~F.col("bare").startswith("#"))
     )
 
@@ -285,7 +288,8 @@ def edit_script(old: tuple[Leaf, ...], new: tuple[Leaf, ...]) -> tuple[tuple[str
 def schema_changes(schemas: DataFrame) -> DataFrame:
     """(stream_name, file_name, field_name, change_kind): edits from the file before in the stream.
 
-    Files follow each other by delivered_at, then by name. First files have no edits. The order is found
+    Files follow each other by delivered_at, then by name. First files have no edits; a file without a header or
+    a record is no file here, and the one after it is compared with the one before it. An empty table gives none. Extra columns are ignored. The order is found
     on rows of names and times only; the schemas are joined to it. They are used three times and kept, so that the
     lines are read once.
     """

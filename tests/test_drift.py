@@ -31,7 +31,7 @@ def changes(spark, files):
 
 def test_every_kind_of_change(spark):
     files = [
-        ("s", "f9", "csv", 1, ["# note", "", "﻿fov,cell_ID,Area", "1,2,3.5", "2", "NA,,null"]),
+        ("s", "f9", "csv", 1, ["# note", "", "\ufefffov,cell_ID,Area", "1,2,3.5", "2", "NA,,null"]),
         ("s", "f1", "csv", 2, ["FOV_number;\"cell_ID\"; X1", "1.5;7;a", "2;NaN;b;extra"]),
         ("s", "f5", "jsonl", 3, ['{"fov": 3, "cell_ID": "0037", "x1": null}', '{"fov": "4", "Area.um2": 2e3}', "not json", "[1]"]),
         ("t", "f2", "csv", 9, ["fov\tcell_ID", "1\t2"]),

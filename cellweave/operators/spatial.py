@@ -60,18 +60,26 @@ def radius_edges(points: DataFrame, subset: str, key: str, radius: float) -> Dat
 def knn_edges(points: DataFrame, subset: str, key: str, k: int, max_rounds: int = 20) -> DataFrame:
     """(subset, src, dst, dist, rank): the k nearest points of the same subset, ties by key; exact.
 
-    Each subset gets a grid in which a cell holds about k points. A round compares the open points with the nine
-    cells around them; a point is settled when k neighbours lie within one cell width, for nothing outside
-    the nine cells can be nearer, or when the cells cover the subset. The rest go on with cells four times as wide. Only points in
-    sparse places need further rounds, so no round compares all pairs of a subset.
+    Each subset gets a grid in which a cell holds about k points, finer where its fullest cell holds many more. A round
+    compares the open points with the nine cells around them; a point is settled when k neighbours lie within one cell
+    width, for nothing outside the nine cells can be nearer, or when the cells cover the subset. The rest go on with cells four
+    times as wide. Only points in sparse places need further rounds, so no round compares all pairs of a subset. Of points at one place only
+    the first k + 1 by key can be among anyone's k nearest and are compared.
     """
     pts = saved(points.where(F.col("x").isNotNull() & F.col("y").isNotNull()).select(F.col(subset).alias("sub"), F.col(key).alias("k"), "x", "y"))
     w, h = F.max("x") - F.min("x"), F.max("y") - F.min("y")
     extent = F.greatest(w, h)
     grid = pts.groupBy("sub").agg(
-        F.greatest(F.sqrt(F.greatest(w * h, extent) * k / F.count(F.lit(1))), F.lit(1e-9)).alias("side"), extent.alias("extent"), F.min("x").alias("x0"), F.min("y").alias("y0")
+        F.greatest(F.sqrt(F.greatest(w * h, extent) * k / F.count(F.lit(1))), F.lit(1e-9)).alias("even"), extent.alias("extent"), F.min("x").alias("x0"), F.min("y").alias("y0")
     )
-    located = saved(pts.join(grid, "sub"))
+    at_place = Window.partitionBy("sub", "x", "y").orderBy("k")
+    placed = pts.withColumn("candidate", F.row_number().over(at_place) <= k + 1).join(grid, "sub")
+    cell = [F.floor((F.col(c) - F.col(c + "0")) / F.col("even")).cast("bigint") for c in ("x", "y")]
+    fullest = (
+        placed.where("candidate").groupBy("sub", *[c.alias(f"b{i}") for i, c in enumerate(cell)]).agg(F.count(F.lit(1)).alias("m")).groupBy("sub").agg(F.max("m").alias("m"))
+    )
+    finer = F.greatest(F.lit(1.0), F.sqrt(F.col("m") / float(8 * k)))
+    located = saved(placed.join(fullest, "sub").withColumn("side", F.col("even") / finer).drop("m", "even"))
     opened, settled = located, None
     for level in range(max_rounds):
         side = F.col("side") * float(4**level)
@@ -82,18 +90,19 @@ def knn_edges(points: DataFrame, subset: str, key: str, k: int, max_rounds: int
             .withColumn("b", F.explode(around))
             .select("sub", "src", "xa", "ya", "s", "extent", "b.bx", "b.by")
         )
-        b = located.select("sub", F.col("k").alias("dst"), F.col("x").alias("xb"), F.col("y").alias("yb"), at("x").alias("bx"), at("y").alias("by"))
+        b = located.where("candidate").select("sub", F.col("k").alias("dst"), F.col("x").alias("xb"), F.col("y").alias("yb"), at("x").alias("bx"), at("y").alias("by"))
         dx, dy = F.col("xa") - F.col("xb"), F.col("ya") - F.col("yb")
         nearest = Window.partitionBy("sub", "src").orderBy("d2", "dst")
         ranked = (
             a.join(b, ["sub", "bx", "by"])
             .where(F.col("src") != F.col("dst"))
-            .select("sub", "src", "dst", (dx * dx + dy * dy).alias("d2"), "s", "extent")
+            .select("sub", "src", "dst", (dx * dx + dy * dy).alias("d2"), "s", (F.col("s") >= F.col("extent")).alias("whole"))
+            .where((F.col("d2") <= F.col("s") * F.col("s")) | F.col("whole"))  # farther ones cannot settle a point in this round
             .withColumn("rank", F.row_number().over(nearest))
             .where(F.col("rank") <= k)
         )
-        sure = (F.col("s") >= F.col("extent")) | (F.max(F.when((F.col("rank") == k) & (F.col("d2") <= F.col("s") * F.col("s")), 1)).over(Window.partitionBy("sub", "src")) == 1)
-        found = saved(ranked.withColumn("done", F.coalesce(sure, F.lit(False))).where("done").select("sub", "src", "dst", "d2", "rank"))
+        sure = F.col("whole") | (F.max("rank").over(Window.partitionBy("sub", "src")) == k)
+        found = saved(ranked.withColumn("done", sure).where("done").select("sub", "src", "dst", "d2", "rank"))
         settled = found if settled is None else settled.unionByName(found)
         opened = saved(
             opened.where(side < F.col("extent")).join(found.select("sub", F.col("src").alias("k")).distinct(), ["sub", "k"], "left_anti").select(*located.columns)

@@ -18,7 +18,6 @@ from functools import lru_cache
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame

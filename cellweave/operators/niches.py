@@ -95,6 +95,28 @@ def silhouettes(profile: DataFrame, key: str, columns: list[str], ks: list[int],
     return profile.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
 
+def gap_statistic(profile: DataFrame, key: str, columns: list[str], ks: list[int], references: int, seed: int = 1) -> DataFrame:
+    """(k, gap, se, chosen): log dispersion of k-means against uniform references over the same ranges.
+
+    References are drawn by Spark, as many rows as the profile has, within each column's range. Chosen is the smallest k whose gap
+    is at least the next one's less its standard error, or the last.
+    """
+    flat = profile.select(key, *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+    ranges = flat.agg(*[F.struct(F.min(c), F.max(c)).alias(c) for c in columns]).first()
+    drawn = [
+        cut(flat.select(key, *[(F.rand(seed * 1000 + b * len(columns) + i) * (ranges[c][1] - ranges[c][0]) + ranges[c][0]).alias(c) for i, c in enumerate(columns)]))
+        for b in range(references)
+    ]
+    cost = lambda rows, k: float(np.log(max(1e-12, KMeans(k=k, seed=seed).fit(_vectors(rows, key, columns)).summary.trainingCost)))
+    found = []
+    for k in ks:
+        null = np.array([cost(rows, k) for rows in drawn])
+        found.append((k, float(null.mean() - cost(flat, k)), float(null.std() * np.sqrt(1 + 1 / max(1, references)))))
+    good = [i for i in range(len(found) - 1) if found[i][1] >= found[i + 1][1] - found[i + 1][2]]
+    best = good[0] if good else len(found) - 1
+    return profile.sparkSession.createDataFrame([(*row, i == best) for i, row in enumerate(found)], "k int, gap double, se double, chosen boolean")
+
+
 def niche_means(profile: DataFrame, niches: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """(niche, mean of each column)."""
     return profile.join(niches.select(key, "niche"), key).groupBy("niche").agg(*[F.avg(f"`{c}`").alias(c) for c in columns])

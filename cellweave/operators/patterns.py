@@ -135,3 +135,34 @@ def label_difference_test(edges: DataFrame, frame: DataFrame, by: str, radii: li
     seen = deltas.where(F.col("sim") == 0).select(by, F.col("delta").alias("seen"))
     far = F.abs(F.round("delta", 9)) >= F.abs(F.round("seen", 9))
     return deltas.where(F.col("sim") > 0).join(seen, by).groupBy(by, F.col("seen").alias("delta")).agg(F.avg(far.cast("double")).alias("p_value"))
+
+
+def inhomogeneous_k(edges: DataFrame, points: DataFrame, intensity: DataFrame, by: str, radii: list[float]) -> DataFrame:
+    """(by, r, n_i, k, k_inhom): K of all points of a window, plain and weighted by 1 / intensity of both points.
+
+    Only points at least r from the border count at r. The weighted K of a pattern that follows its intensity stays near pi * r^2
+    where the plain one does not. intensity: (by, cell_id, intensity).
+    """
+    frame = framed(points.withColumn("one", F.lit("x")), by, "one").join(intensity.select("cell_id", "intensity"), "cell_id")
+    grid = F.explode(F.array(*[F.lit(float(r)) for r in radii]))
+    n = frame.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.first("area").alias("area"))
+    inner = frame.withColumn("r", grid).where(F.col("border") >= F.col("r")).groupBy(by, "r").agg(F.count(F.lit(1)).alias("n_i"), F.sum(1 / F.col("intensity")).alias("w_i"))
+    a = frame.select(F.col("cell_id").alias("src"), "border", F.col("intensity").alias("li"))
+    b = frame.select(F.col("cell_id").alias("dst"), F.col("intensity").alias("lj"))
+    near = (
+        edges.select(by, "src", "dst", "dist")
+        .join(a, "src")
+        .join(b, "dst")
+        .withColumn("r", grid)
+        .where((F.col("dist") <= F.col("r")) & (F.col("border") >= F.col("r")))
+        .groupBy(by, "r")
+        .agg(F.count(F.lit(1)).alias("pairs"), F.sum(1 / (F.col("li") * F.col("lj"))).alias("weighted"))
+    )
+    joined = inner.join(n, by).join(near, [by, "r"], "left")
+    return joined.select(
+        by,
+        "r",
+        "n_i",
+        (F.coalesce("pairs", F.lit(0)) * F.col("area") / (F.col("n") * F.col("n_i"))).alias("k"),
+        (F.coalesce("weighted", F.lit(0.0)) / F.col("w_i")).alias("k_inhom"),
+    )

@@ -112,14 +112,31 @@ def niche_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return means.select("niche", *[F.round(k, 7).alias(k) for k in PROFILE_KINDS])
 
 
-def super_niches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Niches of each FOV grouped by their mean profiles."""
+def _fov_niches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
     wide, kinds = _wide(spark, sf_dir)
-    known = domain.points(spark, sf_dir).where("niche IS NOT NULL").select("cell_id", F.concat_ws(".", "fov", F.col("niche").cast("string")).alias("niche"))
-    means = niches.niche_means(wide, known, "cell_id", kinds)
+    fovs = domain.points(spark, sf_dir).select("cell_id", "fov")
+    found = niches.kmeans_niches(wide, "cell_id", kinds, 6).join(fovs, "cell_id")
+    return found.select("cell_id", F.concat_ws(".", "fov", F.col("niche").cast("string")).alias("niche")), wide, kinds
+
+
+def fov_niches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each cell's niche within its FOV: one k-means over all profiles, its clusters named by FOV."""
+    return _fov_niches(spark, sf_dir)[0]
+
+
+def super_niches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Niches of the FOVs grouped by their mean profiles."""
+    found, wide, kinds = _fov_niches(spark, sf_dir)
+    means = niches.niche_means(wide, found, "cell_id", kinds)
     return niches.kmeans_niches(means.withColumnRenamed("niche", "niche_id"), "niche_id", kinds, 3).withColumnRenamed("niche", "super_niche")
 
 
+def niche_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gap statistic of the neighbourhood profiles over a given list of types."""
+    wide = saved(spatial.neighbor_profile(_edges(spark, sf_dir), domain.points(spark, sf_dir), "cell_id", "cell_type", list(PROFILE_KINDS)))
+    return niches.gap_statistic(wide, "cell_id", list(PROFILE_KINDS), [2, 3, 4], 3)
+
+
 def xy_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spatial clusters of cells, slides set apart first so that none crosses two."""
     placed = spatial.slide_offsets(domain.points(spark, sf_dir))
@@ -333,7 +350,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         cooccurrence, cooccurrence_permutation, cooccurrence_significant, node_abundance, gcross_rs, kcross_border, cross_curve_auc, sign_flip_test,
-        gcross_envelope, pca, kmeans_niches, gmm_niches, niche_silhouettes, niche_profiles, super_niches, xy_clusters, snn_jaccard, snn_clusters,
+        gcross_envelope, pca, kmeans_niches, gmm_niches, niche_silhouettes, niche_gap, niche_profiles, fov_niches, super_niches, xy_clusters, snn_jaccard, snn_clusters,
         embedding_neighbors, rank_normal, wilcoxon_u, marker_log2fc, top_markers, mean_profiles, typing_loglik_argmax, cell_type_rules, rule_conflicts,
         final_labels, neighbor_expression, contamination_ratio, nb_de, de_tested, two_stage_top_genes, gsea_running_sum, gsea_permutation,
         pathway_score_percentile, pathway_bars, tf_target_lists, aucell, pathway_activity, lr_tf_chain, lr_fov_cross_expand, fov_type_percent,

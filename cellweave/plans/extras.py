@@ -81,6 +81,13 @@ def inhomogeneity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("fov", "n", F.round("vmr", 7).alias("vmr"), F.round("cv", 7).alias("cv"))
 
 
+def k_inhomogeneous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = domain.points(spark, sf_dir)
+    intensity = views.kernel_intensity(_edges(spark, sf_dir), points, "fov", "cell_id", SIGMA)
+    found = patterns.inhomogeneous_k(_edges(spark, sf_dir), points, intensity, "fov", biology.RADII)
+    return found.select("fov", "r", "n_i", F.round("k", 3).alias("k"), F.round("k_inhom", 3).alias("k_inhom"))
+
+
 def inhomogeneity_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quadrat dispersion of each type and of all other types, per FOV; fewer than ten points give no row."""
     points = domain.points(spark, sf_dir).where("cell_type IS NOT NULL").select("fov", "x", "y", "cell_type")
@@ -106,7 +113,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         cell_export, types_in_order, profile_heatmap, niche_heatmap, counts_in_space, pca_variance, de_volcano, auc_group_summary, auc_label_test,
-        kernel_intensity, inhomogeneity, inhomogeneity_by_type, lr_final_scores,
+        kernel_intensity, inhomogeneity, k_inhomogeneous, inhomogeneity_by_type, lr_final_scores,
     )
 }
 
@@ -136,6 +143,14 @@ SQL = {
     "inhomogeneity": EDGES
     + f"""SELECT q.fov, n, round(vmr, 7) AS vmr, round(cv, 7) AS cv FROM (SELECT fov, sum(n)::BIGINT AS n, (sum(n * n)::DOUBLE / (sum(n)::DOUBLE / count(*)) - sum(n)::DOUBLE) / (count(*) - 1) AS vmr FROM {space._QUADS} GROUP BY fov) q
         JOIN (SELECT fov, stddev_samp(intensity) / avg(intensity) AS cv FROM {_INTENSITY} GROUP BY 1) i ON q.fov = i.fov""",
+    "k_inhomogeneous": EDGES
+    + f""", lam AS {_INTENSITY}, frame AS (SELECT p.fov, p.cell_id, least(x - x0, x1 - x, y - y0, y1 - y) AS border, (x1 - x0) * (y1 - y0) AS area, intensity AS l FROM pts p
+            JOIN (SELECT fov, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM pts GROUP BY fov) b ON p.fov = b.fov JOIN lam ON p.cell_id = lam.cell_id
+        ), radii AS (SELECT unnest({biology.RADII}::DOUBLE[]) AS r
+        ), inn AS (SELECT fov, r, count(*) AS n_i, sum(1 / l) AS w FROM frame, radii WHERE border >= r GROUP BY ALL
+        ), near AS (SELECT a.fov, r, count(*) AS pairs, sum(1 / (a.l * b.l)) AS weighted FROM edges e JOIN frame a ON src = a.cell_id JOIN frame b ON dst = b.cell_id, radii WHERE dist <= r AND a.border >= r GROUP BY ALL)
+        SELECT inn.fov, inn.r, n_i, round(coalesce(pairs, 0) * area / (n * n_i)::DOUBLE, 3) AS k, round(coalesce(weighted, 0) / w, 3) AS k_inhom
+        FROM inn JOIN (SELECT fov, count(*) AS n, any_value(area) AS area FROM frame GROUP BY 1) t ON inn.fov = t.fov LEFT JOIN near ON inn.fov = near.fov AND inn.r = near.r""",
     "inhomogeneity_by_type": domain.SQL
     + _TYPED
     + """SELECT b.fov, b.focal, b.mode, n, round((sum(c * c)::DOUBLE / (n / 9.0::DOUBLE) - n) / 8, 7) AS vmr FROM boxes b JOIN quads q ON b.fov = q.fov AND b.focal = q.focal AND b.mode = q.mode

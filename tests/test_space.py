@@ -214,3 +214,27 @@ def test_vector_neighbors_in_blocks(spark):
     got = rows(niches.vector_neighbors(df.where("vec_id % 10 = 0"), df, "vec_id", "embedding", 3, block=16), "query", "neighbor", "rank")
     wanted = {(q, n, i + 1) for q in range(0, 60, 10) for i, n in enumerate(sorted((j for j in vectors if j != q), key=lambda j: math.dist(vectors[q], vectors[j]))[:3])}
     assert got == wanted
+
+
+def test_dense_place_and_nearest(spark):
+    """Many points at one place: each gets its first neighbours by key, none is compared with all."""
+    data = [("f", f"d{i:04}", 1.0, 1.0, "A", 0.0) for i in range(600)] + [("f", "z", 9.0, 1.0, "A", 0.0)]
+    got = rows(spatial.knn_edges(cells(spark, data), "fov", "cell_id", 2), "src", "dst", "rank")
+    assert len(got) == 1202 and {g for g in got if g[0] == "z"} == {("z", "d0000", 1), ("z", "d0001", 2)}
+    assert {g for g in got if g[0] == "d0000"} == {("d0000", "d0001", 1), ("d0000", "d0002", 2)}
+
+
+def test_inhomogeneous_k_of_an_even_intensity(spark):
+    df = cells(spark, cloud(3, 80)).where("fov = 'f1'")
+    edges = spatial.radius_edges(df, "fov", "cell_id", 20.0)
+    frame = patterns.framed(df, "fov", "cell_type").first()
+    even = df.select("fov", "cell_id", F.lit(df.count() / frame.area).alias("intensity"))
+    for r in patterns.inhomogeneous_k(edges, df, even, "fov", [5.0, 20.0]).collect():
+        assert r.k == pytest.approx(r.k_inhom)
+
+
+def test_gap_statistic_finds_three_groups(spark):
+    rnd = random.Random(2)
+    made = [(f"c{i}", rnd.gauss(40 * (i % 3), 1), rnd.gauss(30 * (i % 3 == 1), 1)) for i in range(150)]
+    found = niches.gap_statistic(spark.createDataFrame(made, "cell_id string, p double, q double"), "cell_id", ["p", "q"], [2, 3, 4], 2)
+    assert rows(found.where("chosen"), "k") == {(3,)}

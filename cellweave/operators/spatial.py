@@ -109,6 +109,8 @@ def knn_edges(points: DataFrame, subset: str, key: str, k: int, max_rounds: int
         )
         if opened.isEmpty():
             break
+    else:
+        raise ValueError(f"points are left without neighbours after {max_rounds} rounds; allow more")
     return settled.select(F.col("sub").alias(subset), "src", "dst", F.sqrt("d2").alias("dist"), "rank")
 
 

@@ -8,14 +8,15 @@ Plan: the parent keys are folded into a Bloom filter of 64-bit words, built by o
 filter is a relation (word number, bits) of at most `max_words` rows, so its broadcast size is bounded
 whatever the number of parents. Probing it before any shuffle proves most orphans: a key whose bits are
 missing has no parent at any time, and is reduced to (table, key, month). What the filter lets through is
-reduced to distinct (table, key, time) and checked by one exact anti join.
+reduced to distinct (table, key, time) and checked by one exact anti join with the merged times at which
+each parent stands.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BITS_PER_KEY = 16
@@ -54,6 +55,31 @@ def bloom_filter(keys: DataFrame, key: str, words: int) -> DataFrame:
     )
 
 
+def standing_intervals(keys: DataFrame) -> DataFrame:
+    """(p_key, p_start, p_end): disjoint times at which each key stands, per month of their start.
+
+    keys: (p_key, p_start, p_end), an open end being null. Rows without a key or start, or that end before they start, never
+    stand. Of rows that end together, those without an end above all, only the earliest start of a month leaves a
+    task; the rest is merged per key and month. A key delivered millions of times so meets its references as few rows.
+    """
+    ended = F.coalesce("p_end", F.lit("9999-12-31").cast("timestamp_ntz"))
+    earliest = (
+        keys.where(F.col("p_key").isNotNull() & F.col("p_start").isNotNull() & (F.col("p_start") < ended))
+        .groupBy("p_key", F.date_format("p_start", "yyyy-MM").alias("p_month"), ended.alias("p_end"))
+        .agg(F.min("p_start").alias("p_start"))
+    )
+    in_order = Window.partitionBy("p_key", "p_month").orderBy("p_start", "p_end")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    apart = F.coalesce(F.col("p_start") > F.max("p_end").over(before), F.lit(True))
+    return (
+        earliest.withColumn("apart", apart.cast("int"))
+        .withColumn("island", F.sum("apart").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("p_key", "p_month", "island")
+        .agg(F.min("p_start").alias("p_start"), F.max("p_end").alias("p_end"))
+        .select("p_key", "p_start", "p_end")
+    )
+
+
 def orphan_references(
     references: DataFrame,
     parents: DataFrame,
@@ -99,11 +125,7 @@ def orphan_references(
         )
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    standing = (
-        keys.where(F.col("p_key").isNotNull() & F.col("p_start").isNotNull())
-        .groupBy("p_key", "p_start")
-        .agg(F.max(F.coalesce("p_end", F.lit("9999-12-31").cast("timestamp_ntz"))).alias("p_end"))
-    )
+    standing = standing_intervals(keys)
     # what the filter proved has no time left and so meets no parent: both kinds take one path, and the tables are read once
     same = (F.col("ref_key") == F.col("p_key")) & (F.col("at") >= F.col("p_start")) & (F.col("at") < F.col("p_end"))
     orphans = probed.join(standing, same, "left_anti")

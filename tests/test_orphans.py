@@ -69,3 +69,18 @@ def test_filter_has_no_false_negatives(spark):
 def test_report(spark):
     found = spark.createDataFrame([("t", "2024-01", "a", 2), ("t", "2024-01", "b", 1), ("t", "2024-02", "a", 1)], "src_table string, load_month string, ref_key string, n_rows long")
     assert rows(orphans.orphan_report(found)) == {("t", "2024-01", 2, 3), ("t", "2024-02", 1, 1)}
+
+
+def test_a_parent_delivered_very_often_stands_as_few_rows(spark):
+    rnd = random.Random(5)
+    minutes = [(m, rnd.choice([None, m + rnd.randint(-5, 40)])) for m in (rnd.randint(0, 90_000) for _ in range(600))]
+    at = lambda m: None if m is None else day(0) + dt.timedelta(minutes=m)
+    parents = [("hot", at(a), at(b)) for a, b in minutes] + [("gone", at(a), at(a + 30)) for a in range(0, 3000, 20)] + [("never", at(7), at(7))]
+    refs = [("t", rnd.choice(["hot", "gone", "never"]), at(rnd.randint(0, 90_000))) for _ in range(400)]
+    assert run(spark, refs, parents) == brute(refs, parents)
+    keys = spark.createDataFrame([(*x, "y", 5) for x in parents], PARENT).toDF("p_key", "p_start", "p_end", "ref_key", "at")
+    standing = rows(orphans.standing_intervals(keys))
+    assert ("gone", at(0), at(3010)) in standing
+    assert not any(k == "never" for k, *_ in standing)
+    merged = sorted((s, e) for k, s, e in standing if k == "hot" and s.month == 2)
+    assert all(e < t for (_, e), (t, _) in zip(merged, merged[1:]))

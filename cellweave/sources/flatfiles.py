@@ -7,9 +7,12 @@ folder's. Compressed CSV cannot be split, so counts are best read once and kept
 from __future__ import annotations
 
 import json
+import re
+import warnings
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 #: Columns of the molecule files; z is a number.
 MOLECULES = "fov string, cell_ID string, cell string, x_local_px double, y_local_px double, x_global_px double, y_global_px double, z double, target string, CellComp string"
@@ -34,25 +37,75 @@ def cell_key(*parts: str) -> Column:
     return F.concat(F.lit("c_"), *[x for p in parts[:-1] for x in (F.col(p).cast("string"), F.lit("_"))], F.col(parts[-1]).cast("string"))
 
 
+def header_groups(spark: SparkSession, pattern: str) -> list[tuple[list[str], list[str]]]:
+    """(columns, paths) of the CSV files of a pattern, files with the same header line together; empty files are left out.
+
+    Spark reads files of one call by position under the header of one of them, so only files of a group may be read in one call.
+    A header costs a look at the first lines of its file.
+    """
+    files = sorted(r[0] for r in spark.read.format("binaryFile").load(pattern).select("path").collect())
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in (re.sub(r"([\\{}\[\]*?])", r"\\\1", f) for f in files):
+        columns = tuple(spark.read.option("header", True).csv(path).columns)
+        if columns:
+            groups.setdefault(columns, []).append(path)
+    return [(list(columns), paths) for columns, paths in groups.items()]
+
+
+def shared_columns(groups: list[tuple[list[str], list[str]]], needed: list[str]) -> list[str]:
+    """Names that every header has, in the order of the first; an error if a needed one is not among them.
+
+    The columns left out are named in a warning.
+    """
+    shared = [c for c in (groups[0][0] if groups else []) if all(c in columns for columns, _ in groups)]
+    lacking = [c for c in needed if c not in shared]
+    if lacking:
+        raise ValueError(f"columns are missing: {', '.join(lacking)}")
+    apart = sorted({c for columns, _ in groups for c in columns} - set(shared))
+    if apart:
+        warnings.warn(f"{len(apart)} columns that not every file has are left out: {', '.join(apart)}", stacklevel=3)
+    return shared
+
+
+def _common_type(rows: list[DataFrame], column: str):
+    """The type of a column that fits all of several frames with inferred types; one without any value of it has no say."""
+    kinds = {df.schema[column].dataType.simpleString(): df.schema[column].dataType for df in rows}
+    if len(kinds) > 1:
+        valued = [df for df in rows if df.schema[column].dataType != StringType() or not df.where(F.col(f"`{column}`").isNotNull()).isEmpty()]
+        kinds = {df.schema[column].dataType.simpleString(): df.schema[column].dataType for df in valued}
+    wider = [k for order in (("int", "bigint", "double"), ("date", "timestamp")) if kinds.keys() <= set(order) for k in order if k in kinds]
+    return next(iter(kinds.values())) if len(kinds) == 1 else kinds[wider[-1]] if wider else StringType()
+
+
 def read_cells(spark: SparkSession, root: str, pattern: str = "*metadata_file*") -> DataFrame:
     """Metadata of all slides, with Run_Tissue_name from the folder and uniqueFOV.
 
-    Columns that not every file has are left out, as are types that differ: files are matched by name, values read as text
-    where they do not fit one type.
+    Columns that not every file has are left out: files are matched by name, values read as text where they do not fit one type.
     """
-    rows = spark.read.option("header", True).option("inferSchema", True).csv(f"{root}/*/{pattern}")
-    rows = require(rows, ["fov", "cell_ID"]).withColumn("Run_Tissue_name", slide_of_path())
+    groups = header_groups(spark, f"{root}/*/{pattern}")
+    shared = shared_columns(groups, ["fov", "cell_ID"])
+    inferred = [spark.read.option("header", True).option("inferSchema", True).csv(paths) for _, paths in groups]
+    types = {c: _common_type(inferred, c) for c in shared}
+    rows = None
+    for columns, paths in groups:
+        schema = StructType([StructField(c, types.get(c, StringType())) for c in columns])
+        part = spark.read.option("header", True).schema(schema).csv(paths).select(*[F.col(f"`{c}`") for c in shared], slide_of_path().alias("Run_Tissue_name"))
+        rows = part if rows is None else rows.unionByName(part)
     return rows.withColumn("uniqueFOV", F.concat("Run_Tissue_name", F.lit(":"), F.col("fov").cast("string")))
 
 
 def read_counts(spark: SparkSession, root: str, pattern: str = "*exprMat_file*") -> DataFrame:
-    """(Run_Tissue_name, fov, cell_ID, gene, count): non-zero entries of the wide count files.
+    """(Run_Tissue_name, fov, cell_ID, gene, count): non-zero entries of the wide count files, for the genes that every file has.
 
-    A short line lacks its last genes; what is missing or not a number is 0. Rows of cell 0, molecules outside any cell, stay.
+    Genes are matched by name. A short line lacks its last genes; what is missing or not a number is 0. Rows of cell 0, molecules outside any cell, stay.
     """
-    wide = require(spark.read.option("header", True).csv(f"{root}/*/{pattern}"), ["fov", "cell_ID"])
-    genes = [c for c in wide.columns if c not in ("fov", "cell_ID")]
-    long = wide.withColumn("Run_Tissue_name", slide_of_path()).unpivot(["Run_Tissue_name", "fov", "cell_ID"], genes, "gene", "count")
+    groups = header_groups(spark, f"{root}/*/{pattern}")
+    genes = [c for c in shared_columns(groups, ["fov", "cell_ID"]) if c not in ("fov", "cell_ID")]
+    long = None
+    for _, paths in groups:
+        wide = spark.read.option("header", True).csv(paths).select("fov", "cell_ID", *[F.col(f"`{g}`") for g in genes], slide_of_path().alias("Run_Tissue_name"))
+        part = wide.unpivot(["Run_Tissue_name", "fov", "cell_ID"], [F.col(f"`{g}`") for g in genes], "gene", "count")
+        long = part if long is None else long.unionByName(part)
     return long.withColumn("count", F.col("count").try_cast("bigint")).where(F.col("count") != 0).withColumns(
         {"fov": F.col("fov").try_cast("int"), "cell_ID": F.col("cell_ID").try_cast("int")}
     )

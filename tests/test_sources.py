@@ -34,6 +34,30 @@ def test_readers(spark, run_folder):
         flatfiles.require(spark.range(1).withColumnRenamed("id", "fov"), ["fov", "cell_ID"])
 
 
+def test_slides_with_other_headers(spark, run_folder):
+    folder = run_folder / "s3"
+    folder.mkdir()
+    (folder / "x_metadata_file.csv").write_text("timepoint,cell_ID,only_here,Area,fov\nt1,4,q,13,2\n")
+    (folder / "x_exprMat_file.csv").write_text("fov,B,Addon.1,cell_ID,A,Negative1,16S,SystemControl1\n2,6,9,4,5,1,3,2\n")
+    with pytest.warns(UserWarning, match="only_here"):
+        cells = flatfiles.read_cells(spark, str(run_folder))
+    assert rows(cells.where("Run_Tissue_name = 's3'"), "uniqueFOV", "fov", "cell_ID", "Area", "timepoint") == {("s3:2", 2, 4, 13.0, "t1")}
+    assert cells.count() == 9 and "only_here" not in cells.columns
+    with pytest.warns(UserWarning, match="Addon.1"):
+        counts = flatfiles.read_counts(spark, str(run_folder))
+    found = rows(counts, "Run_Tissue_name", "cell_ID", "gene", "count")
+    assert {f[1:] for f in found if f[0] == "s3"} == {(4, "A", 5), (4, "B", 6), (4, "Negative1", 1), (4, "16S", 3), (4, "SystemControl1", 2)}
+    assert {f[1:] for f in found if f[0] == "s2"} == {(1, "A", 7), (1, "B", 8)}
+
+
+def test_types_of_other_headers(spark, tmp_path):
+    for slide, text in (("s1", "fov,cell_ID,n,code,none\n1,1,1,1.50,\n"), ("s2", "cell_ID,fov,n,code,none\n2,1,2.5,x,7\n")):
+        (tmp_path / slide).mkdir()
+        (tmp_path / slide / "a_metadata_file.csv").write_text(text)
+    cells = flatfiles.read_cells(spark, str(tmp_path))
+    assert rows(cells, "cell_ID", "n", "code", "none") == {(1, 1.0, "1.50", None), (2, 2.5, "x", 7)}
+
+
 def test_pipeline(spark, run_folder):
     settings = config.Config({"filter_vars": "timepoint,exclude,t9", "neovariables": ["timepoint+fov"], "bacterial_probes": ["16S"]})
     e = pipeline.imported(spark, str(run_folder), settings)

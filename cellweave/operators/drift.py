@@ -154,10 +154,9 @@ def known_names(field_names: DataFrame) -> DataFrame:
 
 
 def file_schemas(parsed: DataFrame, names: DataFrame) -> DataFrame:
-    """(stream_name, file_name, delivered_at, fields array<struct<field, name, rank>>), fields sorted.
+    """(stream_name, file_name, delivered_at, fields array<struct<field, names, rank>>), fields and their names sorted.
 
-    A field under two names in one file counts under the first of them by code point. The array is as long
-    as a file has fields, not lines.
+    A field that a file has under several names has all of them. The array is as long as a file has fields, not lines.
     """
     cells = parsed.select("stream_name", "file_name", "delivered_at", F.explode(F.arrays_zip("names", "cells")).alias("c"))
     by_name = cells.groupBy("stream_name", "file_name", F.col("c.names").alias("name")).agg(
@@ -166,13 +165,13 @@ def file_schemas(parsed: DataFrame, names: DataFrame) -> DataFrame:
     return (
         by_name.join(names, "name", "left")
         .groupBy("stream_name", "file_name", F.coalesce("field", "name").alias("field"))
-        .agg(F.min("name").alias("name"), F.max("rank").alias("rank"), F.min("delivered_at").alias("delivered_at"))
+        .agg(F.array_sort(F.collect_set("name")).alias("names"), F.max("rank").alias("rank"), F.min("delivered_at").alias("delivered_at"))
         .groupBy("stream_name", "file_name")
-        .agg(F.sort_array(F.collect_list(F.struct("field", "name", "rank"))).alias("fields"), F.min("delivered_at").alias("delivered_at"))
+        .agg(F.sort_array(F.collect_list(F.struct("field", "names", "rank"))).alias("fields"), F.min("delivered_at").alias("delivered_at"))
     )
 
 
-Leaf = tuple[str, str, int]  # field, name, rank
+Leaf = tuple[str, str | tuple[str, ...], int]  # field, its name or names, rank
 
 
 def _tree(fields: tuple[Leaf, ...]) -> tuple[list[tuple | None], list[int]]:
@@ -205,6 +204,12 @@ def _retyped(a: tuple, b: tuple) -> bool:
     return a[3] != b[3] and bool(a[3] and b[3])
 
 
+def _renamed(a: tuple, b: tuple) -> bool:
+    """Whether two files have no name of a field in common."""
+    then, now = ({n} if isinstance(n, str) else set(n) for n in (a[2], b[2]))
+    return not then & now
+
+
 def _change(a: tuple | None, b: tuple | None) -> float:
     if a is None or b is None or a[0] != b[0]:
         return 0.0 if a == b else APART
@@ -212,7 +217,7 @@ def _change(a: tuple | None, b: tuple | None) -> float:
         return 0.0 if a[1] == b[1] else APART
     if a[1] != b[1]:
         return APART
-    return RENAME * (a[2] != b[2]) + RETYPE * _retyped(a, b)
+    return RENAME * _renamed(a, b) + RETYPE * _retyped(a, b)
 
 
 @lru_cache(maxsize=4096)
@@ -274,7 +279,7 @@ def edit_script(old: tuple[Leaf, ...], new: tuple[Leaf, ...]) -> tuple[tuple[str
     edits = []
     for a, b in kept:
         if a and a[0] == "field":
-            edits += [(b[1], "renamed")] * (a[2] != b[2]) + [(b[1], "retyped")] * _retyped(a, b)
+            edits += [(b[1], "renamed")] * _renamed(a, b) + [(b[1], "retyped")] * _retyped(a, b)
     old_fields = {a[1] for a in gone if a and a[0] == "field"}
     new_fields = {b[1] for b in came if b and b[0] == "field"}
     lasts = {f.rpartition("/")[2]: f for f in old_fields}
@@ -303,7 +308,7 @@ def schema_changes(schemas: DataFrame) -> DataFrame:
     )
 
     def leaves(fields) -> tuple[Leaf, ...]:
-        return tuple((f["field"], f["name"], int(f["rank"])) for f in fields)
+        return tuple((f["field"], tuple(f["names"]), int(f["rank"])) for f in fields)
 
     def scripts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -322,9 +327,11 @@ def schema_changes(schemas: DataFrame) -> DataFrame:
 def unified_records(parsed: DataFrame, schemas: DataFrame, targets: list[str]) -> DataFrame:
     """All records of all files as one table: a column per target field, other fields in the map `others`.
 
-    A file's projection (which of its names feeds which field) is compiled from its schema, joined by file,
-    and applied to each record. A target column is bigint, double or string: the narrowest type that fits
-    every file. Missing and unknown values are null. `targets` are the field names of the field table.
+    A file's projection (which of its names feed which field) is compiled from its schema, joined by file,
+    and applied to each record. A record with values under several names of a field counts with the first of these names
+    by code point; the values under the others are in `others`, under their names. A target column is bigint, double or
+    string: the narrowest type that fits every file. Missing and unknown values are null. `targets` are the field names
+    of the field table.
     """
     widest = dict(
         schemas.select(F.explode("fields").alias("f"))
@@ -333,20 +340,21 @@ def unified_records(parsed: DataFrame, schemas: DataFrame, targets: list[str]) -
         .agg(F.max("f.rank"))
         .collect()
     )  # a row per target field
-    projection = schemas.select(
-        "file_name", F.map_from_entries(F.transform("fields", lambda f: F.struct(f["name"], f["field"]))).alias("feeds")
-    )
-    entries = F.transform(
-        F.arrays_zip("names", "cells"), lambda c: F.struct(F.try_element_at("feeds", c["names"]).alias("key"), c["cells"].alias("value"))
-    )
-    present = F.filter(entries, lambda e: e["key"].isNotNull() & e["value"].isNotNull() & ~e["value"].rlike(_NO_VALUE))
-    records = parsed.where(~F.col("is_head") & (F.size("names") > 0)).join(projection, "file_name").withColumn(
-        "byfield", F.map_from_entries(present)
-    )
+    valued = F.filter(F.arrays_zip("names", "cells"), lambda c: c["cells"].isNotNull() & ~c["cells"].rlike(_NO_VALUE))
+    held = parsed.where(~F.col("is_head") & (F.size("names") > 0)).withColumn("held", F.map_from_entries(valued)).drop("names", "cells")
+    feeding = lambda names: F.filter(names, lambda n: F.map_contains_key("held", n))
+    feeds = F.filter(F.transform("fields", lambda f: F.struct(f["field"].alias("field"), feeding(f["names"]).alias("names"))), lambda f: F.size(f["names"]) > 0)
+    records = held.join(schemas.select("file_name", "fields"), "file_name").withColumn("feeds", feeds)
+    first = F.transform("feeds", lambda f: F.struct(f["field"], F.try_element_at("held", f["names"][0])))
+    surplus = F.flatten(F.transform("feeds", lambda f: F.slice(f["names"], 2, F.size(f["names"]))))
+    records = records.withColumns({"byfield": F.map_from_entries(first), "surplus": surplus})
     cast = {1: "bigint", 2: "double"}
     made = []
     for field in targets:
         raw = F.trim(F.try_element_at("byfield", F.lit(field)))
         made.append((raw.try_cast(cast[widest[field]]) if widest.get(field) in cast else raw).alias(field.replace(".", "_")))
-    others = F.map_filter("byfield", lambda k, v: ~k.isin(targets))
+    unknown = F.map_filter("byfield", lambda k, v: ~k.isin(targets))
+    others = F.when(F.size("surplus") == 0, unknown).otherwise(
+        F.map_concat(unknown, F.map_filter("held", lambda k, v: F.array_contains("surplus", k) & ~F.map_contains_key(unknown, k)))
+    )
     return records.select("record_id", "stream_name", "file_name", "line_no", *made, others.alias("others"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.levels import few
 from ..operators import drift, orphans, proximity
 from ..sources.tables import table
 
@@ -91,7 +92,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed, schemas = _schemas(spark, sf_dir)
-    fields = [r[0] for r in table(spark, sf_dir, "field_names").select("field_name").distinct().orderBy("field_name").limit(1000).collect()]
+    fields = sorted(r[0] for r in few(table(spark, sf_dir, "field_names").select("field_name").distinct()))
     return drift.unified_records(parsed, schemas, fields)
 
 

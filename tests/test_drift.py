@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from cellweave.functions import levels
 from cellweave.operators import drift
 from tests.helpers import rows
 
@@ -60,6 +61,27 @@ def test_unified_table(spark):
     }
 
 
+def test_a_field_under_two_names_in_one_file(spark):
+    files = [
+        ("s", "a", "jsonl", 1, ['{"fov": 1}', '{"FOV_number": 2, "new": "n"}', '{"fov": 3, "FOV_number": 4}']),
+        ("s", "b", "csv", 2, ["Area.um2;Area;fov", "1.5;;5", ";2.5;6", "3.5;4.5;7"]),
+        ("s", "c", "jsonl", 3, ['{"Area.um2": 9.5, "FOV_number": 8}']),
+    ]
+    parsed, found = schemas(spark, files)
+    table = drift.unified_records(parsed, found, ["Area", "fov"])
+    assert {(r.file_name, r.line_no, r.Area, r.fov, tuple(sorted(r.others.items()))) for r in table.collect()} == {
+        ("a", 1, None, 1, ()), ("a", 2, None, 2, (("new", "n"),)), ("a", 3, None, 3, (("fov_number", "4"),)),
+        ("b", 2, 1.5, 5, ()), ("b", 3, 2.5, 6, ()), ("b", 4, 4.5, 7, (("area.um2", "3.5"),)), ("c", 1, 9.5, 8, ()),
+    }
+    assert changes(spark, files) == {("b", "Area", "added"), ("b", "new", "removed"), ("c", "fov", "renamed")}
+
+
+def test_more_levels_than_fit_are_refused(spark):
+    with pytest.raises(ValueError, match="more than"):
+        levels.few(spark.range(levels.MOST + 1))
+    assert len(levels.few(spark.range(1001))) == 1001
+
+
 def test_empty_and_odd_files(spark):
     assert changes(spark, []) == set()
     files = [("s", "a", "csv", 1, ["", "# only a comment"]), ("s", "b", "csv", 2, ["fov", ""]), ("s", "c", "csv", 3, ["fov,fov,,", "1,2,3,4"])]

@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scratch import cut
+from ..functions.scratch import cut, saved
 from ..functions.tails import normal_quantile_col, normal_upper_col
 
 
@@ -80,6 +80,67 @@ def kmeans_niches(profile: DataFrame, key: str, columns: list[str], k: int, seed
     return KMeans(k=k, seed=seed, predictionCol="niche").fit(vectors).transform(vectors).select(key, "niche")
 
 
+def _nearest_centers(points: DataFrame, centers: DataFrame, grid: DataFrame) -> DataFrame:
+    """points with the cluster of the nearest center of their group (sub), the smaller cluster of equals; exact.
+
+    A point looks at the centers of the nine cells around it; what is not settled there goes on with cells four times as wide.
+    """
+    opened, settled, level = points.join(grid, "sub"), None, 0
+    while True:
+        side = F.col("side") * float(4**level)
+        at = lambda c, s=side: F.floor((F.col(c) - F.col(c + "0")) / s).cast("bigint")
+        around = F.array(*[F.struct((at("cx") + i).alias("bx"), (at("cy") + j).alias("by")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+        put = centers.join(grid.select("sub", "side", F.col("x0").alias("cx0"), F.col("y0").alias("cy0")), "sub").withColumn("b", F.explode(around))
+        put = put.select("sub", "cluster", "cx", "cy", "b.bx", "b.by")
+        dx, dy = F.col("x") - F.col("cx"), F.col("y") - F.col("cy")
+        best = (
+            opened.withColumns({"bx": at("x"), "by": at("y")})
+            .join(put, ["sub", "bx", "by"], "left")
+            .groupBy("sub", "k", "x", "y")
+            .agg(F.min(F.when(F.col("cluster").isNotNull(), F.struct((dx * dx + dy * dy).alias("d2"), "cluster"))).alias("m"))
+            .join(grid, "sub")
+        )
+        sure = F.coalesce((F.sqrt("m.d2") <= side) | (side >= F.col("extent")), F.lit(False))
+        tried = saved(best.withColumn("done", sure))
+        found = tried.where("done").select("sub", "k", "x", "y", F.col("m.cluster").alias("cluster"))
+        settled = found if settled is None else settled.unionByName(found)
+        opened, level = tried.where("NOT done").drop("m", "done"), level + 1
+        if opened.isEmpty():
+            return settled
+
+
+def place_clusters(points: DataFrame, by: str, key: str, share: float, steps: int = 20) -> DataFrame:
+    """(by, key, cluster): k-means of places x and y within each group, with share * n clusters (rounded up) for its n points.
+
+    Seeds are points at equal steps in an order by strips of x, then y, so they are as dense as the points. Lloyd steps are a join with
+    near centers and a mean per cluster, until no center moves or `steps` are done, as many as those of the k-means of `kmeans_niches`. A cluster that loses all its points keeps its center.
+    """
+    pts = saved(points.where(F.col("x").isNotNull() & F.col("y").isNotNull()).select(F.col(by).alias("sub"), F.col(key).alias("k"), "x", "y"))
+    box = pts.groupBy("sub").agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("x0"), F.min("y").alias("y0"), (F.max("x") - F.min("x")).alias("w"), (F.max("y") - F.min("y")).alias("h")
+    )
+    box = saved(box.withColumn("wanted", F.ceil(F.col("n") * F.lit(share))))
+    strip = F.when(F.col("w") > 0, F.floor((F.col("x") - F.col("x0")) / F.col("w") * F.ceil(F.sqrt("wanted")))).otherwise(0)
+    place = F.row_number().over(Window.partitionBy("sub").orderBy("strip", "y", "k"))
+    turn = lambda p: F.floor(p * F.col("wanted") / F.col("n"))
+    seeds = pts.join(box, "sub").withColumn("strip", strip).withColumn("p", place).where(turn(F.col("p")) > turn(F.col("p") - 1))
+    centers = saved(seeds.select("sub", turn(F.col("p")).alias("cluster"), F.col("x").alias("cx"), F.col("y").alias("cy")))
+    even = F.greatest(F.sqrt(F.col("w") * F.col("h") / F.col("wanted")), F.greatest("w", "h") / F.col("wanted"), F.lit(1e-9))
+    even_grid = box.withColumn("even", even)
+    cells = [F.floor((F.col(c) - F.col(o)) / F.col("even")) for c, o in (("cx", "x0"), ("cy", "y0"))]
+    fullest = centers.join(even_grid, "sub").groupBy("sub", *[c.alias(f"b{i}") for i, c in enumerate(cells)]).agg(F.count(F.lit(1)).alias("m")).groupBy("sub").agg(F.max("m").alias("m"))
+    side = F.col("even") / F.greatest(F.lit(1.0), F.sqrt(F.col("m") / 2.0))
+    grid = saved(even_grid.join(fullest, "sub").select("sub", "x0", "y0", side.alias("side"), F.greatest("w", "h").alias("extent")))
+    for _ in range(steps):
+        placed = _nearest_centers(pts, centers, grid)
+        means = placed.groupBy("sub", "cluster").agg(F.avg("x").alias("mx"), F.avg("y").alias("my"))
+        moved = saved(centers.join(means, ["sub", "cluster"], "left").withColumns({"nx": F.coalesce("mx", "cx"), "ny": F.coalesce("my", "cy")}))
+        centers = moved.select("sub", "cluster", F.col("nx").alias("cx"), F.col("ny").alias("cy"))
+        if moved.where((F.abs(F.col("nx") - F.col("cx")) > 1e-4) | (F.abs(F.col("ny") - F.col("cy")) > 1e-4)).isEmpty():
+            break
+    return placed.select(F.col("sub").alias(by), F.col("k").alias(key), "cluster")
+
+
 def mixture_niches(profile: DataFrame, key: str, columns: list[str], k: int, seed: int = 1) -> DataFrame:
     """(key, niche, certainty): Gaussian mixture with full covariances (the tied diagonal form has no Spark counterpart)."""
     vectors = _vectors(profile, key, columns)

@@ -14,6 +14,8 @@ from .space import EDGES, PROFILE_KINDS, RADIUS, cell_kinds
 RADII = [0.0, 20.0, 40.0, 60.0, 80.0, 100.0, 120.0]
 KIND_I, KIND_J, KIND_K = "tumor", "fibroblast", "macrophage"
 K = 5
+#: k_prop_n of the reference.
+CLUSTER_SHARE = 0.05
 BACKGROUND = 0.01
 CONTRAST = ["fixed_effect", "direction", "cell_type"]
 
@@ -138,9 +140,9 @@ def niche_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def xy_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spatial clusters of cells, slides set apart first so that none crosses two."""
-    placed = spatial.slide_offsets(domain.points(spark, sf_dir))
-    return niches.kmeans_niches(placed, "cell_id", ["x_adj", "y_adj"], 40).withColumnRenamed("niche", "k_cluster")
+    """Spatial clusters of cells, slide by slide, so that none crosses two: as many per slide as CLUSTER_SHARE of its cells."""
+    found = niches.place_clusters(domain.points(spark, sf_dir), "slide", "cell_id", CLUSTER_SHARE)
+    return found.select("cell_id", F.concat_ws(".", "slide", F.col("cluster").cast("string")).alias("k_cluster"))
 
 
 def _knn(spark: SparkSession, sf_dir: str) -> DataFrame:

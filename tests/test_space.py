@@ -147,6 +147,24 @@ def test_comparators_take_one_square_per_fov(spark):
     assert rows(fovqc.comparators(bits, nearest=20, per_square=2)) == wanted
 
 
+def test_place_clusters_follow_the_points_of_a_slide(spark):
+    rnd = random.Random(8)
+    sizes = {f"s{i:02}": 41 + 20 * (i % 3) for i in range(12)}
+    pts = [(s, f"{s}_{j}", rnd.uniform(0, 100) + 5000 * (j == 0), rnd.uniform(0, 100)) for s, n in sizes.items() for j in range(n)]
+    found = rows(niches.place_clusters(spark.createDataFrame(pts, "slide string, cell_id string, x double, y double"), "slide", "cell_id", 0.05, 60))
+    assert len(found) == len(pts)
+    place = {c: (x, y) for _, c, x, y in pts}
+    for slide, n in sizes.items():
+        members = {}
+        for s, c, k in found:
+            if s == slide:
+                members.setdefault(k, []).append(place[c])
+        assert len(members) == -(-n // 20)
+        means = {k: tuple(sum(p[a] for p in ps) / len(ps) for a in (0, 1)) for k, ps in members.items()}
+        for k, ps in members.items():
+            assert all(math.dist(p, means[k]) <= min(math.dist(p, m) for m in means.values()) + 1e-3 for p in ps)
+
+
 def test_labels_settle_on_two_groups(spark):
     pairs = [("a", "b"), ("b", "c"), ("a", "c"), ("x", "y"), ("y", "z"), ("x", "z")]
     graph = spark.createDataFrame([(*p, 1.0) for p in pairs], "a string, b string, w double")

@@ -227,23 +227,31 @@ def shared_neighbors(edges: DataFrame, k: int, cutoff: float) -> DataFrame:
     return n.select("a", "b", jaccard.alias("jaccard")).where(F.col("jaccard") > cutoff)
 
 
-def propagated_labels(graph: DataFrame, a: str, b: str, weight: str, rounds: int = 10) -> DataFrame:
+def propagated_labels(graph: DataFrame, a: str, b: str, weight: str, rounds: int = 10, most: int = 1000) -> DataFrame:
     """(node, label): communities of a weighted undirected graph by label propagation.
 
     Each round a node takes the label with the largest weight among its neighbours and itself (its own counts as its
-    heaviest edge), the smaller label of equals. Runs `rounds` rounds or until nothing changes; lineage is cut each round.
+    heaviest edge), the smaller label of equals, until nothing changes; lineage is cut each round. After `rounds` rounds no two neighbours
+    change at once: of those that would, one goes before its neighbours by a hash of node and round. Each change then adds at least
+    the node's heaviest edge to the weight within communities, so labels cannot swing. An error if `most` rounds do not settle.
     """
     both = cut(graph.select(F.col(a).alias("node"), F.col(b).alias("other"), F.col(weight).alias("w")).unionByName(graph.select(F.col(b).alias("node"), F.col(a).alias("other"), F.col(weight).alias("w"))))
     heaviest = both.groupBy("node").agg(F.max("w").alias("w"))
     labels = cut(heaviest.select("node", F.col("node").alias("label")))
-    for _ in range(rounds):
+    for turn in range(most):
         votes = both.join(labels.withColumnRenamed("node", "other"), "other").select("node", "label", "w").unionByName(heaviest.join(labels, "node").select("node", "label", "w"))
         sums = votes.groupBy("node", "label").agg(F.sum("w").alias("w"))
         new = cut(sums.groupBy("node").agg(F.min(F.struct((-F.round("w", 9)).alias("w"), "label")).alias("m")).select("node", F.col("m.label").alias("label")))
-        if new.join(labels, ["node", "label"], "left_anti").isEmpty():
+        changes = new.join(labels, ["node", "label"], "left_anti")
+        if changes.isEmpty():
             return new
+        if turn >= rounds:
+            ahead = changes.select("node", F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node").alias("p"))
+            rivals = both.join(ahead, "node").join(ahead.select(F.col("node").alias("other"), F.col("p").alias("q")), "other").where("other <> node AND q < p")
+            going = changes.join(rivals.select("node"), "node", "left_anti")
+            new = cut(labels.join(going.withColumnRenamed("label", "to"), "node", "left").select("node", F.coalesce("to", "label").alias("label")))
         labels = new
-    return labels
+    raise ValueError(f"labels have not settled after {most} rounds; allow more")
 
 
 def rank_normal(rows: DataFrame, by: str, value: str) -> DataFrame:

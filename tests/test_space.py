@@ -172,6 +172,19 @@ def test_labels_settle_on_two_groups(spark):
     assert labels["a"] == labels["b"] == labels["c"] != labels["x"] == labels["y"] == labels["z"]
 
 
+def test_labels_settle_beyond_ten_rounds(spark):
+    graph = spark.createDataFrame([(f"n{i:02}", f"n{i + 1:02}", 1.0) for i in range(59)], "a string, b string, w double")
+    labels = dict(rows(niches.propagated_labels(graph, "a", "b", "w")))
+    for i in range(60):
+        votes = {}
+        for j in (i - 1, i, i + 1):
+            if 0 <= j < 60:
+                votes[labels[f"n{j:02}"]] = votes.get(labels[f"n{j:02}"], 0) + 1
+        assert labels[f"n{i:02}"] == min(votes, key=lambda x: (-votes[x], x))
+    with pytest.raises(ValueError, match="settled"):
+        niches.propagated_labels(graph, "a", "b", "w", 1, 2)
+
+
 def test_rank_sums_against_counting(spark):
     rnd = random.Random(6)
     kinds = {f"c{i}": rnd.choice("AB") for i in range(40)}

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scratch import saved
+
 
 def framed(points: DataFrame, by: str, kind: str) -> DataFrame:
     """points with border (distance to the edge of their window) and area of the window, its points' bounding box."""
@@ -93,17 +95,19 @@ def relabelled(frame: DataFrame, by: str, simulations: int, seed: int) -> DataFr
     return sims.withColumn("place", F.row_number().over(dealt)).join(labels, [by, "place"]).select(by, "sim", "cell_id", "kind")
 
 
-def envelope(edges: DataFrame, frame: DataFrame, by: str, r: float, simulations: int, seed: int) -> DataFrame:
-    """(by, type_i, type_j, lowest, highest): range of the share g at radius r over simulated labels."""
-    dealt = relabelled(frame, by, simulations, seed)
-    inner = frame.where(F.col("border") >= r).select("cell_id")
-    a = dealt.join(inner, "cell_id").select("sim", F.col("cell_id").alias("src"), F.col("kind").alias("type_i"))
+def envelope(edges: DataFrame, frame: DataFrame, by: str, r: float | list[float], simulations: int, seed: int) -> DataFrame:
+    """(by, type_i, type_j, r, lowest, highest): range of the share g at each radius over simulated labels."""
+    radii = list(r) if isinstance(r, (list, tuple)) else [r]
+    grid = F.explode(F.array(*[F.lit(float(x)) for x in radii]))
+    dealt = saved(relabelled(frame, by, simulations, seed))
+    a = dealt.join(frame.select("cell_id", "border"), "cell_id").where(F.col("border") >= min(radii)).select(by, "sim", F.col("cell_id").alias("src"), F.col("kind").alias("type_i"), "border")
     b = dealt.select("sim", F.col("cell_id").alias("dst"), F.col("kind").alias("type_j"))
-    n = a.join(frame.select(by, F.col("cell_id").alias("src")), "src").groupBy(by, "sim", "type_i").agg(F.count(F.lit(1)).alias("n_i"))
-    reached = edges.where(F.col("dist") <= r).join(a, "src").join(b, ["sim", "dst"]).select(by, "sim", "type_i", "type_j", "src").distinct().groupBy(by, "sim", "type_i", "type_j").agg(F.count(F.lit(1)).alias("c"))
+    n = a.withColumn("r", grid).where(F.col("border") >= F.col("r")).groupBy(by, "sim", "type_i", "r").agg(F.count(F.lit(1)).alias("n_i"))
+    nearest = edges.where(F.col("dist") <= max(radii)).select("src", "dst", "dist").join(a, "src").join(b, ["sim", "dst"]).groupBy(by, "sim", "type_i", "type_j", "src", "border").agg(F.min("dist").alias("d"))
+    reached = nearest.withColumn("r", grid).where((F.col("d") <= F.col("r")) & (F.col("border") >= F.col("r"))).groupBy(by, "sim", "type_i", "type_j", "r").agg(F.count(F.lit(1)).alias("c"))
     kinds = frame.select(by, F.col("kind").alias("type_j")).distinct()
-    g = n.join(kinds, by).join(reached, [by, "sim", "type_i", "type_j"], "left").withColumn("g", F.coalesce("c", F.lit(0)) / F.col("n_i"))
-    return g.groupBy(by, "type_i", "type_j").agg(F.min("g").alias("lowest"), F.max("g").alias("highest"))
+    g = n.join(kinds, by).join(reached, [by, "sim", "type_i", "type_j", "r"], "left").withColumn("g", F.coalesce("c", F.lit(0)) / F.col("n_i"))
+    return g.groupBy(by, "type_i", "type_j", "r").agg(F.min("g").alias("lowest"), F.max("g").alias("highest"))
 
 
 def label_difference_test(edges: DataFrame, frame: DataFrame, by: str, radii: list[float], i: str, j: str, k: str, simulations: int, seed: int) -> DataFrame:

@@ -16,6 +16,8 @@ KIND_I, KIND_J, KIND_K = "tumor", "fibroblast", "macrophage"
 K = 5
 #: k_prop_n of the reference.
 CLUSTER_SHARE = 0.05
+#: Simulations: the reference's 199 of an envelope and 999 of a label test; permutations of an enrichment test.
+ENVELOPES, LABELS, PERMUTATIONS = 199, 999, 1000
 BACKGROUND = 0.01
 CONTRAST = ["fixed_effect", "direction", "cell_type"]
 
@@ -81,7 +83,7 @@ def sign_flip_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gcross_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = saved(patterns.framed(domain.points(spark, sf_dir), "fov", "cell_type"))
-    return patterns.envelope(_edges(spark, sf_dir), frame, "fov", 80.0, 19, 5)
+    return patterns.envelope(_edges(spark, sf_dir), frame, "fov", RADII, ENVELOPES, 5)
 
 
 def pca(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,7 +269,7 @@ def gsea_running_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gsea_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tested = expression.enrichment_test(saved(_ranked(spark, sf_dir)), _gene_sets(spark, sf_dir), CONTRAST, 50, 11)
+    tested = expression.enrichment_test(saved(_ranked(spark, sf_dir)), _gene_sets(spark, sf_dir), CONTRAST, PERMUTATIONS, 11)
     return qc.adjusted(tested, "p", CONTRAST, "gs_name").withColumn("pathway", expression.clean_name(F.col("gs_name")))
 
 

@@ -66,7 +66,7 @@ def auc_group_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def auc_label_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = saved(patterns.framed(domain.points(spark, sf_dir), "fov", "cell_type"))
-    return patterns.label_difference_test(_edges(spark, sf_dir), frame, "fov", biology.RADII, "tumor", "fibroblast", "macrophage", 99, 4)
+    return patterns.label_difference_test(_edges(spark, sf_dir), frame, "fov", biology.RADII, "tumor", "fibroblast", "macrophage", biology.LABELS, 4)
 
 
 def kernel_intensity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellweave.operators import expression, fovqc, niches, patterns, spatial
+from cellweave.plans import biology
 from tests.helpers import rows
 
 CELL = "fov string, cell_id string, x double, y double, cell_type string, v double, slide string"
@@ -211,6 +212,17 @@ def test_model_recovers_a_rate_ratio(spark):
     assert (r.level_a, r.level_b, r.df) == ("base", "high", 298) and abs(r.estimate - math.log(2)) < 3 * r.se and r.wald > 5
 
 
+def test_envelope_over_radii_and_numbers_of_simulations(spark):
+    rnd = random.Random(9)
+    df = cells(spark, [("f", f"c{i}", rnd.uniform(0, 20), rnd.uniform(0, 20), rnd.choice("AB"), 1.0) for i in range(60)])
+    frame, edges = patterns.framed(df, "fov", "cell_type"), spatial.radius_edges(df, "fov", "cell_id", 4.0)
+    found = rows(patterns.envelope(edges, frame, "fov", [0.0, 2.0, 4.0], 9, 1), "type_i", "type_j", "r", "lowest", "highest")
+    assert {f[2] for f in found} == {0.0, 2.0, 4.0} and all(f[4] == 0 for f in found if f[2] == 0)
+    one = rows(patterns.envelope(edges, frame, "fov", 4.0, 9, 1), "type_i", "type_j", "r", "lowest", "highest")
+    assert one == {f for f in found if f[2] == 4.0}
+    assert biology.ENVELOPES >= 199 and biology.LABELS >= 999 and biology.PERMUTATIONS >= 1000
+
+
 def test_enrichment_against_a_walk(spark):
     rnd = random.Random(8)
     stats = {f"g{i}": round(rnd.gauss(0, 1), 3) for i in range(40)}

@@ -28,11 +28,11 @@ from ..functions.scratch import saved
 # Letters of other scripts that look like a Latin letter, Latin letter first.
 LOOKALIKES = (
     # Cyrillic, small
-    "aа cс dԁ eе hһ iі jј lӏ oо pр qԛ sѕ vѵ wԝ xх yу "
+    "aа cс dԁ eе hһ iі jј lӏ oо pр qԛ sѕ vѵ wԝ xх yу yү "
     # Cyrillic, capital
-    "AА BВ CС EЕ HН IІ JЈ KК MМ OО PР QԚ SЅ TТ VѴ WԜ XХ "
+    "AА BВ CС EЕ HН IІ JЈ KК MМ OО PР QԚ SЅ TТ VѴ WԜ XХ YУ YҮ IӀ "
     # Greek
-    "oο vν pρ jϳ AΑ BΒ EΕ ZΖ HΗ IΙ KΚ MΜ NΝ OΟ PΡ TΤ YΥ XΧ JͿ "
+    "oο vν pρ jϳ cϲ AΑ BΒ EΕ ZΖ HΗ IΙ KΚ MΜ NΝ OΟ PΡ TΤ YΥ XΧ JͿ CϹ "
     # Armenian, Cherokee and Lisu letters that are drawn as Latin ones
     "oօ hհ uս qզ gց nո OՕ SՏ LԼ UՍ DᎠ RᎡ TᎢ AᎪ JᎫ EᎬ WᎳ MᎷ HᎻ GᏀ ZᏃ SᏚ VᏙ KᏦ PᏢ LᏞ CᏟ BᏴ"
 ).split()
@@ -53,6 +53,8 @@ def pairs_of(code_points: Iterable[str], extra: Iterable[tuple[str, str]] = ())
             yield c, ""
         elif unicodedata.category(c) == "Zs":
             yield c, " "
+        elif c in letters:  # the lunate sigmas decompose to letters that look otherwise
+            yield c, letters[c]
         else:
             plain = unicodedata.normalize("NFKD", c)
             if plain != c:

@@ -2,6 +2,7 @@ import collections
 import random
 import unicodedata
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -91,3 +92,10 @@ def test_frequencies(spark):
     texts = ["".join(rnd.choice(ALPHABET) for _ in range(40)) for _ in range(30)] + [None, ""]
     found = lookalike.code_point_frequencies(frame(spark, list(enumerate(texts))), "text")
     assert {chr(r.code_point): r.n for r in found.collect()} == dict(collections.Counter("".join(t or "" for t in texts)))
+
+
+@pytest.mark.parametrize("latin,other", [("Y", "\u0423"), ("Y", "\u04ae"), ("y", "\u04af"), ("I", "\u04c0"), ("c", "\u03f2"), ("C", "\u03f9")])
+def test_capital_and_variant_letters(latin, other):
+    assert lookalike.plain_form()(f"ab{other}d") == f"ab{latin}d"
+    assert lookalike.rewriting({latin: 9, other: 1}).get(other) == latin
+    assert not {"\u03c2", "\u03a3"} & lookalike.rewriting({latin: 9, other: 1, "\u03c2": 1, "\u03a3": 1}).keys()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.levels import few
 from ..functions.tails import chi2_upper_col
 from ..operators import spatial
 from . import domain
@@ -53,8 +54,8 @@ def neighborhood_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cell_kinds(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Names of the cell types, sorted: the columns of a profile."""
-    return [r[0] for r in domain.cells(spark, sf_dir).where("cell_type IS NOT NULL").select("cell_type").distinct().orderBy("cell_type").limit(500).collect()]
+    """Names of the cell types, sorted: the columns of a profile; more than a factor may have are refused."""
+    return sorted(r[0] for r in few(domain.cells(spark, sf_dir).where("cell_type IS NOT NULL").select("cell_type").distinct()))
 
 
 PROFILE_KINDS = ("fibroblast", "macrophage", "plasma", "tumor")

@@ -6,8 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from cellweave.functions import levels
 from cellweave.operators import expression, fovqc, niches, patterns, spatial
-from cellweave.plans import biology
+from cellweave.plans import biology, domain, space
 from tests.helpers import rows
 
 CELL = "fov string, cell_id string, x double, y double, cell_type string, v double, slide string"
@@ -166,6 +167,15 @@ def test_place_clusters_follow_the_points_of_a_slide(spark):
             assert all(math.dist(p, means[k]) <= min(math.dist(p, m) for m in means.values()) + 1e-3 for p in ps)
 
 
+def test_no_cell_type_is_cut_from_a_profile(spark, monkeypatch):
+    many = spark.range(501).selectExpr("concat('t', id) AS cell_type")
+    monkeypatch.setattr(domain, "cells", lambda *_: many)
+    assert len(space.cell_kinds(spark, "")) == 501
+    monkeypatch.setattr(levels, "MOST", 500)
+    with pytest.raises(ValueError, match="more than"):
+        space.cell_kinds(spark, "")
+
+
 def test_labels_settle_on_two_groups(spark):
     pairs = [("a", "b"), ("b", "c"), ("a", "c"), ("x", "y"), ("y", "z"), ("x", "z")]
     graph = spark.createDataFrame([(*p, 1.0) for p in pairs], "a string, b string, w double")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.levels import few
+from ..functions.scratch import saved
 from ..operators import drift, orphans, proximity
 from ..sources.tables import table
 
@@ -81,19 +82,28 @@ def p4_fov_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _schemas(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    parsed = drift.parsed_lines(table(spark, sf_dir, "raw_records"))
-    return parsed, drift.file_schemas(parsed, drift.known_names(table(spark, sf_dir, "field_names")))
+    """Schemas of all files, and the edits between neighbours."""
+    names = drift.known_names(table(spark, sf_dir, "field_names"))
+    schemas = saved(drift.file_schemas(drift.parsed_lines(table(spark, sf_dir, "raw_records")), names))
+    return schemas, drift.schema_changes(schemas, names)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, schemas = _schemas(spark, sf_dir)
-    return drift.schema_changes(schemas).select("file_name", "field_name", "change_kind")
+    _, changes = _schemas(spark, sf_dir)
+    return drift.listed_changes(changes).select("file_name", "field_name", "change_kind")
+
+
+def p5_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole edit scripts, with renames and moves found without the field table."""
+    _, changes = _schemas(spark, sf_dir)
+    return changes
 
 
 def p5_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed, schemas = _schemas(spark, sf_dir)
+    schemas, changes = _schemas(spark, sf_dir)
     fields = sorted(r[0] for r in few(table(spark, sf_dir, "field_names").select("field_name").distinct()))
-    return drift.unified_records(parsed, schemas, fields)
+    records = drift.parsed_lines(drift.distinct_lines(table(spark, sf_dir, "raw_records")))
+    return drift.unified_records(records, saved(drift.composed_fields(schemas, changes)), fields)
 
 
 QUERIES = {
@@ -102,6 +112,7 @@ QUERIES = {
     "p4_found": p4_found,
     "p4_fov_overlap": p4_fov_overlap,
     "p5_found": p5_found,
+    "p5_changes": p5_changes,
     "p5_unified": p5_unified,
 }
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import itertools
 import random
 
 import pytest
@@ -21,13 +22,26 @@ def raw(spark, files):
     return spark.createDataFrame([(i, *m, "x", 0) for i, m in enumerate(made)], RAW)
 
 
+def known(spark):
+    return drift.known_names(spark.createDataFrame(KNOWN, "field_name string, known_name string"))
+
+
 def schemas(spark, files):
-    parsed = drift.parsed_lines(raw(spark, files))
-    return parsed, drift.file_schemas(parsed, drift.known_names(spark.createDataFrame(KNOWN, "field_name string, known_name string")))
+    return drift.file_schemas(drift.parsed_lines(raw(spark, files)), known(spark))
+
+
+def scripts(spark, files):
+    return drift.schema_changes(schemas(spark, files), known(spark))
 
 
 def changes(spark, files):
-    return rows(drift.schema_changes(schemas(spark, files)[1]), "file_name", "field_name", "change_kind")
+    return rows(drift.listed_changes(scripts(spark, files)), "file_name", "field_name", "change_kind")
+
+
+def unified(spark, files, targets):
+    found = schemas(spark, files)
+    composed = drift.composed_fields(found, drift.schema_changes(found, known(spark)))
+    return drift.unified_records(drift.parsed_lines(drift.distinct_lines(raw(spark, files))), composed, targets)
 
 
 def test_every_kind_of_change(spark):
@@ -53,8 +67,7 @@ def test_unified_table(spark):
         ("s", "a", "csv", 1, ["fov,cell_ID,extra", '1,"x, y",e', "2"]),
         ("s", "b", "jsonl", 2, ['{"Area.um2": 2.5, "FOV_number": 7, "pos": {"x": 1, "deep": {"y": "q"}}}']),
     ]
-    parsed, found = schemas(spark, files)
-    table = drift.unified_records(parsed, found, ["Area", "cell_ID", "fov"])
+    table = unified(spark, files, ["Area", "cell_ID", "fov"])
     assert dict(table.dtypes) | {"Area": "double", "cell_ID": "string", "fov": "bigint"} == dict(table.dtypes)
     assert {(r.file_name, r.line_no, r.Area, r.cell_ID, r.fov, tuple(sorted(r.others.items()))) for r in table.collect()} == {
         ("a", 2, None, "x, y", 1, (("extra", "e"),)), ("a", 3, None, None, 2, ()), ("b", 1, 2.5, None, 7, (("pos/deep/y", "q"), ("pos/x", "1"))),
@@ -67,8 +80,7 @@ def test_a_field_under_two_names_in_one_file(spark):
         ("s", "b", "csv", 2, ["Area.um2;Area;fov", "1.5;;5", ";2.5;6", "3.5;4.5;7"]),
         ("s", "c", "jsonl", 3, ['{"Area.um2": 9.5, "FOV_number": 8}']),
     ]
-    parsed, found = schemas(spark, files)
-    table = drift.unified_records(parsed, found, ["Area", "fov"])
+    table = unified(spark, files, ["Area", "fov"])
     assert {(r.file_name, r.line_no, r.Area, r.fov, tuple(sorted(r.others.items()))) for r in table.collect()} == {
         ("a", 1, None, 1, ()), ("a", 2, None, 2, (("new", "n"),)), ("a", 3, None, 3, (("fov_number", "4"),)),
         ("b", 2, 1.5, 5, ()), ("b", 3, 2.5, 6, ()), ("b", 4, 4.5, 7, (("area.um2", "3.5"),)), ("c", 1, 9.5, 8, ()),
@@ -92,8 +104,7 @@ def test_empty_and_odd_files(spark):
 
 def test_long_line(spark):
     long = "v" * 1_000_000
-    parsed, found = schemas(spark, [("s", "a", "csv", 1, ["fov,cell_ID", f"1,{long}"])])
-    assert rows(drift.unified_records(parsed, found, ["cell_ID"]), "cell_ID") == {(long,)}
+    assert rows(unified(spark, [("s", "a", "csv", 1, ["fov,cell_ID", f"1,{long}"])], ["cell_ID"]), "cell_ID") == {(long,)}
 
 
 @pytest.mark.parametrize("value,rank", [("", 0), (" NaN ", 0), ("n/a", 0), ("+7", 1), ("007", 1), ("1.", 2), (".5", 2), ("-1e5", 2), ("1e", 3), ("inf", 3), ("wk;8", 3), ("1 2", 3)])
@@ -102,22 +113,88 @@ def test_types(spark, value, rank):
     assert df.select(drift.type_rank(df.v)).first()[0] == rank
 
 
-def test_scripts_of_nested_schemas():
-    leaf = lambda f, name=None, rank=1: (f, name or f, rank)
-    old = (leaf("a"), leaf("pos/x"), leaf("pos/y"), leaf("z"))
-    assert drift.edit_script(old, old) == ()
-    assert drift.edit_script(old, (leaf("a"), leaf("pos/x"), leaf("y"), leaf("z"))) == (("y", "moved"),)
-    assert set(drift.edit_script(old, (leaf("a", "alpha", 2), leaf("pos/x"), leaf("pos/y")))) == {("a", "renamed"), ("a", "retyped"), ("z", "removed")}
-    assert set(drift.edit_script((), old)) == {(f[0], "added") for f in old}
+def leaf(field, name=None, rank=1, place=0, sketch=()):
+    return drift.Leaf(field, (name or field,), rank, place, sketch)
+
 
+def kinds(*sides, listed=()):
+    return {(e.field, e.kind, e.old) for e in drift.edit_script(*sides, frozenset(listed))}
 
-def test_scripts_against_set_comparison():
+
+def test_scripts_of_nested_schemas():
+    old = (leaf("a"), leaf("pos/x"), leaf("pos/y"), leaf("z"))
+    assert kinds(old, old) == set()
+    assert kinds(old, (leaf("a"), leaf("pos/x"), leaf("y"), leaf("z"))) == {("y", "moved", "pos/y")}
+    assert kinds(old, (leaf("a", "alpha", 2), leaf("pos/x"), leaf("pos/y"))) == {("a", "renamed", None), ("a", "retyped", None), ("z", "removed", None)}
+    assert kinds((), old) == {(f.field, "added", None) for f in old}
+
+
+def test_whole_objects_are_matched_wrapped_and_renamed():
+    flat = tuple(leaf(f, place=i) for i, f in enumerate("abcdef"))
+    wrapped = tuple(leaf(f"data/{f}", place=i) for i, f in enumerate("abcdef"))
+    assert kinds(flat, wrapped) == {(f"data/{f}", "moved", f) for f in "abcdef"}
+    assert kinds(wrapped, flat) == {(f, "moved", f"data/{f}") for f in "abcdef"}
+    other = tuple(leaf(f"body/{f}", place=i) for i, f in enumerate("abcdef"))
+    assert kinds(wrapped, other) == {(f"body/{f}", "moved", f"data/{f}") for f in "abcdef"}
+
+
+def test_renames_are_found_by_cost():
+    values, others = (1, 2, 3, 4), (5, 6, 7, 8)
+    old = (leaf("colour", place=1, sketch=values), leaf("n", place=2))
+    assert kinds(old, (leaf("color", place=1, sketch=values), leaf("n", place=2))) == {("color", "renamed", "colour")}
+    assert kinds(old, (leaf("weight", place=5, sketch=others), leaf("n", place=2))) == {("colour", "removed", None), ("weight", "added", None)}
+    # of two candidates the cheaper total: each takes the one it shares values with, though the names are as like
+    old = (leaf("mean_a", sketch=values), leaf("mean_b", sketch=others))
+    assert kinds(old, (leaf("mean_c", sketch=others), leaf("mean_d", sketch=values))) == {("mean_c", "renamed", "mean_b"), ("mean_d", "renamed", "mean_a")}
+    # two fields of the table are never one, one of them and an unknown one can be
+    assert kinds((leaf("Area", "area", 1, 1, values),), (leaf("Areas", "areas", 1, 1, values),), listed=("Area", "Areas")) == {("Area", "removed", None), ("Areas", "added", None)}
+    assert kinds((leaf("Area", "area", 1, 1, values),), (leaf("areas", "areas", 1, 1, values),), listed=("Area",)) == {("areas", "renamed", "Area")}
+
+
+def test_assignment_against_all_matchings():
+    rnd = random.Random(4)
+    for _ in range(150):
+        n, m = rnd.randint(0, 4), rnd.randint(0, 4)
+        costs = [[rnd.choice([rnd.uniform(0, 3), float("inf")]) for _ in range(m)] for _ in range(n)]
+        total = lambda pairs: sum(costs[i][j] for i, j in pairs) + 2.0 * (n - len(pairs))
+        best = min(total([(i, j) for i, j in enumerate(p) if j < m]) for p in itertools.permutations(range(m + n), n)) if n else 0.0
+        assert total(drift.assignment(costs)) == pytest.approx(best)
+
+
+def test_known_pairs_against_set_comparison():
     rnd = random.Random(2)
     for _ in range(200):
-        made = [tuple(sorted((f"f{i}", rnd.choice(["p", "q"]) + str(i), rnd.randint(0, 3)) for i in rnd.sample(range(9), rnd.randint(0, 8)))) for _ in range(2)]
-        a, b = ({f[0]: f for f in side} for side in made)
-        wanted = {(f, "removed") for f in a.keys() - b.keys()} | {(f, "added") for f in b.keys() - a.keys()}
+        made = [tuple(leaf(f"f{i}", rnd.choice(["p", "q"]) + str(i), rnd.randint(0, 3), rnd.randint(0, 9)) for i in sorted(rnd.sample(range(9), rnd.randint(0, 8)))) for _ in range(2)]
+        a, b = ({f.field: f for f in side} for side in made)
+        wanted = {(f, "removed", None) for f in a.keys() - b.keys()} | {(f, "added", None) for f in b.keys() - a.keys()}
         for f in a.keys() & b.keys():
-            wanted |= {(f, "renamed")} if a[f][1] != b[f][1] else set()
-            wanted |= {(f, "retyped")} if a[f][2] != b[f][2] and a[f][2] and b[f][2] else set()
-        assert set(drift.edit_script(*made)) == wanted
+            wanted |= {(f, "renamed", None)} if a[f].names != b[f].names else set()
+            wanted |= {(f, "retyped", None)} if a[f].rank != b[f].rank and a[f].rank and b[f].rank else set()
+        assert kinds(*made, listed=[f"f{i}" for i in range(9)]) == wanted
+
+
+def test_composed_scripts_feed_the_table(spark):
+    files = [
+        ("s", "a", "csv", 1, ["fov,colour,Area", "1,red,2.5", "2,blue,3.5"]),
+        ("s", "b", "csv", 2, ["fov,color,Area", "3,red,4.5", "4,blue,2.5"]),
+        ("s", "c", "jsonl", 3, ['{"fov": 5, "colors": "red", "areas": 2.5}', '{"fov": 6, "colors": "blue", "areas": 4.5}']),
+        ("s", "d", "jsonl", 4, ['{"fov": 7, "pos": {"colors": "red"}, "areas": 1.5}']),
+        ("t", "e", "csv", 1, ["fov,color", "8,green"]),
+    ]
+    assert rows(scripts(spark, files), "file_name", "field_name", "change_kind", "old_field") == {
+        ("b", "color", "renamed", "colour"), ("c", "colors", "renamed", "color"), ("c", "areas", "renamed", "Area"), ("d", "pos/colors", "moved", "colors"),
+    }
+    assert changes(spark, files) == {
+        ("b", "color", "added"), ("b", "colour", "removed"), ("c", "colors", "added"), ("c", "color", "removed"), ("c", "areas", "added"), ("c", "Area", "removed"),
+        ("d", "pos/colors", "added"), ("d", "colors", "removed"),
+    }
+    assert {(r.fov, r.Area, tuple(r.others.items())) for r in unified(spark, files, ["fov", "Area"]).collect()} == {
+        (1, 2.5, (("colour", "red"),)), (2, 3.5, (("colour", "blue"),)), (3, 4.5, (("colour", "red"),)), (4, 2.5, (("colour", "blue"),)),
+        (5, 2.5, (("colour", "red"),)), (6, 4.5, (("colour", "blue"),)), (7, 1.5, (("colour", "red"),)), (8, None, (("color", "green"),)),
+    }
+
+
+def test_lines_that_come_several_times(spark):
+    one = (1, "s", "a", "csv", None, 2, "1,x", "x", 0)
+    lines = [one, one, (2, *one[1:]), (3, *one[1:6], "2,y", "x", 0), (4, *one[1:6], "", "x", 0), (5, *one[1:5], 1, "fov,n", "x", 0), (0, *one[1:5], None, "3,z", "x", 0)]
+    assert sorted((r.record_id, r.line_no) for r in drift.distinct_lines(spark.createDataFrame(lines, RAW)).collect()) == [(0, None), (1, 2), (5, 1)]

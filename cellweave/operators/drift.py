@@ -15,6 +15,7 @@ import json
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
+from itertools import groupby
 from typing import NamedTuple
 
 import pandas as pd
@@ -129,21 +130,26 @@ def distinct_lines(raw: DataFrame) -> DataFrame:
     return lines.join(several, same(lines), "left_anti").unionByName(merged)
 
 
-def parsed_lines(raw: DataFrame) -> DataFrame:
-    """Data lines with arrays `names` and `cells`; a CSV file's header line comes with empty cells.
+def stream_files(raw: DataFrame) -> DataFrame:
+    """(file_name, stream_name, file_format, delivered_at, head_no, head): one row per file with a data line.
 
-    Blank lines and comments are gone; a line that comes twice is parsed twice. Lines that are no JSON object in a 'jsonl' file
-    have no names. The header of a CSV file is its first line; of several deliveries of it that with the smallest record_id.
+    The header of a CSV file is its first data line; of several deliveries of it that with the smallest record_id.
     """
     lines = data_lines(raw)
-    heads = (
-        lines.where(F.col("file_format") != "jsonl")
-        .groupBy("file_name")
-        .agg(F.min(F.struct("line_no", "record_id", "raw_line")).alias("h"))
-        .select("file_name", F.col("h.line_no").alias("head_no"), F.col("h.raw_line").alias("head"))
-    )
-    placed = lines.join(heads, "file_name", "left").where(F.col("head_no").isNull() | (F.col("line_no") >= F.col("head_no")))
-    columns = ["record_id", "stream_name", "file_name", "file_format", "delivered_at", "line_no", "is_head", "names", "cells"]
+    head = F.min(F.when(F.coalesce("file_format", F.lit("")) != "jsonl", F.struct("line_no", "record_id", "raw_line")))
+    files = lines.groupBy("file_name").agg(F.min("stream_name").alias("stream_name"), F.min("file_format").alias("file_format"), F.min("delivered_at").alias("delivered_at"), head.alias("h"))
+    return files.select("file_name", "stream_name", "file_format", "delivered_at", F.col("h.line_no").alias("head_no"), F.col("h.raw_line").alias("head"))
+
+
+def parsed_lines(raw: DataFrame, files: DataFrame) -> DataFrame:
+    """(record_id, file_name, line_no, is_head, names, cells): names and values of the data lines; a header comes with empty cells.
+
+    Blank lines and comments are gone, as are lines before the header; a line that comes twice is parsed twice. Lines that are no
+    JSON object in a 'jsonl' file have no names. `files` as `stream_files` gives them.
+    """
+    lines = data_lines(raw).select("record_id", "file_name", "line_no", "raw_line")
+    placed = lines.join(files.select("file_name", "file_format", "head_no", "head"), "file_name").where(F.col("head_no").isNull() | (F.col("line_no") >= F.col("head_no")))
+    columns = ["record_id", "file_name", "line_no", "is_head", "names", "cells"]
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -153,12 +159,9 @@ def parsed_lines(raw: DataFrame) -> DataFrame:
             ]
             yield batch.assign(names=[p[0] for p in pairs], cells=[p[1] for p in pairs])[columns]
 
-    return placed.withColumn("is_head", F.coalesce(F.col("line_no") == F.col("head_no"), F.lit(False))).select(
-        "record_id", "stream_name", "file_name", "file_format", "delivered_at", "line_no", "is_head", "head", "raw_line"
-    ).mapInPandas(
-        split,
-        "record_id bigint, stream_name string, file_name string, file_format string, delivered_at timestamp_ntz, line_no int, "
-        "is_head boolean, names array<string>, cells array<string>",
+    is_head = F.coalesce(F.col("line_no") == F.col("head_no"), F.lit(False))
+    return placed.select("record_id", "file_name", "line_no", is_head.alias("is_head"), "file_format", "head", "raw_line").mapInPandas(
+        split, "record_id bigint, file_name string, line_no int, is_head boolean, names array<string>, cells array<string>"
     )
 
 
@@ -168,35 +171,27 @@ def known_names(field_names: DataFrame) -> DataFrame:
     return field_names.where(F.col("known_name").isNotNull()).groupBy(plain.alias("name")).agg(F.min("field_name").alias("field"))
 
 
-def file_schemas(parsed: DataFrame, names: DataFrame) -> DataFrame:
-    """(stream_name, file_name, delivered_at, fields array<struct<field, names, rank, place, sketch>>), fields and their names sorted.
+def file_schemas(parsed: DataFrame, files: DataFrame, names: DataFrame) -> DataFrame:
+    """(stream_name, file_name, delivered_at, fields array<struct<field, name, rank, place, sketch>>), sorted by field and name.
 
-    A field that a file has under several names has all of them. place is its first position in a line, sketch the smallest
-    of its values' hashes under several seeds. The array is as long as a file has fields, not lines; lines that come twice change
-    nothing.
+    One entry per name; a field that a file has under several names has several. place is a name's first position in a line, sketch
+    the smallest of its values' hashes under several seeds. The array is as long as a file has names, not lines; lines that come
+    twice change nothing. Files none of whose lines has a name are left out.
     """
-    cells = parsed.select("stream_name", "file_name", "delivered_at", F.posexplode(F.arrays_zip("names", "cells")).alias("place", "c"))
+    cells = parsed.select("file_name", F.posexplode(F.arrays_zip("names", "cells")).alias("place", "c"))
     is_value = F.col("c.cells").isNotNull() & ~F.col("c.cells").rlike(_NO_VALUE)
-    least = [F.min(F.when(is_value, F.xxhash64(F.trim("c.cells"), F.lit(i)))) for i in range(SKETCH)]
-    by_name = cells.groupBy("stream_name", "file_name", F.col("c.names").alias("name")).agg(
-        F.max(type_rank(F.col("c.cells"))).alias("rank"),
-        F.min("place").alias("place"),
-        *[h.alias(f"h{i}") for i, h in enumerate(least)],
-        F.min("delivered_at").alias("delivered_at"),
+    least = [F.min(F.when(is_value, F.hash(F.trim("c.cells"), F.lit(i)))) for i in range(SKETCH)]
+    by_name = cells.groupBy("file_name", F.col("c.names").alias("name")).agg(
+        F.max(type_rank(F.col("c.cells"))).alias("rank"), F.min("place").alias("place"), *[h.alias(f"h{i}") for i, h in enumerate(least)]
     )
-    sketch = F.when(F.min("h0").isNotNull(), F.array(*[F.min(f"h{i}") for i in range(SKETCH)])).otherwise(F.array().cast("array<bigint>"))
+    sketch = F.when(F.col("h0").isNotNull(), F.array(*[f"h{i}" for i in range(SKETCH)])).otherwise(F.array().cast("array<int>"))
+    entry = F.struct(F.coalesce("field", "name").alias("field"), "name", "rank", "place", sketch.alias("sketch"))
     return (
         by_name.join(names, "name", "left")
-        .groupBy("stream_name", "file_name", F.coalesce("field", "name").alias("field"))
-        .agg(
-            F.array_sort(F.collect_set("name")).alias("names"),
-            F.max("rank").alias("rank"),
-            F.min("place").alias("place"),
-            sketch.alias("sketch"),
-            F.min("delivered_at").alias("delivered_at"),
-        )
-        .groupBy("stream_name", "file_name")
-        .agg(F.sort_array(F.collect_list(F.struct("field", "names", "rank", "place", "sketch"))).alias("fields"), F.min("delivered_at").alias("delivered_at"))
+        .groupBy("file_name")
+        .agg(F.sort_array(F.collect_list(entry)).alias("fields"))
+        .join(files.select("file_name", "stream_name", "delivered_at"), "file_name")
+        .select("stream_name", "file_name", "delivered_at", "fields")
     )
 
 
@@ -410,7 +405,13 @@ def schema_changes(schemas: DataFrame, names: DataFrame) -> DataFrame:
     listed = frozenset(r[0] for r in few(names.select("field").distinct()))
 
     def leaves(fields) -> tuple[Leaf, ...]:
-        return tuple(Leaf(f["field"], tuple(f["names"]), int(f["rank"]), int(f["place"]), tuple(f["sketch"])) for f in fields)
+        made = []
+        for field, group in groupby(fields, key=lambda f: f["field"]):
+            held = list(group)  # the names of one field; its sketch is that of all their values
+            sketches = [f["sketch"] for f in held if len(f["sketch"])]
+            least = tuple(min(int(s[i]) for s in sketches) for i in range(SKETCH)) if sketches else ()
+            made.append(Leaf(field, tuple(f["name"] for f in held), max(int(f["rank"]) for f in held), min(int(f["place"]) for f in held), least))
+        return tuple(made)
 
     def scripts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -440,7 +441,7 @@ def listed_changes(changes: DataFrame) -> DataFrame:
 
 
 def composed_fields(schemas: DataFrame, changes: DataFrame) -> DataFrame:
-    """(file_name, fields array<struct<field, names, rank>>): the schemas with each field under its first name in the stream.
+    """(stream_name, file_name, fields array<struct<field, names, rank>>): the schemas with each field under its first name in the stream.
 
     The scripts of a stream are composed: a field that was renamed or moved from another one goes by what that one goes by,
     however often this happened. Chains are followed by doubling, a join a round, so a stream of n files needs log n rounds.
@@ -451,8 +452,6 @@ def composed_fields(schemas: DataFrame, changes: DataFrame) -> DataFrame:
         .agg(F.min("old_field").alias("old"))
     )
     fields = _in_order(schemas).select("stream_name", "file_name", "step", F.explode("fields").alias("f"))
-    if events.isEmpty():
-        return schemas.select("file_name", F.transform("fields", lambda f: F.struct(f["field"].alias("field"), f["names"].alias("names"), f["rank"].alias("rank"))).alias("fields"))
     made = F.struct("step", "new")  # a rename is known by the step and the field it made
     uses = events.select("stream_name", F.col("old").alias("name"), F.col("step"), F.lit(0).alias("makes"), made.alias("id"), F.col("old").alias("root"))
     makes = events.select("stream_name", F.col("new").alias("name"), F.col("step"), F.lit(1).alias("makes"), made.alias("id"), F.lit(None).cast("string").alias("root"))
@@ -467,9 +466,9 @@ def composed_fields(schemas: DataFrame, changes: DataFrame) -> DataFrame:
     since = Window.partitionBy("stream_name", "name").orderBy("step", "held").rowsBetween(Window.unboundedPreceding, 0)
     named = held.unionByName(roots, allowMissingColumns=True).withColumn("root", F.last("root", ignorenulls=True).over(since)).where("held = 1")
     return (
-        named.groupBy("file_name", F.coalesce("root", "name").alias("field"))
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("f.names")))).alias("names"), F.max("f.rank").alias("rank"))
-        .groupBy("file_name")
+        named.groupBy("stream_name", "file_name", F.coalesce("root", "name").alias("field"))
+        .agg(F.array_sort(F.collect_set("f.name")).alias("names"), F.max("f.rank").alias("rank"))
+        .groupBy("stream_name", "file_name")
         .agg(F.sort_array(F.collect_list(F.struct("field", "names", "rank"))).alias("fields"))
     )
 
@@ -491,10 +490,10 @@ def unified_records(parsed: DataFrame, composed: DataFrame, targets: list[str])
         .collect()
     )  # a row per target field
     valued = F.filter(F.arrays_zip("names", "cells"), lambda c: c["cells"].isNotNull() & ~c["cells"].rlike(_NO_VALUE))
-    held = parsed.where(~F.col("is_head") & (F.size("names") > 0)).withColumn("held", F.map_from_entries(valued)).drop("names", "cells")
+    held = parsed.where(~F.col("is_head") & (F.size("names") > 0)).select("record_id", "file_name", "line_no", F.map_from_entries(valued).alias("held"))
     feeding = lambda names: F.filter(names, lambda n: F.map_contains_key("held", n))
     feeds = F.filter(F.transform("fields", lambda f: F.struct(f["field"].alias("field"), feeding(f["names"]).alias("names"))), lambda f: F.size(f["names"]) > 0)
-    records = held.join(composed.select("file_name", "fields"), "file_name").withColumn("feeds", feeds)
+    records = held.join(composed.select("stream_name", "file_name", "fields"), "file_name").withColumn("feeds", feeds)
     first = F.transform("feeds", lambda f: F.struct(f["field"], F.try_element_at("held", f["names"][0])))
     surplus = F.flatten(F.transform("feeds", lambda f: F.slice(f["names"], 2, F.size(f["names"]))))
     records = records.withColumns({"byfield": F.map_from_entries(first), "surplus": surplus})

@@ -81,28 +81,27 @@ def p4_fov_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _schemas(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Schemas of all files, and the edits between neighbours."""
-    names = drift.known_names(table(spark, sf_dir, "field_names"))
-    schemas = saved(drift.file_schemas(drift.parsed_lines(table(spark, sf_dir, "raw_records")), names))
-    return schemas, drift.schema_changes(schemas, names)
+def _schemas(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All files, their schemas, and the edits between neighbours."""
+    raw, names = table(spark, sf_dir, "raw_records"), drift.known_names(table(spark, sf_dir, "field_names"))
+    files = saved(drift.stream_files(raw))
+    schemas = saved(drift.file_schemas(drift.parsed_lines(raw, files), files, names))
+    return files, schemas, drift.schema_changes(schemas, names)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, changes = _schemas(spark, sf_dir)
-    return drift.listed_changes(changes).select("file_name", "field_name", "change_kind")
+    return drift.listed_changes(_schemas(spark, sf_dir)[2]).select("file_name", "field_name", "change_kind")
 
 
 def p5_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole edit scripts, with renames and moves found without the field table."""
-    _, changes = _schemas(spark, sf_dir)
-    return changes
+    return _schemas(spark, sf_dir)[2]
 
 
 def p5_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schemas, changes = _schemas(spark, sf_dir)
+    files, schemas, changes = _schemas(spark, sf_dir)
     fields = sorted(r[0] for r in few(table(spark, sf_dir, "field_names").select("field_name").distinct()))
-    records = drift.parsed_lines(drift.distinct_lines(table(spark, sf_dir, "raw_records")))
+    records = drift.parsed_lines(drift.distinct_lines(table(spark, sf_dir, "raw_records")), files)
     return drift.unified_records(records, saved(drift.composed_fields(schemas, changes)), fields)
 
 

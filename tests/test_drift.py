@@ -27,7 +27,8 @@ def known(spark):
 
 
 def schemas(spark, files):
-    return drift.file_schemas(drift.parsed_lines(raw(spark, files)), known(spark))
+    found = drift.stream_files(raw(spark, files))
+    return drift.file_schemas(drift.parsed_lines(raw(spark, files), found), found, known(spark))
 
 
 def scripts(spark, files):
@@ -41,7 +42,7 @@ def changes(spark, files):
 def unified(spark, files, targets):
     found = schemas(spark, files)
     composed = drift.composed_fields(found, drift.schema_changes(found, known(spark)))
-    return drift.unified_records(drift.parsed_lines(drift.distinct_lines(raw(spark, files))), composed, targets)
+    return drift.unified_records(drift.parsed_lines(drift.distinct_lines(raw(spark, files)), drift.stream_files(raw(spark, files))), composed, targets)
 
 
 def test_every_kind_of_change(spark):
@@ -99,7 +100,7 @@ def test_empty_and_odd_files(spark):
     files = [("s", "a", "csv", 1, ["", "# only a comment"]), ("s", "b", "csv", 2, ["fov", ""]), ("s", "c", "csv", 3, ["fov,fov,,", "1,2,3,4"])]
     assert changes(spark, files) == set()
     nulls = spark.createDataFrame([(1, "s", "f", "csv", None, 1, None, "x", 0), (2, None, None, None, None, None, None, None, None)], RAW)
-    assert drift.parsed_lines(nulls).count() == 0
+    assert drift.parsed_lines(nulls, drift.stream_files(nulls)).count() == 0
 
 
 def test_long_line(spark):

@@ -1,9 +1,11 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cellweave.functions import zcurve
 from cellweave.functions.zcurve import HALF, axis_index, cover_ranges, with_morton
 from cellweave.operators import proximity
 from tests.helpers import rows
@@ -77,3 +79,56 @@ def test_codes_and_ranges(spark):
     one = spark.createDataFrame([(1,)], "id int")
     ranges = cover_ranges(one, ["id"], F.lit(4), F.lit(7), F.lit(4), F.lit(7), F.lit(0))
     assert rows(ranges, "lo", "hi") == {(48, 63)}  # a whole quadtree cell is one range
+
+
+def test_ranges_of_discs():
+    rnd = np.random.default_rng(3)
+    x, y = rnd.integers(0, 60, 200), rnd.integers(0, 60, 200)
+    assert (zcurve._gathered(zcurve._spread(x) | (zcurve._spread(y) << 1)) == x).all()
+    assert zcurve._gathered(np.array([2**62 - 1]))[0] == 2**31 - 1
+    code = zcurve._spread(x) | (zcurve._spread(y) << 1)
+    for reach in (1, 2, 3):
+        row, lo, hi = zcurve.disc_ranges(code, reach)
+        for i in range(len(code)):
+            near = (np.maximum(abs(x - x[i]) - 1, 0) ** 2 + np.maximum(abs(y - y[i]) - 1, 0) ** 2 < reach**2) & (code >= code[i])
+            held = ((code[:, None] >= lo[row == i]) & (code[:, None] <= hi[row == i])).sum(axis=1)
+            assert (held == near).all()
+    assert len(zcurve.disc_ranges(np.array([0, 2**62 - 1]), 2)[0]) >= 2
+
+
+def test_sorted_range_join_over_borders(spark, monkeypatch):
+    monkeypatch.setattr(zcurve, "AT_ONCE", 7)
+    rnd = random.Random(8)
+    coded = [(rnd.choice("ABC"), rnd.randint(0, 90), i) for i in range(300)] + [("B", 40, i) for i in range(300, 700)]  # one code in several partitions
+    ranged = [(rnd.choice("ABCD"), lo, lo + rnd.choice([0, 3, 200]), i) for i, lo in enumerate(rnd.randint(-5, 95) for _ in range(60))]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    table = zcurve.code_sorted(spark.createDataFrame(coded, "space string, code long, id long"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert table.select("z_part").distinct().count() > 1
+
+    def ends(batch):
+        return np.arange(batch.num_rows), batch.column("lo").to_numpy(), batch.column("hi").to_numpy()
+
+    found = zcurve.sorted_range_join(spark.createDataFrame(ranged, "space string, lo long, hi long, r long"), table, ends, lambda a, b: [True] * a.num_rows)
+    wanted = sorted((r, i) for s, lo, hi, r in ranged for t, c, i in coded if s == t and lo <= c <= hi)
+    assert sorted((x.a_r, x.b_id) for x in found.collect()) == wanted
+
+
+def test_a_wide_rectangle_leaves_the_buckets_small(spark):
+    rnd = random.Random(9)
+    pts = spark.createDataFrame([("S", "o", f"k{i}", rnd.uniform(0, 5000), rnd.uniform(0, 5000), 1, "z") for i in range(2000)], POINT)
+    rects = [("S", f"r{i}", x, x + 400, x, x + 400, 1) for i, x in enumerate(range(0, 5000, 500))]
+    wide = [("S", "wide", -4e8, 4e8, -4e8, 4e8, 1)]
+    met = []
+    for regions in (rects, rects + wide):
+        frame = spark.createDataFrame(regions, REGION)
+        met.append(proximity.in_regions(pts, frame, 10.0).where("region <> 'wide'").count())
+    assert met[0] == met[1] > 0
+    level = F.when(F.col("x_max") - F.col("x_min") > 1e6, 23).otherwise(3)
+    index = lambda c: axis_index(F.col(c), 10.0)
+    covers = cover_ranges(spark.createDataFrame(rects + wide, REGION), ["space", "region"], index("x_min"), index("x_max"), index("y_min"), index("y_max"), level)
+    coded = with_morton(pts, index("x"), index("y"), "code")
+    candidates = zcurve.level_join(covers, coded, ["space"])
+    narrow = sum(1 for r in candidates.select("region").collect() if r.region != "wide")
+    assert narrow < 2000  # a narrow rectangle is met only from the few cells it covers, not from everywhere under the wide one
+    assert candidates.where("region = 'wide'").count() == 2000

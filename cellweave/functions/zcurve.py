@@ -207,7 +207,8 @@ def sorted_range_join(ranged: DataFrame, sorted_codes: DataFrame, make_ranges, k
                     inside = place - (np.cumsum(m) - m)[owner]
                     l, r = rows[cut:stop][owner], base + begin[cut:stop][owner] + inside
                     x, y = a.take(pa.array(l)), b.take(pa.array(r))
-                    mask = pa.array(keep(x, y))
+                    mask = keep(x, y)
+                    mask = mask if isinstance(mask, pa.ChunkedArray) else pa.array(mask, pa.bool_())
                     x, y = x.filter(mask), y.filter(mask)
                     if x.num_rows:
                         out.append(pa.table([x.column(c) for c in left] + [y.column(c) for c in right], names=empty.schema.names))

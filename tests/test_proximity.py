@@ -117,7 +117,7 @@ def test_sorted_range_join_over_borders(spark, monkeypatch):
 def test_a_wide_rectangle_leaves_the_buckets_small(spark):
     rnd = random.Random(9)
     pts = spark.createDataFrame([("S", "o", f"k{i}", rnd.uniform(0, 5000), rnd.uniform(0, 5000), 1, "z") for i in range(2000)], POINT)
-    rects = [("S", f"r{i}", x, x + 400, x, x + 400, 1) for i, x in enumerate(range(0, 5000, 500))]
+    rects = [("S", f"r{i}", x + 0.0, x + 400.0, x + 0.0, x + 400.0, 1) for i, x in enumerate(range(0, 5000, 500))]
     wide = [("S", "wide", -4e8, 4e8, -4e8, 4e8, 1)]
     met = []
     for regions in (rects, rects + wide):

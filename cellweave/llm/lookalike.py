@@ -2,16 +2,21 @@
 
 Nodes are the code points that occur in the corpus and the strings they stand for: compatibility and
 composed characters for their decomposition, every kind of space for the plain space, invisible
-characters for the empty string, look-alike letters for the Latin letter. Union-find over these pairs
+characters for the empty string, look-alike letters for the Latin letter or letters. Union-find over these pairs
 gives transitive classes (a full-width Cyrillic-looking letter, its plain form and the Latin letter fall
 together). Each class is written as one representative: the empty string or the string of a class that
 has one with several characters (only that direction rewrites the same way in every context), and else its most
-frequent code point in the corpus (of equally frequent ones, a plain one before a compatibility form). Texts are rewritten from left to right by a multi-pattern automaton,
-longest pattern first, and then composed.
+frequent code point in the corpus (of equally frequent ones, a plain one before a compatibility form); what that gives is composed. Code points
+and strings are the patterns of a multi-pattern automaton, which rewrites texts from left to right, longest pattern first; the rest is left to
+Unicode composition.
+
+Which letters look alike is taken from Unicode's data of confusable characters in the ICU library that Spark carries, and from a short
+list of letters on which that data takes another view.
 """
 
 from __future__ import annotations
 
+import string
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
@@ -20,12 +25,12 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scratch import saved
 
-# Letters of other scripts that look like a Latin letter, Latin letter first.
+# Letters of other scripts that look like a Latin letter, Latin letter first. They come before those of ICU.
 LOOKALIKES = (
     # Cyrillic, small
     "aа cс dԁ eе hһ iі jј lӏ oо pр qԛ sѕ vѵ wԝ xх yу yү "
@@ -33,7 +38,7 @@ LOOKALIKES = (
     "AА BВ CС EЕ HН IІ JЈ KК MМ OО PР QԚ SЅ TТ VѴ WԜ XХ YУ YҮ IӀ "
     # Greek
     "oο vν pρ jϳ cϲ AΑ BΒ EΕ ZΖ HΗ IΙ KΚ MΜ NΝ OΟ PΡ TΤ YΥ XΧ JͿ CϹ "
-    # Armenian, Cherokee and Lisu letters that are drawn as Latin ones
+    # Armenian and Cherokee letters that are drawn as Latin ones
     "oօ hհ uս qզ gց nո OՕ SՏ LԼ UՍ DᎠ RᎡ TᎢ AᎪ JᎫ EᎬ WᎳ MᎷ HᎻ GᏀ ZᏃ SᏚ VᏙ KᏦ PᏢ LᏞ CᏟ BᏴ"
 ).split()
 # Invisible characters that Unicode does not class as format characters.
@@ -45,9 +50,43 @@ def is_invisible(c: str) -> bool:
     return unicodedata.category(c) == "Cf" or c in INVISIBLE or "\ufe00" <= c <= "\ufe0f" or "\U000e0100" <= c <= "\U000e01ef"
 
 
-def pairs_of(code_points: Iterable[str], extra: Iterable[tuple[str, str]] = ()) -> Iterator[tuple[str, str]]:
-    """Pairs (character, string that looks the same)."""
-    letters = {pair[1]: pair[0] for pair in LOOKALIKES}
+def _script_letters() -> Iterator[str]:
+    """Assigned letters of other scripts than Latin that stand for themselves; ideographs and syllable blocks look like no letter."""
+    for i in range(0x80, 0x20000):
+        c = chr(i)
+        if unicodedata.category(c)[0] == "L" and not (0x3400 <= i < 0xA000 or 0xAC00 <= i < 0xD7B0):
+            if not unicodedata.name(c, "LATIN").startswith("LATIN") and unicodedata.normalize("NFKD", c) == c:
+                yield c
+
+
+def look_alike_letters(spark: SparkSession) -> dict[str, str]:
+    """Letters of other scripts with the Latin letter, or letters of one case, that look the same.
+
+    Two letters look the same if Unicode's skeletons of them, as the ICU library in Spark's driver makes them, are equal. Of several such Latin letters, I
+    and l, the one of the letter's own case is taken, the capital for letters without case. Only the driver asks ICU, once for all letters.
+    """
+    own = {pair[1]: pair[0] for pair in LOOKALIKES}
+    checker = spark.sparkContext._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
+    skeletons = lambda chars: checker.getSkeleton("\n".join(chars)).split("\n")
+    latin = dict(zip(string.ascii_letters, skeletons(string.ascii_letters), strict=True))
+    found = {}
+    letters = list(_script_letters())
+    for c, skeleton in zip(letters, skeletons(letters), strict=True):
+        of_case = string.ascii_lowercase if c.islower() else string.ascii_uppercase
+        other = of_case.swapcase()
+        single = [x for x in of_case + other if latin[x] == skeleton]
+        if single:
+            found[c] = single[0]
+        elif len(skeleton) > 1 and skeleton.isascii() and skeleton.isalpha():
+            spelled = [next((x for x in of_case if latin[x] == part), None) for part in skeleton]
+            if None not in spelled:
+                found[c] = "".join(spelled)
+    return {**found, **own}
+
+
+def pairs_of(code_points: Iterable[str], extra: Iterable[tuple[str, str]] = (), letters: dict[str, str] | None = None) -> Iterator[tuple[str, str]]:
+    """Pairs (character, string that looks the same). `letters` as `look_alike_letters` gives them; without it the short list."""
+    letters = {pair[1]: pair[0] for pair in LOOKALIKES} if letters is None else letters
     for c in code_points:
         if is_invisible(c):
             yield c, ""
@@ -55,7 +94,7 @@ def pairs_of(code_points: Iterable[str], extra: Iterable[tuple[str, str]] = ())
             yield c, " "
         elif c in letters:  # the lunate sigmas decompose to letters that look otherwise
             yield c, letters[c]
-        else:
+        elif not "\uac00" <= c <= "\ud7a3":  # syllable blocks are left to Unicode composition
             plain = unicodedata.normalize("NFKD", c)
             if plain != c:
                 yield c, plain
@@ -82,10 +121,10 @@ def classes(pairs: Iterable[tuple[str, str]]) -> dict[str, str]:
     return {s: root(s) for s in list(parent)}
 
 
-def rewriting(frequencies: dict[str, int], extra: Iterable[tuple[str, str]] = ()) -> dict[str, str]:
-    """What each pattern is rewritten to, for a corpus with these code point frequencies."""
+def rewriting(frequencies: dict[str, int], extra: Iterable[tuple[str, str]] = (), letters: dict[str, str] | None = None) -> dict[str, str]:
+    """What each pattern, a code point or a string, is rewritten to, for a corpus with these code point frequencies."""
     members: dict[str, list[str]] = {}
-    for s, r in classes(pairs_of(frequencies, extra)).items():
+    for s, r in classes(pairs_of(frequencies, extra, letters)).items():
         members.setdefault(r, []).append(s)
     chosen: dict[str, str] = {}
     for group in members.values():
@@ -97,15 +136,16 @@ def rewriting(frequencies: dict[str, int], extra: Iterable[tuple[str, str]] = ()
             best = min(group, key=lambda s: (-frequencies.get(s, 0), unicodedata.normalize("NFKC", s) != s, s))
         chosen.update(dict.fromkeys(group, best))
 
-    def spelled(s: str, depth: int = 0) -> str:
+    def spelled(s: str, within: frozenset[str] = frozenset()) -> str:
+        """s with every string in it replaced until nothing changes; a string within itself stays."""
         to = chosen.get(s, s)
-        if to == s and len(s) > 1 or len(to) > 1 and depth < 8:
-            return "".join(spelled(c, depth + 1) if c != s else c for c in to)
-        return to
+        if len(to) < 2 or s in within:
+            return to
+        return "".join(c if c == s else spelled(c, within | {s}) for c in to)
 
-    table = {s: spelled(s) for s in chosen}
     compose = lambda s: unicodedata.normalize("NFC", s)
-    return {s: to for s, to in table.items() if s and (len(s) == 1 or (s, to) != (s, s)) and compose(to) != compose(s)}
+    table = {s: compose(spelled(s)) for s in chosen if s}
+    return {s: to for s, to in table.items() if to != s}
 
 
 def rewriter(table: dict[str, str]) -> Callable[[str], str]:
@@ -134,26 +174,19 @@ def rewriter(table: dict[str, str]) -> Callable[[str], str]:
     return rewrite
 
 
-@lru_cache(maxsize=1)
-def plain_form() -> Callable[[str], str]:
-    """A rewriter that needs no corpus: every class that has a Latin letter is written with it.
+def plain_table(letters: dict[str, str] | None = None) -> dict[str, str]:
+    """A rewriting table over all assigned characters that needs no corpus: every class that has a Latin letter is written with it.
 
-    Used where two texts only have to be compared. Its patterns are found as characters turn up.
+    Used where two texts only have to be compared.
     """
-    known: dict[str, str] = {}
-    weights = {chr(i): 1 for i in range(128)}
+    assigned = (chr(i) for i in range(0x110000) if unicodedata.category(chr(i)) not in ("Cn", "Co", "Cs", "Cc"))
+    return rewriting({c: int(c.isascii()) for c in assigned}, letters=letters)
 
-    def rewrite(text: str) -> str:
-        if text.isascii():
-            return text
-        new = set(text) - known.keys()
-        if new:
-            known.update(dict.fromkeys(new, ""))
-            rewrite.run = rewriter(rewriting({**dict.fromkeys(known, 0), **weights}))
-        return rewrite.run(text)
 
-    rewrite.run = None
-    return rewrite
+@lru_cache(maxsize=1)
+def plain_form() -> Callable[[str], str]:
+    """The rewriter of `plain_table` with the short list of letters."""
+    return rewriter(plain_table())
 
 
 def code_point_frequencies(texts: DataFrame, text: str) -> DataFrame:
@@ -174,7 +207,7 @@ def code_point_frequencies(texts: DataFrame, text: str) -> DataFrame:
 def corpus_table(texts: DataFrame, text: str) -> dict[str, str]:
     """The rewriting table of a corpus. Unicode bounds the frequencies that are collected, not the corpus."""
     rows = code_point_frequencies(texts, text).collect()
-    return rewriting({chr(r["code_point"]): r["n"] for r in rows})
+    return rewriting({chr(r["code_point"]): r["n"] for r in rows}, letters=look_alike_letters(texts.sparkSession))
 
 
 def consistent_texts(texts: DataFrame, doc_id: str, text: str) -> DataFrame:

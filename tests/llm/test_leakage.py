@@ -41,7 +41,7 @@ def test_against_brute_force(spark, shared, gram, max_words):
 def test_passage_across_cues(spark):
     item = "One two three four five six seven eight nine ten eleven twelve thirteen"
     doc = "\ufeff1\r\n00:00:01,000 --> 00:00:02,000\r\n<i>One two three</i> {b}four\r\n\r\n2\r\n00:00:03.000 --> 0l:00:04.000\r\n[door] five (noise) six ѕeven\r\nEIGHT ni\u00adne ten eleven\r\n\r\n3\r\n00:05.000\u00a0--> 00:06.000\r\ntwelve thirteen\r\n"
-    assert rows(run(spark, [(1, doc)], [(1, item), (2, item.rsplit(" ", 1)[0])])) == {(1, 1, 13)}
+    assert rows(run(spark, [(1, doc)], [(1, item), (2, item.rsplit(" ", 1)[0])])) == {(1, 1, 13, 0, 0)}
 
 
 def test_digits_that_are_text_stay():
@@ -64,7 +64,7 @@ def test_a_passage_quoted_by_very_many(spark):
 def test_long_document(spark):
     words = [f"u{i % 997}" for i in range(200_000)]
     words[150_000:150_013] = [f"k{i}" for i in range(13)]
-    assert rows(run(spark, [(1, " ".join(words))], [(1, " ".join(f"k{i}" for i in range(13)))])) == {(1, 1, 13)}
+    assert rows(run(spark, [(1, " ".join(words))], [(1, " ".join(f"k{i}" for i in range(13)))])) == {(1, 1, 13, 150_000, 0)}
 
 
 def test_every_shared_span_keeps_a_common_fingerprint():
@@ -75,3 +75,35 @@ def test_every_shared_span_keeps_a_common_fingerprint():
         b[j : j + 13] = a[i : i + 13]
         one, two = (set(leakage.winnow(x, np.array([60]), 7, 7)[1].tolist()) for x in (a, b))
         assert one & two
+
+
+def longest_span(a, b):
+    """(words, first in a, first in b) of the longest common run, by the table of common endings."""
+    best, ends = (0, 0, 0), [0] * (len(b) + 1)
+    for i, x in enumerate(a):
+        new = [0] * (len(b) + 1)
+        for j, y in enumerate(b):
+            if x == y:
+                new[j + 1] = ends[j] + 1
+                best = max(best, (new[j + 1], -(i + 1 - new[j + 1]), -(j + 1 - new[j + 1])))
+        ends = new
+    return best[0], -best[1], -best[2]
+
+
+def test_whole_spans(spark):
+    rnd = random.Random(11)
+    long = [f"w{rnd.randint(0, 400)}" for _ in range(200)]
+    docs = [(1, " ".join(["x"] * 7 + long + ["y"] * 9)), (2, " ".join(long[50:] + ["z"] + long[:49]))]
+    docs += [(10 + i, " ".join([f"n{i}"] * rnd.randint(0, 5) + long[(a := rnd.randint(0, 150)) : a + rnd.randint(13, 60)] + ["m"] + long[:20])) for i in range(30)]
+    found = {(r.doc_id, r.item_id): r for r in run(spark, docs, [(1, " ".join(long))]).collect()}
+    assert found[1, 1].words == 200 and (found[1, 1].doc_from, found[1, 1].item_from) == (7, 0)
+    for d, text in docs:
+        words, at, of = longest_span(text.split(), long)
+        row = found[d, 1]
+        assert row.words == words and text.split()[row.doc_from : row.doc_from + words] == long[row.item_from : row.item_from + words]
+
+
+def test_letters_of_rarer_scripts(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve thirteen"
+    doc = item.replace("one", "\u2c9fne").replace("three", "th\u1d26ee").replace("ten", "te\u0578")  # Coptic, Greek and Armenian letters
+    assert rows(run(spark, [(1, doc)], [(1, item)]), "doc_id", "item_id", "words") == {(1, 1, 13)}

@@ -13,10 +13,10 @@ LETTERS = {p[1]: p[0] for p in lookalike.LOOKALIKES}
 DOC = "doc_id long, text string, form string, own int"
 
 
-def reference_form(text):
+def reference_form(text, letters=LETTERS):
     """Decompose, drop, replace one by one, compose."""
     plain = unicodedata.normalize("NFKD", text)
-    kept = (" " if unicodedata.category(c) == "Zs" else LETTERS.get(c, c) for c in plain if not lookalike.is_invisible(c))
+    kept = (" " if unicodedata.category(c) == "Zs" else letters.get(c, c) for c in plain if not lookalike.is_invisible(c))
     return unicodedata.normalize("NFC", "".join(kept))
 
 
@@ -99,3 +99,35 @@ def test_capital_and_variant_letters(latin, other):
     assert lookalike.plain_form()(f"ab{other}d") == f"ab{latin}d"
     assert lookalike.rewriting({latin: 9, other: 1}).get(other) == latin
     assert not {"\u03c2", "\u03a3"} & lookalike.rewriting({latin: 9, other: 1, "\u03c2": 1, "\u03a3": 1}).keys()
+
+
+def test_letters_of_the_library(spark):
+    letters = lookalike.look_alike_letters(spark)
+    assert len(letters) > 280 and LETTERS.items() <= letters.items()
+    assert {"\ua4ee": "A", "\u2c9f": "o", "\u2c9e": "O", "\u0399": "I", "\u1d26": "r", "\u04d4": "AE", "\u04d5": "ae", "\ua4f2": "I"}.items() <= letters.items()
+    assert not any(unicodedata.name(c).startswith("LATIN") for c in letters)
+    assert not {"\u0437", "\u0436", "\u4e00", "\uac00", "m", "I"} & letters.keys()
+    table = lookalike.plain_table(letters)
+    rewrite = lookalike.rewriter(table)
+    assert all(rewrite(c) == x for c, x in letters.items())
+    assert rewrite("\u04d4x \u0435\u0301 rn vv ll 1l") == "AEx é rn vv ll 1l"
+    assert sum(len(p) > 1 for p in table) > 500  # strings are patterns too
+    text = "".join(c for c in letters if unicodedata.normalize("NFKD", c) == c)
+    assert reference_form(text, letters) == rewrite(text)
+
+
+def test_strings_are_patterns():
+    table = lookalike.rewriting(collections.Counter("caf\u00e9 e\u0301 \u0435\u0301"))
+    assert table["e\u0301"] == "é" and table["\u0435"] == "e"
+    extra = [("m", "rn"), ("w", "vv"), ("rn", "nn")]
+    table = lookalike.rewriting(collections.Counter("modern www"), extra=extra)
+    rewrite = lookalike.rewriter(table)
+    assert rewrite("modern") == rewrite("rnodenn") == rewrite("nnodem") and rewrite("wow") == rewrite("vvovv")
+
+
+def test_chains_are_followed_to_their_end():
+    chain = [(chr(0xE000 + i), chr(0xE001 + i) + "x") for i in range(40)]  # each stands for the next and a letter more
+    rewrite = lookalike.rewriter(lookalike.rewriting(dict.fromkeys("x", 1), extra=chain))
+    assert rewrite("\ue000") == "\ue028" + "x" * 40
+    loop = lookalike.rewriter(lookalike.rewriting(dict.fromkeys("ab", 1), extra=[("a", "bb"), ("b", "aa")]))
+    assert loop("ab")

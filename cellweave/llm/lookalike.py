@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import string
 import unicodedata
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -148,21 +148,42 @@ def rewriting(frequencies: dict[str, int], extra: Iterable[tuple[str, str]] = ()
     return {s: to for s, to in table.items() if to != s}
 
 
-def rewriter(table: dict[str, str]) -> Callable[[str], str]:
-    """Function that rewrites a text by `table`, from left to right, longest pattern first."""
-    if not table:
-        return lambda text: text if text.isascii() else unicodedata.normalize("NFC", text)
-    automaton = ahocorasick.Automaton()
-    for pattern, to in table.items():
-        automaton.add_word(pattern, (len(pattern), to))
-    automaton.make_automaton()
-    ascii_too = any(p.isascii() for p in table)
+class Rewriter:
+    """Rewrites texts by a table, from left to right, longest pattern first, and composes them.
 
-    def rewrite(text: str) -> str:
-        if text.isascii() and not ascii_too:
+    The automaton searches the children of a node one by one, so it holds only patterns whose characters have occurred; `prepare`
+    brings in those of many texts at once, before they are rewritten.
+    """
+
+    def __init__(self, table: dict[str, str]):
+        self.table = table
+        self.ascii_too = any(p.isascii() for p in table)
+        self.special = {c for p in table for c in p if self.ascii_too or not c.isascii()}
+        self.known: set[str] = set()
+        self.automaton: ahocorasick.Automaton | None = None
+
+    def prepare(self, texts: Iterable[str]) -> None:
+        fresh = set().union(*(set(t) for t in texts if self.ascii_too or not t.isascii())) & self.special - self.known
+        if not fresh:
+            return
+        self.known |= fresh
+        missing = self.special - self.known
+        made = ahocorasick.Automaton()
+        for pattern, to in self.table.items():
+            if missing.isdisjoint(pattern):
+                made.add_word(pattern, (len(pattern), to))
+        if len(made):
+            made.make_automaton()
+            self.automaton = made
+
+    def __call__(self, text: str) -> str:
+        if text.isascii() and not self.ascii_too:
             return text
+        self.prepare([text])
+        if self.automaton is None:
+            return unicodedata.normalize("NFC", text)
         made, at = [], 0
-        for end, (size, to) in automaton.iter_long(text):
+        for end, (size, to) in self.automaton.iter_long(text):
             start = end + 1 - size
             if start > at:
                 made.append(text[at:start])
@@ -171,7 +192,10 @@ def rewriter(table: dict[str, str]) -> Callable[[str], str]:
         made.append(text[at:])
         return unicodedata.normalize("NFC", "".join(made))
 
-    return rewrite
+
+def rewriter(table: dict[str, str]) -> Rewriter:
+    """The rewriter of a table."""
+    return Rewriter(table)
 
 
 def plain_table(letters: dict[str, str] | None = None) -> dict[str, str]:
@@ -184,7 +208,7 @@ def plain_table(letters: dict[str, str] | None = None) -> dict[str, str]:
 
 
 @lru_cache(maxsize=1)
-def plain_form() -> Callable[[str], str]:
+def plain_form() -> Rewriter:
     """The rewriter of `plain_table` with the short list of letters."""
     return rewriter(plain_table())
 
@@ -218,6 +242,7 @@ def consistent_texts(texts: DataFrame, doc_id: str, text: str) -> DataFrame:
         rewrite = rewriter(table)
         for batch in batches:
             old = batch.column(1).to_pylist()
+            rewrite.prepare(t for t in old if t)
             new = [None if t is None else rewrite(t) for t in old]
             changed = [a is not None and a != b for a, b in zip(old, new, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.string()), pa.array(changed)], names=batch.schema.names + ["changed"])
@@ -239,7 +264,9 @@ def text_forms(texts: DataFrame, doc_id: str, text: str) -> DataFrame:
         digest = lambda s: xxhash.xxh3_128_digest(s.encode("utf-8", "surrogatepass"))
         for batch in batches:
             own, form = [], []
-            for t in batch.column(1).to_pylist():
+            texts = batch.column(1).to_pylist()
+            rewrite.prepare(texts)
+            for t in texts:
                 own.append(digest(t))
                 made = rewrite(t)
                 form.append(own[-1] if made is t else digest(made))

@@ -16,6 +16,7 @@ list of letters on which that data takes another view.
 
 from __future__ import annotations
 
+import re
 import string
 import unicodedata
 from collections.abc import Iterable, Iterator
@@ -152,7 +153,8 @@ class Rewriter:
     """Rewrites texts by a table, from left to right, longest pattern first, and composes them.
 
     The automaton searches the children of a node one by one, so it holds only patterns whose characters have occurred; `prepare`
-    brings in those of many texts at once, before they are rewritten.
+    brings in those of many texts at once, before they are rewritten. Where patterns are made of other than ASCII characters, after at most one of
+    these, it is run on the stretches of a text that can hold one, and the rest is skipped.
     """
 
     def __init__(self, table: dict[str, str]):
@@ -161,6 +163,8 @@ class Rewriter:
         self.special = {c for p in table for c in p if self.ascii_too or not c.isascii()}
         self.known: set[str] = set()
         self.automaton: ahocorasick.Automaton | None = None
+        self.by_stretch = not any(c.isascii() for p in table for c in p[1:]) and not self.ascii_too
+        self.stretches: re.Pattern | None = None
 
     def prepare(self, texts: Iterable[str]) -> None:
         fresh = set().union(*(set(t) for t in texts if self.ascii_too or not t.isascii())) & self.special - self.known
@@ -175,6 +179,8 @@ class Rewriter:
         if len(made):
             made.make_automaton()
             self.automaton = made
+        if self.by_stretch:
+            self.stretches = re.compile("[\x00-\x7f]?[" + "".join(map(re.escape, sorted(self.known))) + "]+")
 
     def __call__(self, text: str) -> str:
         if text.isascii() and not self.ascii_too:
@@ -182,6 +188,10 @@ class Rewriter:
         self.prepare([text])
         if self.automaton is None:
             return unicodedata.normalize("NFC", text)
+        made = self._run(text) if self.stretches is None else self.stretches.sub(lambda m: self._run(m.group()), text)
+        return unicodedata.normalize("NFC", made)
+
+    def _run(self, text: str) -> str:
         made, at = [], 0
         for end, (size, to) in self.automaton.iter_long(text):
             start = end + 1 - size
@@ -190,7 +200,7 @@ class Rewriter:
             made.append(to)
             at = end + 1
         made.append(text[at:])
-        return unicodedata.normalize("NFC", "".join(made))
+        return "".join(made)
 
 
 def rewriter(table: dict[str, str]) -> Rewriter:

@@ -114,7 +114,10 @@ def mix_plan(sized: DataFrame, targets: DataFrame, block_tokens: int) -> DataFra
 
 
 def _slots(plan: DataFrame) -> DataFrame:
-    """(mix_name, slot, source, repeat_no, block) of every slot, made in chunks that spread over tasks."""
+    """(mix_name, slot, source, repeat_no, block) of every slot, made in chunks that spread over tasks.
+
+    The schedule can run ahead of a share by a few slots; a mix ends before the first slot that would take its source over its cap.
+    """
     spark = plan.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     upto = F.sum("share").over(Window.partitionBy("mix_name").orderBy("source").rowsBetween(Window.unboundedPreceding, 0))
@@ -130,7 +133,7 @@ def _slots(plan: DataFrame) -> DataFrame:
     # the golden-ratio point of a slot in two parts, so that no digits are lost for large slot numbers
     point = low * F.lit(GOLDEN) + high * F.lit(size * GOLDEN % 1.0)
     band = F.coalesce(F.filter("bands", lambda b: F.col("u") < b["upto"])[0], F.element_at("bands", -1))
-    filled = (
+    filled = saved(
         chunks.withColumn("slot", F.explode(F.sequence(F.col("chunk") * size, F.least(F.col("slots"), (F.col("chunk") + 1) * size) - 1)))
         .withColumn("u", point - F.floor(point))
         .withColumn("band", band)
@@ -143,11 +146,19 @@ def _slots(plan: DataFrame) -> DataFrame:
         .withColumn("before", F.sum("n").over(Window.partitionBy("mix_name", "source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
         .drop("n")
     )
-    return (
+    ranked = (
         filled.withColumn("place", F.row_number().over(Window.partitionBy(*own).orderBy("slot")) - 1)
         .join(before, own)
         .withColumn("rank", F.col("before") + F.col("place"))
-        .where(F.col("rank") < F.col("cap"))
+    )
+    # the slot of a source's first rank over its cap lies in one chunk, so only that chunk of a source is ranked for it
+    over = before.withColumn("after", F.lead("before").over(Window.partitionBy("mix_name", "source").orderBy("chunk")))
+    over = over.join(plan.select("mix_name", "source", "cap"), ["mix_name", "source"]).where((F.col("before") <= F.col("cap")) & (F.col("after").isNull() | (F.col("after") > F.col("cap"))))
+    reached = filled.join(over.select(*own, "before"), own).withColumn("place", F.row_number().over(Window.partitionBy(*own).orderBy("slot")) - 1)
+    ends = reached.where(F.col("before") + F.col("place") == F.col("cap")).groupBy("mix_name").agg(F.min("slot").alias("end"))
+    return (
+        ranked.join(ends, "mix_name", "left")
+        .where(F.col("end").isNull() | (F.col("slot") < F.col("end")))
         .select(
             "mix_name",
             "slot",
@@ -163,8 +174,8 @@ def mixture(sized: DataFrame, targets: DataFrame, block_tokens: int = 256, seed:
 
     sized: (doc_id, source, n_tokens). Labels match without case and surrounding spaces; documents
     without a source or tokens, and targets without a weight, take no part. Weights of a source that is listed
-    twice in a mix add up, its larger max_repeats holds; a missing max_repeats is 1. A slot beyond its source's cap
-    is left out, which happens at most for the few slots by which the schedule runs ahead of a share. A mix none of whose
+    twice in a mix add up, its larger max_repeats holds; a missing max_repeats is 1. A mix
+    has every slot up to its end, the first at which a source would exceed its cap. A mix none of whose
     sources has tokens has no rows. The last block of a source may be shorter. The result is the same on every run.
     """
     sized = sized.select("doc_id", F.lower(F.trim("source")).alias("source"), "n_tokens").where(F.col("source").isNotNull() & (F.col("source") != ""))

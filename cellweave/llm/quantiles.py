@@ -17,10 +17,11 @@ from operator import and_
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scratch import saved
+from ..functions.sizes import sort_partitions
 
 
 def value_counts(values: DataFrame, keys: list[str], value: str = "v", weight: str | None = None) -> DataFrame:
@@ -33,23 +34,26 @@ def value_counts(values: DataFrame, keys: list[str], value: str = "v", weight: s
     return values.groupBy(*keys, F.col(value).alias("v")).agg(n.cast("bigint").alias("w"))
 
 
+def _starts(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
+    """Row numbers at which a group starts in a batch sorted by group."""
+    new = np.zeros(batch.num_rows, dtype=bool)
+    new[0] = True
+    for k in keys:
+        here, there = batch.column(k).slice(1), batch.column(k).slice(0, batch.num_rows - 1)
+        new[1:] |= pc.fill_null(pc.not_equal(here, there), False).to_numpy(zero_copy_only=False)
+        if batch.column(k).null_count:
+            new[1:] |= pc.xor(pc.is_null(here), pc.is_null(there)).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(new)
+
+
 def _partition_pass(keys: list[str], percents: list[float], schema: pa.Schema):
     """mapInArrow function: one row per group of a partition sorted by (keys, v)."""
     ps = np.asarray(percents)
 
-    def finished(batch: pa.RecordBatch, pid: int) -> pa.RecordBatch:
-        n_rows = batch.num_rows
-        new = np.zeros(n_rows, dtype=bool)
-        new[0] = True
-        for k in keys:
-            here, there = batch.column(k).slice(1), batch.column(k).slice(0, n_rows - 1)
-            new[1:] |= pc.fill_null(pc.not_equal(here, there), False).to_numpy(zero_copy_only=False)
-            if batch.column(k).null_count:
-                new[1:] |= pc.xor(pc.is_null(here), pc.is_null(there)).to_numpy(zero_copy_only=False)
-        starts = np.flatnonzero(new)
-        ends = np.append(starts[1:], n_rows)
-        v = batch.column("v").to_numpy()
-        cum = np.cumsum(batch.column("w").to_numpy()) if "w" in batch.schema.names else np.arange(1, n_rows + 1, dtype=np.int64)
+    def finished(heads: pa.RecordBatch, starts: np.ndarray, v: np.ndarray, w: np.ndarray | None, pid: int) -> pa.RecordBatch:
+        """Rows of the groups that start at `starts`; heads: their keys, v and w: the values of all and their weights."""
+        ends = np.append(starts[1:], len(v))
+        cum = np.arange(1, len(v) + 1, dtype=np.int64) if w is None else np.cumsum(w)
         before = np.where(starts > 0, cum[starts - 1], 0)
         n = cum[ends - 1] - before
         at = (n[:, None] - 1) * ps
@@ -60,8 +64,7 @@ def _partition_pass(keys: list[str], percents: list[float], schema: pa.Schema):
         part = at - low
         q = np.where(part == 0, a, a * (1 - part) + b * part)
         lists = pa.ListArray.from_arrays(np.arange(0, q.size + 1, len(ps), dtype=np.int32), pa.array(q.ravel()))
-        heads = pa.array(starts)
-        columns = [batch.column(k).take(heads) for k in keys]
+        columns = [heads.column(k) for k in keys]
         columns += [pa.array(np.full(len(starts), pid, dtype=np.int32)), pa.array(n), pa.array(v[starts]), pa.array(v[ends - 1]), lists]
         return pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
@@ -69,29 +72,36 @@ def _partition_pass(keys: list[str], percents: list[float], schema: pa.Schema):
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
-        open_run: list[pa.RecordBatch] = []  # batches so far of the group that is not over yet
+        head: pa.RecordBatch | None = None  # the group that is not over yet: its first row, and its values and weights so far
+        held: list[tuple[np.ndarray, np.ndarray | None]] = []
 
-        def key(batch: pa.RecordBatch, i: int) -> tuple:
-            return tuple(batch.column(k)[i].as_py() for k in keys)
+        def close() -> pa.RecordBatch:
+            weights = None if held[0][1] is None else np.concatenate([w for _, w in held])
+            return finished(head, np.zeros(1, np.int64), np.concatenate([v for v, _ in held]), weights, pid)
+
+        def same(batch: pa.RecordBatch) -> bool:
+            return all(head.column(k)[0].as_py() == batch.column(k)[0].as_py() for k in keys)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            last = key(batch, batch.num_rows - 1)
-            if open_run and key(open_run[0], 0) == last:
-                open_run.append(batch)
-                continue
-            joined = pa.concat_batches([*open_run, batch]) if open_run else batch
-            i = joined.num_rows - batch.num_rows  # the last group starts in this batch, found by halving
-            lo, hi = i, joined.num_rows - 1
-            while lo < hi:
-                mid = (lo + hi) // 2
-                lo, hi = (lo, mid) if key(joined, mid) == last else (mid + 1, hi)
-            if lo:
-                yield finished(joined.slice(0, lo), pid)
-            open_run = [joined.slice(lo)]
-        if open_run:
-            yield finished(pa.concat_batches(open_run), pid)
+            starts = _starts(batch, keys)
+            v, w = batch.column("v").to_numpy(), batch.column("w").to_numpy() if "w" in batch.schema.names else None
+            part = lambda a, b, v=v, w=w: (v[a:b], None if w is None else w[a:b])
+            begin = 0
+            if head is not None and same(batch):
+                begin = int(starts[1]) if len(starts) > 1 else len(v)
+                held.append(part(0, begin))
+            if begin < len(v):
+                if head is not None:
+                    yield close()
+                last = int(starts[-1])
+                if last > begin:
+                    inner = starts[(starts >= begin) & (starts < last)]
+                    yield finished(batch.take(pa.array(inner)), inner - begin, *part(begin, last), pid)
+                head, held = batch.slice(last, 1), [part(last, len(v))]
+        if head is not None:
+            yield close()
 
     return run
 
@@ -102,7 +112,7 @@ def percentiles(
     percents: list[float],
     value: str = "v",
     weight: str | None = None,
-    spread_by: list[Column] | None = None,
+    spread: bool = False,
 ) -> DataFrame:
     """(keys, n bigint, q array<double>): linear-interpolation percentiles of `value` per group, exact.
 
@@ -111,8 +121,9 @@ def percentiles(
     count as often as they occur, a row with weight w as w rows. Infinities are values like others. An
     empty table gives an empty result. Columns of the same names as the working columns may be present.
 
-    spread_by: columns whose hash splits rows with equal value among partitions when one value holds very
-    many rows; where it is not given, rows are first summed per (group, value), which has no such ties.
+    spread: rows of equal value are parted among partitions by their running number, for values that are mostly distinct; else rows are first summed
+    per (group, value), which costs a shuffle and leaves no ties. Either way a value that very many rows repeat fills no task.
+    The number of partitions grows with the input; a task holds the values, not the keys, of one group of its partition.
     """
     spark = values.sparkSession
     v = F.col(value).cast("double")
@@ -124,14 +135,14 @@ def percentiles(
         *[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)],
         (v + F.lit(0.0)).alias("v"),
         *([F.col(weight).cast("bigint").alias("w")] if weight is not None else []),
-        *([F.pmod(F.xxhash64(*spread_by), F.lit(64)).cast("int").alias("s")] if spread_by else []),
+        *([(F.monotonically_increasing_id() % F.lit(1024)).cast("smallint").alias("s")] if spread else []),
     )
-    if not spread_by:
+    if not spread:
         src = value_counts(src, names, "v", "w" if weight is not None else None)
     weighted = "w" in src.columns
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = sort_partitions(src)
     order = [F.col(c) for c in [*names, "v"]]
-    in_order = src.repartitionByRange(parts, *order, *([F.col("s")] if spread_by else [])).sortWithinPartitions(*order)
+    in_order = src.repartitionByRange(parts, *order, *([F.col("s")] if spread else [])).sortWithinPartitions(*order)
     fields = [f"{n} {src.schema[n].dataType.simpleString()}" for n in names]
     shape = spark.createDataFrame([], ", ".join([*fields, "pid int, n bigint, first double, last double, q array<double>"]))
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -35,12 +35,10 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _axis_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(cell, axis number, v) with a hash of the molecule's place to spread equal values."""
+    """(cell, loaded_at, axis number, v), a row per molecule and axis."""
     molecules = table(spark, sf_dir, "transcripts").where(F.col("cell").isNotNull())
     values = F.array(*[F.struct(F.lit(i).cast("tinyint").alias("axis"), F.col(a).alias("v")) for i, a in enumerate(AXES)])
-    return molecules.select("cell", "loaded_at", F.xxhash64(*AXES).alias("place"), F.explode(values).alias("a")).select(
-        "cell", "loaded_at", "place", "a.axis", "a.v"
-    )
+    return molecules.select("cell", "loaded_at", F.explode(values).alias("a")).select("cell", "loaded_at", "a.axis", "a.v")
 
 
 def _by_axis_name(q: DataFrame) -> DataFrame:
@@ -50,7 +48,7 @@ def _by_axis_name(q: DataFrame) -> DataFrame:
 
 def p3_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = _axis_values(spark, sf_dir)
-    return _by_axis_name(percentiles(values, ["cell", "axis"], QUARTILES, spread_by=[F.col("place")]))
+    return _by_axis_name(percentiles(values, ["cell", "axis"], QUARTILES, spread=True))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,6 +70,19 @@ def test_slots_are_spread(spark):
     assert dict(uses) and all(n <= {"big": 3, "mid": 4, "small": 8}[s] for s, n in uses)
 
 
+def test_no_slot_is_left_out(spark, monkeypatch):
+    for bits in (16, 3):
+        monkeypatch.setattr(mixture, "CHUNK_BITS", bits)
+        tight = [("m", "big", 1.0, 1), ("m", "mid", 1.0, 1), ("m", "small", 1.0, 1), ("q", "small", 1.0, 1), ("q", "mid", 7.3, 1)]
+        slots = mixture.mixture(docs(spark, SIZES), targets(spark, tight), block_tokens=32).select("mix_name", "slot", "source").distinct().collect()
+        for mix in "mq":
+            mine = sorted((r.slot, r.source) for r in slots if r.mix_name == mix)
+            assert [n for n, _ in mine] == list(range(len(mine))) and mine
+        used = collections.Counter(r.source for r in slots if r.mix_name == "m")
+        small = math.ceil(50 * 40 / 32)
+        assert used["small"] <= small and max(used.values()) - min(used.values()) <= 4 and used["small"] >= small - 4
+
+
 def test_the_same_on_every_run(spark):
     a, b = (mixture.mixture(docs(spark, SIZES).repartition(n), targets(spark, ROWS), 32).collect() for n in (1, 5))
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))

@@ -3,7 +3,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from cellweave.llm import quantiles
 
@@ -42,14 +41,13 @@ def data(seed, hot):
 @pytest.mark.parametrize("spread", [True, False])
 def test_against_numpy(spark, hot, spread):
     made = data(8, hot)
-    by = [F.xxhash64("w", "x")] if spread else None
-    check(quantiles.percentiles(frame(spark, made), ["g", "a"], PS, "x", spread_by=by), brute(made))
+    check(quantiles.percentiles(frame(spark, made), ["g", "a"], PS, "x", spread=spread), brute(made))
 
 
 def test_one_group_over_all_partitions(spark):
     rnd = random.Random(1)
     made = [("all", 1, rnd.gauss(0, 1), 1) for _ in range(3000)]
-    check(quantiles.percentiles(frame(spark, made), ["g", "a"], PS, "x", spread_by=[F.xxhash64("x")]), brute(made))
+    check(quantiles.percentiles(frame(spark, made), ["g", "a"], PS, "x", spread=True), brute(made))
 
 
 def test_weights_and_combined_loads(spark):
@@ -64,3 +62,20 @@ def test_infinities_and_empty(spark):
     found = quantiles.percentiles(frame(spark, made), ["g", "a"], [0.5], "x").first()
     assert (found.n, found.q) == (3, [2.0])
     assert quantiles.percentiles(frame(spark, []), ["g", "a"], PS, "x").count() == 0
+
+
+def test_a_repeated_row_is_parted(spark):
+    made = [("rep", 1, 2.5, 1)] * 4000 + [("g", 1, float(i), 1) for i in range(50)]
+    check(quantiles.percentiles(frame(spark, made), ["g", "a"], PS, "x", spread=True), brute(made))
+    same = frame(spark, made).selectExpr("g", "x", "CAST(monotonically_increasing_id() % 1024 AS smallint) AS s").repartitionByRange(4, "g", "x", "s")
+    sizes = [r[0] for r in same.groupBy("g", "x").agg({"*": "count"}).where("g = 'rep'").select("count(1)").collect()]
+    parts = same.where("g = 'rep'").selectExpr("spark_partition_id() AS p").groupBy("p").count().collect()
+    assert sizes == [4000] and max(r["count"] for r in parts) < 2000
+
+
+def test_small_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    made = data(12, "mixed")
+    check(quantiles.percentiles(frame(spark, made), ["g", "a"], PS, "x", spread=True), brute(made))
+    check(quantiles.percentiles(frame(spark, made), ["g", "a"], PS, "x", weight="w"), brute(made, True))
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

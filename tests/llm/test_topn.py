@@ -41,3 +41,13 @@ def test_empty_and_long(spark):
     assert topn.top_items(frame(spark, []), ["g"], "item", "score", 3).count() == 0
     long = "x" * 500_000
     assert rows(topn.top_items(frame(spark, [(1, "a", long, 1.0)]), ["g"], "item", "score", 3)) == {(1, long, 1.0, 1)}
+
+
+def test_items_keep_their_type_and_order(spark):
+    data = [(g, i % 40, float(i % 3)) for g in (1, 2) for i in range(100)]
+    found = topn.top_items(spark.createDataFrame(data, "g int, item int, score double"), ["g"], "item", "score", 5)
+    assert found.schema["item"].dataType.simpleString() == "int"
+    wanted = {(g, i, 2.0, n + 1) for g in (1, 2) for n, i in enumerate(sorted({i % 40 for i in range(100) if i % 3 == 2})[:5])}
+    assert rows(found) == wanted
+    dates = spark.sql("SELECT 1 AS g, date'2024-01-01' + CAST(id AS int) AS item, 1.0 AS score FROM range(9)")
+    assert topn.top_items(dates, ["g"], "item", "score", 2).schema["item"].dataType.simpleString() == "date"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 #: Bytes of input, as Spark estimates them from its files, for one partition.
-PARTITION_BYTES = 16 << 20
+PARTITION_BYTES = 8 << 20
 #: Estimates beyond this are Spark's way to say that it does not know.
 UNKNOWN_BYTES = 1 << 50
 

@@ -135,7 +135,7 @@ def percentiles(
         *[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)],
         (v + F.lit(0.0)).alias("v"),
         *([F.col(weight).cast("bigint").alias("w")] if weight is not None else []),
-        *([(F.monotonically_increasing_id() % F.lit(1024)).cast("smallint").alias("s")] if spread else []),
+        *([(F.shiftright(F.monotonically_increasing_id(), 5) % F.lit(1024)).cast("smallint").alias("s")] if spread else []),
     )
     if not spread:
         src = value_counts(src, names, "v", "w" if weight is not None else None)

@@ -76,3 +76,9 @@ def merged(master: Mapping, project: Mapping) -> dict:
     return {
         k: merged(v, project.get(k) or {}) if isinstance(v, Mapping) else (project[k] if k in project else v) for k, v in master.items()
     }
+
+
+def dumped(settings: Mapping[str, object], path: str) -> None:
+    """Settings as a YAML file, in the order given."""
+    with open(path, "w", encoding="utf-8") as f:
+        yaml.safe_dump(dict(settings), f, sort_keys=False)

@@ -78,21 +78,6 @@ def chi2_upper(x, df) -> np.ndarray:
     return np.vectorize(one, otypes=[float])(np.asarray(x, float), np.asarray(df, float))
 
 
-def normal_quantile(p) -> np.ndarray:
-    """Inverse of the standard normal distribution function, by bisection on erfc."""
-
-    def one(u: float) -> float:
-        if not 0 < u < 1:
-            return math.nan if not 0 <= u <= 1 else math.copysign(math.inf, u - 0.5)
-        lo, hi = -40.0, 40.0
-        for _ in range(120):
-            mid = (lo + hi) / 2
-            lo, hi = (mid, hi) if 0.5 * math.erfc(-mid / math.sqrt(2)) < u else (lo, mid)
-        return (lo + hi) / 2
-
-    return np.vectorize(one, otypes=[float])(np.asarray(p, float))
-
-
 def _udf(function, *args: Column) -> Column:
     @F.pandas_udf("double")
     def tail(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -115,9 +100,32 @@ def chi2_upper_col(x: Column, df: Column) -> Column:
     return _udf(chi2_upper, x.cast("double"), df.cast("double"))
 
 
+# Coefficients of a rational approximation of the normal quantile (Acklam 2003), for the centre and for the edges.
+LOW_P = 0.02425
+CENTRE = (
+    (-3.969683028665376e01, 2.209460984245205e02, -2.759285104469687e02, 1.383577518672690e02, -3.066479806614716e01, 2.506628277459239e00),
+    (-5.447609879822406e01, 1.615858368580409e02, -1.556989798598866e02, 6.680131188771972e01, -1.328068155288572e01),
+)
+EDGE = (
+    (-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e00, -2.549732539343734e00, 4.374664141464968e00, 2.938163982698783e00),
+    (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e00, 3.754408661907416e00),
+)
+
+
+def _polynomial(coefficients: tuple[float, ...], x: Column) -> Column:
+    made = F.lit(coefficients[0])
+    for c in coefficients[1:]:
+        made = made * x + F.lit(c)
+    return made
+
+
 def normal_quantile_col(p: Column) -> Column:
-    """Standard normal quantile as a column."""
-    return _udf(lambda u, _: normal_quantile(u), p.cast("double"), F.lit(0.0))
+    """Standard normal quantile as a column, to nine digits; null outside (0, 1)."""
+    edge = lambda u: _polynomial(EDGE[0], u) / _polynomial((*EDGE[1], 1.0), u)
+    q = p - 0.5
+    centre = _polynomial(CENTRE[0], q * q) * q / _polynomial((*CENTRE[1], 1.0), q * q)
+    inside = F.when(p < LOW_P, edge(F.sqrt(-2 * F.log(p)))).when(p > 1 - LOW_P, -edge(F.sqrt(-2 * F.log1p(-p)))).otherwise(centre)
+    return F.when((p > 0) & (p < 1), inside)
 
 
 def normal_upper_col(z: Column) -> Column:

@@ -181,3 +181,21 @@ def flag_sweep(flags: DataFrame, totals: DataFrame) -> DataFrame:
 def flagged_genes(cycles: DataFrame, bits: DataFrame) -> DataFrame:
     """(fov, gene): genes whose barcode has a colour in a flagged cycle of the FOV."""
     return cycles.where("flag_cycle").select("fov", "cycle").distinct().join(bits.select("gene", "cycle"), "cycle").select("fov", "gene").distinct()
+
+
+def flagged_fovs(cycles: DataFrame, totals: DataFrame) -> DataFrame:
+    """(slide, fov, flag_bias, flag_total, flagged): flagged in any cycle, for total counts, or for either."""
+    bias = cycles.groupBy("slide", "fov").agg(F.max("flag_cycle").alias("flag_bias"))
+    both = totals.select("slide", "fov", "flag_total").join(bias, ["slide", "fov"], "left").fillna(False, ["flag_bias"])
+    return both.select("slide", "fov", "flag_bias", "flag_total", (F.col("flag_bias") | F.col("flag_total")).alias("flagged"))
+
+
+def square_boxes(squares: DataFrame, points: DataFrame) -> DataFrame:
+    """(fov, square, x_min, x_max, y_min, y_max): the range of a square's cells, to be drawn as a box."""
+    held = squares.select("fov", "square", "cell_id").join(points.select("cell_id", "x", "y"), "cell_id")
+    return held.groupBy("fov", "square").agg(*[f(c).alias(f"{c}_{n}") for c in "xy" for f, n in ((F.min, "min"), (F.max, "max"))])
+
+
+def clipped_totals(resid: DataFrame, bound: float = 1.0) -> DataFrame:
+    """(square, clipped): total residuals within -bound and bound, for a colour scale."""
+    return resid.select("square", (F.greatest(F.lit(-bound), F.least(F.lit(bound), F.col("total_residual"))) + F.lit(0.0)).alias("clipped"))

@@ -22,6 +22,9 @@ class Limits:
     max_area: float = 30000.0
     min_signal: float = 4.0
     min_cells_per_fov: int = 50
+    area_alpha: float = 0.01
+    negative_alpha: float = 0.01
+    detection_alpha: float = 0.01
 
 
 def cell_totals(cells: DataFrame, counts: DataFrame) -> DataFrame:
@@ -58,7 +61,8 @@ def cell_flags(metrics: DataFrame, limits: Limits, area_outliers: DataFrame | No
     """metrics with one nullable flag per criterion and `flagged`.
 
     flagged combines minimum counts, negative proportion, complexity and area outlier; it is null where one of these is
-    unknown and none is true for sure, so that a filter on false drops such cells.
+    unknown, as a sum is, so that a filter on false drops such cells. area_outliers: (area), the values that count as
+    outliers; without it no area does. A missing area is no outlier.
     """
     flags = metrics.withColumns(
         {
@@ -72,7 +76,8 @@ def cell_flags(metrics: DataFrame, limits: Limits, area_outliers: DataFrame | No
     if area_outliers is None:
         flags = flags.withColumn("flag_area", F.lit(False))
     else:
-        flags = flags.join(F.broadcast(area_outliers.limit(2).select("area", F.lit(True).alias("flag_area"))), "area", "left").fillna(False, ["flag_area"])
+        known_outliers = area_outliers.select("area").where(F.col("area").isNotNull()).distinct().withColumn("flag_area", F.lit(True))
+        flags = flags.join(known_outliers, "area", "left").fillna(False, ["flag_area"])
     parts = ["flag_counts", "flag_negative", "flag_complexity", "flag_area"]
     known = sum((F.col(p).cast("int") for p in parts[1:]), F.col(parts[0]).cast("int"))
     return flags.withColumn("flagged", known > 0)
@@ -177,6 +182,48 @@ def grubbs(found: DataFrame) -> DataFrame:
     return found.withColumn("p10", p("t10", n)).withColumn("p11", p("t11", n * (n - 1)))
 
 
+def area_outliers(cells: DataFrame, alpha: float, value: str = "area") -> DataFrame:
+    """(area): the lowest and the highest value if both together are outliers by Grubbs' test of two ends, else no row."""
+    return grubbs(extremes(cells, value)).where(F.col("p11") < alpha).select(F.explode(F.array("lowest", "highest")).alias(value)).distinct()
+
+
+def negative_outliers(moments: DataFrame, alpha: float) -> DataFrame:
+    """(gene, mean, p, outlier): negative probes; an outlier's mean is the one farthest from the others, p that of Grubbs' test for one."""
+    probes = moments.where(F.col("assay") == "negative")
+    found = grubbs(extremes(probes, "mean")).select(
+        F.col("p10").alias("p"), F.when(F.col("highest") - F.col("mean") >= F.col("mean") - F.col("lowest"), F.col("highest")).otherwise(F.col("lowest")).alias("far")
+    )
+    low = F.coalesce((F.col("p") < alpha) & (F.col("mean") == F.col("far")), F.lit(False))
+    return probes.join(F.broadcast(found)).select("gene", "mean", "p", low.alias("outlier"))
+
+
+def flagged_targets(tested: DataFrame, below: DataFrame, by_quantile: bool, by_detection: bool) -> DataFrame:
+    """(gene): targets to be left out: below the negative quantile, undetected, or both where both are asked for."""
+    genes = tested.select("gene", "flag_detection").join(below.select("gene", "flag_below"), "gene")
+    flag = {(True, True): F.col("flag_detection") & F.col("flag_below"), (True, False): F.col("flag_below"), (False, True): F.col("flag_detection")}
+    return genes.where(flag.get((by_quantile, by_detection), F.lit(False))).select("gene")
+
+
+def filtered(
+    cells: DataFrame, counts: DataFrame, cells_flagged: DataFrame | None, fovs_flagged: DataFrame | None, targets: DataFrame | None, negatives: DataFrame | None, pre_qc: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Cells and counts without what was flagged; pre_qc filters nothing, whatever is given.
+
+    cells_flagged: (cell_id, flagged), of which only false ones stay; fovs_flagged: (fov); targets and negatives: (gene), left out of their assay only.
+    Counts of cells that go are left out.
+    """
+    if pre_qc:
+        return cells, counts
+    if cells_flagged is not None:
+        cells = cells.join(cells_flagged.where(~F.col("flagged")).select("cell_id"), "cell_id", "left_semi")
+    if fovs_flagged is not None:
+        cells = cells.join(fovs_flagged.select("fov").distinct(), "fov", "left_anti")
+    for assay, genes in (("RNA", targets), ("negative", negatives)):
+        if genes is not None:
+            counts = counts.join(genes.select("gene", F.lit(assay).alias("assay")).distinct(), ["gene", "assay"], "left_anti")
+    return cells, counts.join(cells.select("cell_id"), "cell_id", "left_semi")
+
+
 def gene_moments(counts: DataFrame, genes: DataFrame, n_cells: int, value: str = "count") -> DataFrame:
     """(gene, assay, n_cells, mean, sd): over all cells, cells without an entry count as 0; genes without any too."""
     v = F.col(value).cast("double")
@@ -215,7 +262,7 @@ def adjusted(rows: DataFrame, p: str, by: list[str] | None = None, key: str | No
     return stepped.withColumn("p_adj", F.when(F.col(p).isNotNull(), F.least(F.lit(1.0), F.min("bh_raw").over(from_here)))).drop("bh_raw")
 
 
-def undetected_targets(welch: DataFrame, below: DataFrame, cutoff: float = 0.05) -> DataFrame:
+def undetected_targets(welch: DataFrame, below: DataFrame, cutoff: float = 0.01) -> DataFrame:
     """(gene, p, p_adj, flag_detection, flag_both): one-sided test that a gene lies below background.
 
     Both flags: significantly below by the test, and below the quantile of the negative probes.

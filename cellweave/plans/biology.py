@@ -486,7 +486,7 @@ SQL = {
     "rule_conflicts": _LABELLED + "SELECT n_rules, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 2)::DOUBLE AS percent FROM typed GROUP BY 1",
     "final_labels": _LABELLED
     + """SELECT cell_id, final_type || CASE WHEN final_type = 'Parenchymal or unknown' THEN coalesce(niche::VARCHAR, '') ELSE '' END AS cell_label,
-        CASE WHEN regexp_matches(cell_type, '^(M(ac|o)|DC)\\|') THEN 'Myeloid' WHEN regexp_matches(cell_type, '^CD[48|]') THEN 'T cell' WHEN cell_type = 'Tumor|Intracellular_16S' THEN '16S+ tumor' ELSE 'Other' END AS category FROM typed""",
+        CASE WHEN regexp_matches(cell_type, '^(M(ac|o)|DC)\\|') THEN 'Myeloid' WHEN regexp_matches(cell_type, '^CD[4|8]') THEN 'T cell' WHEN cell_type = 'Tumor|Intracellular_16S' THEN '16S+ tumor' ELSE 'Other' END AS category FROM typed""",
     "neighbor_expression": _NEAR + "SELECT cell_id, gene, total, other FROM near",
     "contamination_ratio": _NEAR
     + """SELECT o.cell_type, o.gene, round(coalesce(m, 0) / own::DOUBLE, 8) AS ratio, coalesce(m, 0) / own::DOUBLE <= 1 AS kept

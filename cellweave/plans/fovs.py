@@ -6,12 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scratch import saved
+from ..functions.tails_sql import t_upper
 from ..operators import fovqc
 from . import domain
 
 MIN_CELLS = 4
 CYCLES = 8
 MAX_LOSS = 0.3
+#: The manifest is made at the smallest loss and a loose level, so that the tables have flagged genes at all.
+LOOSE_ALPHA = 0.05
+# The losses that are tried.
 LOSSES = [0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 
 
@@ -70,13 +74,27 @@ def fov_flag_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fov_flagged_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flags = fovqc.bit_flags(fovqc.fov_bias(_residuals(spark, sf_dir), [0.2]), alpha=0.05)
+    flags = fovqc.bit_flags(fovqc.fov_bias(_residuals(spark, sf_dir), [LOSSES[0]]), LOOSE_ALPHA)
     return fovqc.flagged_genes(fovqc.cycle_flags(flags), _gene_bits(spark, sf_dir))
 
 
+def fov_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FOVs flagged for bias in a cycle, for total counts, or for either."""
+    resid = saved(_residuals(spark, sf_dir))
+    return fovqc.flagged_fovs(fovqc.cycle_flags(fovqc.bit_flags(fovqc.fov_bias(resid, [MAX_LOSS]))), fovqc.low_total_fovs(resid, MAX_LOSS))
+
+
+def fov_plot_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Squares as boxes with their clipped residuals, and whether their FOV is flagged."""
+    squares = fovqc.grid_squares(domain.points(spark, sf_dir), min_cells=MIN_CELLS)
+    boxes = fovqc.square_boxes(squares, domain.points(spark, sf_dir))
+    found = boxes.join(fovqc.clipped_totals(_residuals(spark, sf_dir)), "square").join(fov_flags(spark, sf_dir).select("fov", "flagged"), "fov")
+    return found.select("fov", "square", "x_min", "x_max", "y_min", "y_max", F.round("clipped", 6).alias("clipped"), "flagged")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (fov_grid, square_bits, square_comparators, fov_total_residual, fov_low_total, fov_bit_residual, fov_bias, fov_flag_sweep, fov_flagged_genes)
+    for f in (fov_grid, square_bits, square_comparators, fov_total_residual, fov_low_total, fov_bit_residual, fov_bias, fov_flag_sweep, fov_flagged_genes, fov_flags, fov_plot_squares)
 }
 
 _GRID = domain.SQL + f""", placed AS (
@@ -105,7 +123,34 @@ _RESID = _GRID + f""", sums AS (SELECT slide, square, sum(mean) AS rs FROM bits
     ), hat AS (SELECT c.square, n.bit, avg(n.v) AS y, avg(n.total) AS ht FROM comp c JOIN norm n ON c.other = n.square GROUP BY ALL
     ), resid AS (SELECT n.slide, n.fov, n.square, n.bit, log2(n.total / ht) AS tr, log2((n.v + 1) / (y + 1)) AS r FROM norm n JOIN hat h ON n.square = h.square AND n.bit = h.bit)
 """
+def _cycles(losses: str, alpha: float = 0.01) -> str:
+    """cycles: share of flagged bits per FOV, loss and cycle; low: FOVs flagged by total counts."""
+    return f""", losses AS (SELECT unnest({losses}::DOUBLE[]) AS loss
+    ), stats AS (SELECT f.*, df, CASE WHEN df > 0 AND ss > 1e-12 THEN bias / sqrt(ss / df / n) END AS t
+        FROM (SELECT slide, fov, bit, count(*) AS n, avg(r) AS bias, sum(r * r) AS s2 FROM resid GROUP BY ALL) f
+        JOIN (SELECT slide, bit, (sum(n) - count(*))::BIGINT AS df, sum(s2 - n * bias * bias) AS ss FROM
+            (SELECT slide, fov, bit, count(*) AS n, avg(r) AS bias, sum(r * r) AS s2 FROM resid GROUP BY ALL) GROUP BY ALL) p ON f.slide = p.slide AND f.bit = p.bit
+    ), tested AS (SELECT *, 2 * {t_upper("abs(t)", "df")} AS p FROM stats
+    ), agreeing AS (SELECT slide, fov, bit, loss, avg(CASE WHEN r < log2(1 - loss) / 3 THEN 1.0 ELSE 0.0 END) AS agree FROM resid, losses GROUP BY ALL
+    ), cycles AS (SELECT t.slide, t.fov, loss, (t.bit // 4)::INT + 1 AS cycle, avg(CASE WHEN bias < log2(1 - loss) AND p < {alpha} AND agree >= 0.5 THEN 1.0 ELSE 0.0 END) AS share
+        FROM tested t JOIN agreeing a ON t.slide = a.slide AND t.fov = a.fov AND t.bit = a.bit GROUP BY ALL
+    ), low AS (SELECT slide, fov, avg(CASE WHEN tr < log2(1 - {MAX_LOSS}) THEN 1.0 ELSE 0.0 END) > 0.75 AS flag_total FROM resid WHERE bit = 0 GROUP BY ALL)
+"""
+
+
+_FLAGS = _RESID + _cycles(str([MAX_LOSS])) + f""", fov_flags AS (SELECT l.slide, l.fov, max(share) >= 0.5 AS flag_bias, any_value(flag_total) AS flag_total, max(share) >= 0.5 OR any_value(flag_total) AS flagged
+        FROM low l JOIN cycles c ON l.slide = c.slide AND l.fov = c.fov GROUP BY ALL)
+"""
 SQL = {
+    "fov_flag_sweep": _RESID
+    + _cycles(str(LOSSES))
+    + """SELECT slide, loss, sum(b)::BIGINT AS n_bias, sum(t)::BIGINT AS n_total, sum(greatest(b, t))::BIGINT AS n_flagged FROM (
+        SELECT c.slide, c.fov, loss, (max(share) >= 0.5)::INT AS b, any_value(flag_total)::INT AS t FROM cycles c JOIN low l ON c.fov = l.fov GROUP BY 1, 2, 3) GROUP BY 1, 2""",
+    "fov_flagged_genes": _RESID + _cycles(str(LOSSES[:1]), LOOSE_ALPHA) + "SELECT DISTINCT fov, gene FROM cycles c JOIN gene_bits g ON c.cycle = g.cycle WHERE share >= 0.5",
+    "fov_flags": _FLAGS + "SELECT slide, fov, flag_bias, flag_total, flagged FROM fov_flags",
+    "fov_plot_squares": _FLAGS
+    + """SELECT q.fov, q.square, min(x) AS x_min, max(x) AS x_max, min(y) AS y_min, max(y) AS y_max, round(any_value(greatest(-1.0, least(1.0, tr))), 6) + 0.0::DOUBLE AS clipped, any_value(flagged) AS flagged
+        FROM squares q JOIN pts p ON q.cell_id = p.cell_id JOIN (SELECT DISTINCT square, tr FROM resid WHERE bit = 0) r ON q.square = r.square JOIN fov_flags f ON q.fov = f.fov GROUP BY 1, 2""",
     "fov_grid": _GRID + "SELECT cell_id, square FROM squares",
     "square_bits": _GRID + "SELECT square, n_cells, round(total, 8) AS total, bit, round(mean, 8) AS mean FROM bits",
     "square_comparators": _RESID + "SELECT square, other, place FROM comp",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.tails_sql import t_upper
 from ..functions.values import value
 from ..operators import normalize, qc, transcripts
 from ..sources.tables import table
@@ -32,21 +33,24 @@ def cell_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _totals(spark, sf_dir).select("cell_id", "n_count", "n_feature", "n_neg", "n_bac")
 
 
+def _flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qc.cell_flags(_metrics(spark, sf_dir), LIMITS, qc.area_outliers(domain.cells(spark, sf_dir), LIMITS.area_alpha))
+
+
 def qc_cell_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cols = ["cell_id", "flag_counts", "flag_features", "flag_negative", "flag_complexity", "flag_signal", "flagged"]
-    return qc.cell_flags(_metrics(spark, sf_dir), LIMITS).select(*cols)
+    cols = ["cell_id", "flag_counts", "flag_features", "flag_negative", "flag_complexity", "flag_signal", "flag_area", "flagged"]
+    return _flags(spark, sf_dir).select(*cols)
 
 
 def qc_flags_by_slide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells passed, flagged and undecided per slide."""
-    flags = qc.cell_flags(_metrics(spark, sf_dir), LIMITS)
-    return flags.groupBy("slide").agg(
+    return _flags(spark, sf_dir).groupBy("slide").agg(
         F.count_if(F.col("flagged")).alias("n_flagged"), F.count_if(~F.col("flagged")).alias("n_passed"), F.count_if(F.col("flagged").isNull()).alias("n_unknown")
     )
 
 
 def qc_passed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return qc.cell_flags(_metrics(spark, sf_dir), LIMITS).where(~F.col("flagged")).select("cell_id", "slide", "fov")
+    return _flags(spark, sf_dir).where(~F.col("flagged")).select("cell_id", "slide", "fov")
 
 
 def qc_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +78,7 @@ def area_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def area_grubbs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return qc.grubbs(qc.extremes(domain.cells(spark, sf_dir), "area"))
+    return qc.grubbs(qc.extremes(domain.cells(spark, sf_dir), "area")).select("n", "lowest", "highest", *[F.round(c, 6).alias(c) for c in ("t10", "t11", "p10", "p11")])
 
 
 def _moments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +99,11 @@ def neg_probe_extreme(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qc.extremes(means, "mean").select("n", *[F.round(c, 6).alias(c) for c in ("lowest", "highest", "mean", "sd", "g10", "t10")])
 
 
+def neg_probe_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = qc.negative_outliers(_moments(spark, sf_dir), LIMITS.negative_alpha)
+    return found.select("gene", F.round("mean", 8).alias("mean"), F.round("p", 6).alias("p"), "outlier")
+
+
 def target_below_negative_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qc.below_negatives(_moments(spark, sf_dir), 0.5).select("gene", F.round("mean", 8).alias("mean"), F.round("limit", 8).alias("limit"), "flag_below")
 
@@ -103,9 +112,13 @@ def target_welch_t(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qc.welch_against_negatives(_moments(spark, sf_dir)).select("gene", F.round("mean", 8).alias("mean"), F.round("t", 5).alias("t"), F.round("df", 3).alias("df"))
 
 
-def target_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _tested(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _moments(spark, sf_dir)
-    return qc.undetected_targets(qc.welch_against_negatives(m), qc.below_negatives(m, 0.5))
+    return qc.undetected_targets(qc.welch_against_negatives(m), qc.below_negatives(m, 0.5), LIMITS.detection_alpha)
+
+
+def target_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tested(spark, sf_dir).select("gene", F.round("p", 6).alias("p"), F.round("p_adj", 5).alias("p_adj"), "flag_detection", "flag_both")
 
 
 def norm_counts_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,7 +244,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         cell_totals, qc_cell_flags, qc_flags_by_slide, qc_passed_cells, qc_summary, qc_count_outliers_by_slide, qc_flagged_table,
-        bacterial_stats_by_slide, bacterial_contingency, area_extremes, area_grubbs, gene_moments, probe_means, neg_probe_extreme,
+        bacterial_stats_by_slide, bacterial_contingency, area_extremes, area_grubbs, gene_moments, probe_means, neg_probe_extreme, neg_probe_outliers,
         target_below_negative_quantile, target_welch_t, target_detection, norm_counts_cell, norm_counts_gene, scale_factors, log1p_norm,
         bacterial_norm, gene_cv_filter, gene_zscore, variable_features, transcript_box, transcript_confidence, transcript_intracellular,
         expression_levels, bacterial_state, filter_include_exclude, neovariable, top_k_per_group, top_ties_per_group, bh_adjust, fov_bbox,
@@ -240,6 +253,17 @@ QUERIES = {
 }
 
 _L = LIMITS
+_GRUBBS = """SELECT n, lowest, highest, mean, sd, g10, g11, t10, t11, least(1.0, 2 * n * coalesce({p10}, 0.0)) AS p10, least(1.0, 2 * n * (n - 1) * coalesce({p11}, 0.0)) AS p11 FROM (
+    SELECT *, sqrt(CASE WHEN (n - 1) * (n - 1) - n * g10 * g10 > 0 THEN n * (n - 2) * g10 * g10 / ((n - 1) * (n - 1) - n * g10 * g10) END) AS t10,
+        sqrt(CASE WHEN 2 * (n - 1) - g11 * g11 > 0 THEN (n - 2) * g11 * g11 / (2 * (n - 1) - g11 * g11) END) AS t11
+    FROM (SELECT *, greatest(highest - mean, mean - lowest) / sd AS g10, (highest - lowest) / sd AS g11 FROM (
+        SELECT count({v}) AS n, min({v}) AS lowest, max({v}) AS highest, avg({v}) AS mean, stddev_samp({v}) AS sd FROM {t})))"""
+
+
+def _grubbs(value: str, source: str) -> str:
+    return _GRUBBS.replace("{p10}", t_upper("t10", "n - 2")).replace("{p11}", t_upper("t11", "n - 2")).replace("{v}", value).replace("{t}", source)
+
+
 _TOTALS = (
     domain.SQL
     + """, totals AS (
@@ -257,13 +281,14 @@ _TOTALS = (
             CASE WHEN n_feature > 0 THEN n_count::DOUBLE / n_feature END AS complexity,
             CASE WHEN n_neg > 0 THEN (n_count::DOUBLE / ng) / (n_neg::DOUBLE / nn) WHEN n_count > 0 THEN 'inf'::DOUBLE END AS signal_strength
         FROM totals t, sizes
+    ), area_ends AS (SELECT lowest, highest FROM ({grubbs}) WHERE p11 < {alpha}
     ), flags AS (
-        SELECT *, n_count < {mc} AS flag_counts, n_feature < {mf} AS flag_features, NOT (proportion_negative < {mn}) AS flag_negative,
+        SELECT *, coalesce(area IN (SELECT lowest FROM area_ends UNION ALL SELECT highest FROM area_ends), false) AS flag_area, n_count < {mc} AS flag_counts, n_feature < {mf} AS flag_features, NOT (proportion_negative < {mn}) AS flag_negative,
             NOT (complexity >= {mx}) AS flag_complexity, NOT (signal_strength >= {ms}) AS flag_signal
         FROM metrics
     ), decided AS (
         SELECT *, CASE WHEN flag_negative IS NULL OR flag_complexity IS NULL THEN NULL
-            ELSE flag_counts OR flag_negative OR flag_complexity END AS flagged
+            ELSE flag_counts OR flag_negative OR flag_complexity OR flag_area END AS flagged
         FROM flags
     ), moments AS (
         SELECT g.gene, g.assay, n::BIGINT AS n_cells, coalesce(s1, 0) / n AS mean,
@@ -271,7 +296,7 @@ _TOTALS = (
         FROM (SELECT * FROM genes WHERE assay <> 'system') g CROSS JOIN (SELECT count(*) AS n FROM cells)
             LEFT JOIN (SELECT gene, sum(count)::DOUBLE AS s1, sum(count * count)::DOUBLE AS s2 FROM counts GROUP BY gene) s ON g.gene = s.gene
     )
-""".format(mc=_L.min_counts, mf=_L.min_features, mn=_L.max_negative, mx=_L.min_complexity, ms=_L.min_signal)
+""".format(mc=_L.min_counts, mf=_L.min_features, mn=_L.max_negative, mx=_L.min_complexity, ms=_L.min_signal, alpha=_L.area_alpha, grubbs=_grubbs("area", "cells"))
 )
 _TESTS = [
     ("total_counts", "n_count", f"n_count < {_L.min_counts}"),
@@ -330,10 +355,16 @@ _BOXES = """, mol AS (
     ), sure AS (SELECT *, CASE WHEN x_confidence = 'High' AND y_confidence = 'High' AND z_confidence = 'High' THEN 'High' ELSE 'Low' END AS confidence FROM marked)
 """ % TARGET_16S
 _MOLECULES = domain.SQL + _BOXES
+_DETECTION = f""", welch AS (SELECT gene, mean < lim AS flag_below, {t_upper("-(mean - cm) / sqrt(a + b)", "(a + b) * (a + b) / (a * a / (n_cells - 1) + b * b / (m - 1))")} AS p
+        FROM (SELECT gene, mean, n_cells, sd * sd / n_cells AS a, cv / m AS b, cm, m, lim FROM moments,
+            (SELECT count(*) AS m, avg(mean) AS cm, var_samp(mean) AS cv, quantile_cont(mean, 0.5) AS lim FROM moments WHERE assay = 'negative') WHERE assay = 'RNA')
+    ), tested AS (SELECT *, p_adj < {LIMITS.detection_alpha} AS flag_detection FROM (SELECT gene, flag_below, p, least(1.0, min(raw) OVER (ORDER BY p, gene ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS p_adj
+        FROM (SELECT *, p * count(*) OVER () / row_number() OVER (ORDER BY p, gene) AS raw FROM welch)))
+"""
 _LEVEL = """CASE WHEN {v} <= q[1] THEN 'Negative' WHEN {v} <= q[2] THEN 'Low' WHEN {v} <= q[3] THEN 'Medium' ELSE 'High' END"""
 SQL = {
     "cell_totals": _TOTALS + "SELECT cell_id, n_count, n_feature, n_neg, n_bac FROM totals",
-    "qc_cell_flags": _TOTALS + "SELECT cell_id, flag_counts, flag_features, flag_negative, flag_complexity, flag_signal, flagged FROM decided",
+    "qc_cell_flags": _TOTALS + "SELECT cell_id, flag_counts, flag_features, flag_negative, flag_complexity, flag_signal, flag_area, flagged FROM decided",
     "qc_flags_by_slide": _TOTALS
     + "SELECT slide, count(*) FILTER (flagged) AS n_flagged, count(*) FILTER (NOT flagged) AS n_passed, count(*) FILTER (flagged IS NULL) AS n_unknown FROM decided GROUP BY slide",
     "qc_passed_cells": _TOTALS + "SELECT cell_id, slide, fov FROM decided WHERE NOT flagged",
@@ -349,6 +380,11 @@ SQL = {
     + "SELECT n, lowest, highest, round(mean, 5) AS mean, round(sd, 5) AS sd, round(g10, 5) AS g10, round(g11, 5) AS g11, round(t10, 5) AS t10, round(t11, 5) AS t11 FROM ("
     + _EXTREMES.format(v="area", t="cells")
     + ")",
+    "area_grubbs": domain.SQL + "SELECT n, lowest, highest, " + ", ".join(f"round({c}, 6) AS {c}" for c in ("t10", "t11", "p10", "p11")) + f" FROM ({_grubbs('area', 'cells')})",
+    "neg_probe_outliers": _TOTALS
+    + f"""SELECT gene, round(m.mean, 8) AS mean, round(p10, 6) AS p, p10 < {LIMITS.negative_alpha} AND m.mean = CASE WHEN highest - g.mean >= g.mean - lowest THEN highest ELSE lowest END AS outlier
+        FROM moments m, ({_grubbs('mean', "(SELECT mean FROM moments WHERE assay = 'negative')")}) g WHERE assay = 'negative'""",
+    "target_detection": _TOTALS + _DETECTION + "SELECT gene, round(p, 6) AS p, round(p_adj, 5) AS p_adj, flag_detection, flag_detection AND flag_below AS flag_both FROM tested",
     "gene_moments": _TOTALS + "SELECT gene, assay, n_cells, round(mean, 8) AS mean, round(sd, 6) AS sd FROM moments",
     "probe_means": _TOTALS + "SELECT gene, round(mean, 8) AS mean FROM moments WHERE assay = 'negative'",
     "neg_probe_extreme": _TOTALS

@@ -20,8 +20,8 @@ PAIRS = "receptor_id string, receptor string, ligand string, receptor_cell strin
 
 
 def slide_of_path() -> Column:
-    """Name of the folder a row's file lies in."""
-    return F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+$", 1)
+    """Name of the folder a row's file lies in; of a partition folder column=value the value."""
+    return F.regexp_extract("_metadata.file_path", r"([^/=]+)/[^/]+$", 1)
 
 
 def require(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -123,12 +123,22 @@ def aligned(cells: DataFrame, counts: DataFrame, key: str = "cell_id") -> tuple[
     return cells.join(counts.select(key).distinct(), key, "left_semi"), counts.join(cells.select(key), key, "left_semi")
 
 
-def read_run_ids(spark: SparkSession, root: str, seed: int = 0) -> DataFrame:
-    """(Run_Tissue_name, run_ID): from the first line of each run summary; a hash of the slide's name where that says nothing."""
-    lines = spark.read.text(f"{root}/*/Run_*_ExptConfig.txt", wholetext=True).select(slide_of_path().alias("Run_Tissue_name"), F.split("value", "\\r?\\n")[0].alias("line"))
-    found = F.regexp_extract("line", r"^Run Number: (.+)$", 1)
+def read_run_ids(spark: SparkSession, root: str, slides: DataFrame | None = None, pattern: str = "Run_*_ExptConfig.txt", seed: int = 0) -> DataFrame:
+    """(Run_Tissue_name, run_ID): from the first line of each slide's run summary, at any depth below the slide's folder.
+
+    A slide of `slides` (Run_Tissue_name) without a summary, or whose summary says nothing, gets a hash of its name. Of several summaries the
+    smallest number counts.
+    """
+    base = root.rstrip("/").rsplit("/", 1)[-1]
+    slide = F.regexp_extract("_metadata.file_path", "/" + re.sub(r"(\W)", r"\\\1", base) + r"/(?:[^/=]+=)?([^/]+)/", 1)
+    schema = StructType([StructField("value", StringType())])
+    texts = spark.read.schema(schema).option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).format("text").load(root)
+    first = F.regexp_extract(F.split("value", "\\r?\\n")[0], r"^Run Number: (.+)$", 1)
+    found = texts.select(slide.alias("Run_Tissue_name"), F.trim(first).alias("number")).groupBy("Run_Tissue_name").agg(F.min(F.when(F.col("number") != "", F.col("number"))).alias("number"))
+    if slides is not None:
+        found = slides.select("Run_Tissue_name").distinct().join(found, "Run_Tissue_name", "left")
     made = F.substring(F.sha2(F.concat("Run_Tissue_name", F.lit(f"|{seed}")), 256), 1, 37)
-    return lines.select("Run_Tissue_name", F.when(found != "", F.trim(found)).otherwise(made).alias("run_ID"))
+    return found.select("Run_Tissue_name", F.coalesce("number", made).alias("run_ID"))
 
 
 def with_additional(cells: DataFrame, extra: DataFrame, on: str) -> DataFrame:
@@ -180,6 +190,12 @@ def read_pairs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAIRS).csv(path)
 
 
+def read_regulons(spark: SparkSession, path: str) -> DataFrame:
+    """(tf, target, mor, confidence) of a table of transcription factors with a header; mor is 1 or -1."""
+    rows = require(spark.read.option("header", True).csv(path), ["tf", "target", "mor", "confidence"])
+    return rows.select("tf", "target", F.col("mor").try_cast("int").alias("mor"), "confidence").dropDuplicates()
+
+
 def query_file(spark: SparkSession, path: str, sql: str) -> DataFrame:
     """Result of a SQL query over a CSV file with a header, called f in the query."""
     spark.read.option("header", True).option("inferSchema", True).csv(path).createOrReplaceTempView("f")
@@ -197,9 +213,10 @@ def write_result(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def create_table(df: DataFrame, name: str) -> None:
-    """The table `name` with the rows of df, in place of any before."""
-    df.write.mode("overwrite").saveAsTable(name)
+def create_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """The table `name` with the rows of df, in place of any before; its files lie in `path`, if given."""
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def mark_stage(spark: SparkSession, path: str, stage: str) -> None:

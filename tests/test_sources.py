@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from cellweave import config, streaming
 from cellweave.functions.scratch import checkpoint_dir, cut, saved
+from cellweave.operators import qc
 from cellweave.operators.qc import Limits
 from cellweave.plans import pipeline
 from cellweave.sources import flatfiles
@@ -17,7 +18,8 @@ def run_folder(tmp_path):
         (folder / "x_metadata_file.csv").write_text("fov,cell_ID,Area,timepoint\n1,1,10.5,t0\n1,2,11,t1\n1,3,12,\n1,9,1,t0\n")
         (folder / "x_exprMat_file.csv").write_text(f"fov,cell_ID,{genes}\n" + "\n".join(lines) + "\n")
         (folder / "x_tx_file.csv").write_text("fov,cell_ID,cell,x_local_px,y_local_px,x_global_px,y_global_px,z,target,CellComp\n1,1,c_1,1,2,3,4,5.5,A,Nuclear\n")
-        (folder / "Run_1_ExptConfig.txt").write_text("Run Number: R77\nmore\n" if slide == "s1" else "nothing\n")
+        (folder / "flat" / "RunSummary").mkdir(parents=True)
+        (folder / "flat" / "RunSummary" / "Run_1_ExptConfig.txt").write_text("Run Number: R77\nmore\n" if slide == "s1" else "nothing\n")
     return tmp_path
 
 
@@ -28,6 +30,9 @@ def test_readers(spark, run_folder):
     counts = flatfiles.read_counts(spark, root)
     assert rows(counts.where("Run_Tissue_name = 's1' AND cell_ID <> 1"), "cell_ID", "gene", "count") == {(3, "A", 4)}
     ids = dict(rows(flatfiles.read_run_ids(spark, root)))
+    known = spark.createDataFrame([("s1",), ("s2",), ("bare",), ("bare",)], "Run_Tissue_name string")
+    more = dict(rows(flatfiles.read_run_ids(spark, root, known)))
+    assert len(more.pop("bare")) == 37 and more == ids
     assert ids["s1"] == "R77" and len(ids["s2"]) == 37 and ids == dict(rows(flatfiles.read_run_ids(spark, root)))
     assert flatfiles.read_molecules(spark, f"{root}/*/*_tx_file.csv").first().z == 5.5
     with pytest.raises(ValueError, match="cell_ID"):
@@ -128,3 +133,36 @@ def test_config(tmp_path):
     with pytest.raises(ValueError, match="set at"):
         config.flattened({"a": {"x": 1}, "b": {"x": 2}})
     assert config.merged({"a": 1, "b": {"c": 2, "d": 3}}, {"b": {"d": 9}, "z": 1}) == {"a": 1, "b": {"c": 2, "d": 9}}
+
+
+def test_filters_of_the_configuration(spark):
+    cells = [(i, "s", 1 + i % 2, f"s:{1 + i % 2}", 100.0 + i % 5) for i in range(40)] + [(40, "s", 1, "s:1", 99999.0)]
+    counts = [(i, g, a, n) for i in range(41) for g, a, n in (("A", "RNA", 6), ("B", "RNA", 9), ("L", "RNA", int(i == 0)), ("Negative1", "negative", int(i < 2)), ("Negative2", "negative", int(i < 3)), ("Negative3", "negative", int(i < 2))) if n]
+    e = pipeline.Experiment(
+        spark.createDataFrame(cells, "cell_id long, slide string, fov int, uniqueFOV string, Area double"),
+        spark.createDataFrame([("A", "RNA"), ("B", "RNA"), ("L", "RNA"), ("Negative1", "negative"), ("Negative2", "negative"), ("Negative3", "negative")], "gene string, assay string"),
+        spark.createDataFrame(counts, "cell_id long, gene string, assay string, count long"),
+    )
+    limits = qc.Limits(min_counts=5, min_features=1, max_negative=0.5, min_complexity=1.0, min_signal=0.0)
+    bad = spark.createDataFrame([("s:2",)], "fov string")
+    ids = lambda made: {r.cell_id for r in made.cells.select("cell_id").collect()}
+    inner = {i for i in range(40) if i % 5}  # the test is for both ends at once, so the smallest areas go with the huge one
+    assert ids(pipeline.checked(e, limits)) == inner
+    assert ids(pipeline.checked(e, limits, {"filter_fovs": True}, bad)) == {i for i in inner if i % 2 == 0}
+    assert ids(pipeline.checked(e, limits, {"filter_cells": False})) == set(range(41))
+    assert ids(pipeline.checked(e, limits, {"pre_qc_mode": True, "filter_fovs": True, "filter_targets": True}, bad)) == set(range(41))
+    by = {"filter_targets": True, "filter_targets_by_neg_control_quantile": True}
+    genes = lambda made: {r.gene for r in made.counts.select("gene").distinct().collect()}
+    assert genes(pipeline.checked(e, limits, by)) == {"A", "B", "Negative1", "Negative2", "Negative3"}
+    assert genes(pipeline.checked(e, limits, {"filter_targets": True})) == {"A", "B", "L", "Negative1", "Negative2", "Negative3"}
+
+
+def test_negative_outliers(spark):
+    means = [(f"N{i}", "negative", 41, 1.0 + i / 1000, 1.0) for i in range(20)] + [("far", "negative", 41, 9.0, 1.0), ("A", "RNA", 41, 99.0, 1.0)]
+    found = qc.negative_outliers(spark.createDataFrame(means, "gene string, assay string, n_cells long, mean double, sd double"), 0.01)
+    assert rows(found.where("outlier"), "gene") == {("far",)} and found.count() == 21
+
+
+def test_settings_are_dumped(tmp_path):
+    config.dumped({"min_counts_per_cell": 5, "filter_cells": True}, str(tmp_path / "qc.yaml"))
+    assert dict(config.load(str(tmp_path / "qc.yaml")).values) == {"min_counts_per_cell": 5, "filter_cells": True}

@@ -1,11 +1,13 @@
 """Formulas on small hand-computed cases, and tails against published tables."""
 
 import math
+import statistics
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from cellweave.functions import tails
+from cellweave.functions import tails, tails_sql
 from cellweave.functions.values import among, ratio
 from cellweave.operators import normalize, qc, transcripts
 from tests.helpers import rows
@@ -21,9 +23,23 @@ def test_chi_squared(x, df, p):
     assert float(tails.chi2_upper(x, df)) == pytest.approx(p, abs=1e-4)
 
 
-@pytest.mark.parametrize("p,z", [(0.5, 0.0), (0.975, 1.959964), (0.001, -3.090232)])
-def test_normal_quantile(p, z):
-    assert float(tails.normal_quantile(p)) == pytest.approx(z, abs=1e-5)
+def test_normal_quantile(spark):
+    ps = [1e-9, 0.001, 0.02425, 0.3, 0.5, 0.975, 1 - 1e-7]
+    got = [r.z for r in spark.createDataFrame([(p,) for p in [*ps, 0.0, 1.0, None]], "p double").select(tails.normal_quantile_col(F.col("p")).alias("z")).collect()]
+    assert got[:-3] == pytest.approx([statistics.NormalDist().inv_cdf(p) for p in ps], rel=3e-9, abs=1e-8) and got[-3:] == [None] * 3
+
+
+def test_tails_in_sql():
+    con = duckdb.connect()
+    of = lambda sql: con.execute(f"SELECT {sql}").fetchone()[0]
+    for t, df in [(0.0, 3), (1.5, 1), (-1.0, 10), (3.0, 2000), (1.96, 1e6), (0.1, 1e5)]:
+        assert of(tails_sql.t_upper(str(t), str(df))) == pytest.approx(float(tails.t_upper(t, df)), abs=1e-9)
+    for x, df in [(24.0, 24), (2.0, 2), (500.0, 24), (3.0, 8)]:
+        assert of(tails_sql.chi2_upper(str(x), str(df))) == pytest.approx(float(tails.chi2_upper(x, df)), abs=1e-9)
+    for z in (0.0, 1.96, -2.0, 5.0):
+        assert of(tails_sql.normal_upper(str(z))) == pytest.approx(1 - statistics.NormalDist().cdf(z), abs=1e-9)
+    for p in (1e-6, 0.3, 0.999):
+        assert of(tails_sql.normal_quantile(f"{p}::DOUBLE")) == pytest.approx(statistics.NormalDist().inv_cdf(p), abs=1e-8)
 
 
 def test_tail_columns_keep_nulls(spark):

@@ -151,10 +151,10 @@ def test_filters_of_the_configuration(spark):
     assert ids(pipeline.checked(e, limits, {"filter_fovs": True}, bad)) == {i for i in inner if i % 2 == 0}
     assert ids(pipeline.checked(e, limits, {"filter_cells": False})) == set(range(41))
     assert ids(pipeline.checked(e, limits, {"pre_qc_mode": True, "filter_fovs": True, "filter_targets": True}, bad)) == set(range(41))
-    by = {"filter_targets": True, "filter_targets_by_neg_control_quantile": True}
+    by = {"filter_cells": False, "filter_targets": True, "filter_targets_by_neg_control_quantile": True}
     genes = lambda made: {r.gene for r in made.counts.select("gene").distinct().collect()}
     assert genes(pipeline.checked(e, limits, by)) == {"A", "B", "Negative1", "Negative2", "Negative3"}
-    assert genes(pipeline.checked(e, limits, {"filter_targets": True})) == {"A", "B", "L", "Negative1", "Negative2", "Negative3"}
+    assert genes(pipeline.checked(e, limits, {"filter_cells": False, "filter_targets": True})) == {"A", "B", "L", "Negative1", "Negative2", "Negative3"}
 
 
 def test_negative_outliers(spark):

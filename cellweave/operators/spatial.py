@@ -6,10 +6,13 @@ Edges are rows (src, dst, dist): directed, within a subset (an FOV), without sel
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
+from ..functions.levels import for_each_level
 from ..functions.scratch import saved
 from ..functions.zcurve import HALF
 
@@ -230,6 +233,77 @@ def signaling_scores(edges: DataFrame, cells: DataFrame, counts: DataFrame, subs
     return anchor.join(sums, key, "left").select(key, F.when(F.col("n").isNull(), 0.0).otherwise(F.col("rz") * F.col("near")).alias("score"))
 
 
+def lr_table_scores(edges: DataFrame, cells: DataFrame, counts: DataFrame, pairs: DataFrame, subset: str, key: str, kind: str) -> DataFrame:
+    """(ligand, receptor, ligand_type, receptor_type, subset, ligand_cell, receptor_cell, dist, lr_score, overall, overall_normalized) for a whole pair table.
+
+    pairs: (ligand, receptor, ligand_cell, receptor_cell, r), types under the names of their cells; 'a+b' names a multimer, of which the least count
+    is taken, 0 where a unit is absent. Cells of the two types at most r apart pair; of one type, each pair once. The score is the
+    product of both levels; overall is its mean over a subset's pairs of a row of the table, overall_normalized that over the subset's cells.
+    """
+    kinds = cells.where(F.col(kind).isNotNull()).select(key, kind)
+    table = pairs.select("ligand", "receptor", F.col("ligand_cell").alias("ligand_type"), F.col("receptor_cell").alias("receptor_type"), "r").distinct()
+    typed = edges.join(kinds.select(F.col(key).alias("src"), F.col(kind).alias("ligand_type")), "src").join(kinds.select(F.col(key).alias("dst"), F.col(kind).alias("receptor_type")), "dst")
+    met = typed.join(table, ["ligand_type", "receptor_type"]).where((F.col("dist") <= F.col("r")) & ((F.col("ligand_type") != F.col("receptor_type")) | (F.col("src") < F.col("dst"))))
+
+    def levels(column: str, cell: str, name: str) -> DataFrame:
+        units = table.select(column, F.explode(F.array_distinct(F.split(column, "\\+"))).alias("gene"), F.size(F.array_distinct(F.split(column, "\\+"))).alias("n")).distinct()
+        held = counts.join(units, "gene").groupBy(F.col("cell_id").alias(cell), column, "n").agg(F.min("count").alias(name), F.count(F.lit(1)).alias("n_held"))
+        return held.where("n_held = n").drop("n_held", "n")
+
+    scored = met.join(levels("ligand", "src", "l"), ["src", "ligand"], "left").join(levels("receptor", "dst", "m"), ["dst", "receptor"], "left").withColumn("lr_score", F.coalesce("l", F.lit(0)) * F.coalesce("m", F.lit(0)))
+    row = ["ligand", "receptor", "ligand_type", "receptor_type", subset]
+    size = cells.groupBy(subset).agg(F.count(F.lit(1)).alias("n_cells"))
+    means = scored.groupBy(*row).agg(F.avg("lr_score").alias("overall")).join(size, subset)
+    return scored.join(means, row).select(
+        *row, F.col("src").alias("ligand_cell"), F.col("dst").alias("receptor_cell"), "dist", "lr_score", "overall", (F.col("overall") / F.col("n_cells")).alias("overall_normalized")
+    )
+
+
+def signaling_table(edges: DataFrame, cells: DataFrame, counts: DataFrame, pairs: DataFrame, subset: str, key: str, kind: str) -> DataFrame:
+    """(ligand, receptor, anchor_type, target_type, key, score): `signaling_scores` for every row of a pair table, the receptor's type being the anchor.
+
+    A receptor of several genes is looked at by its first one. z is taken within the subset over all its cells, zeros included; the score is 0 without target
+    neighbours and null where a gene does not vary.
+    """
+    table = pairs.select("ligand", F.split("receptor", "\\+")[0].alias("receptor"), F.col("receptor_cell").alias("anchor_type"), F.col("ligand_cell").alias("target_type")).distinct()
+    genes = table.select(F.col("ligand").alias("gene")).unionByName(table.select(F.col("receptor").alias("gene"))).distinct()
+    held = counts.join(genes, "gene").join(cells.select(F.col(key).alias("cell_id"), subset), "cell_id")
+    n = cells.groupBy(subset).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    sums = n.join(for_each_level(n.select(subset), genes), subset).join(held.groupBy(subset, "gene").agg(F.sum("count").cast("double").alias("s1"), F.sum(F.col("count") * F.col("count")).cast("double").alias("s2")), [subset, "gene"], "left").fillna(0.0, ["s1", "s2"])
+    mean, var = F.col("s1") / F.col("n"), (F.col("s2") - F.col("s1") * F.col("s1") / F.col("n")) / (F.col("n") - 1)
+    moments = sums.select(subset, "gene", mean.alias("mean"), F.when((F.col("n") > 1) & (var > 1e-12), F.sqrt(var)).alias("sd"))
+
+    def level(rows: DataFrame, gene: str, name: str) -> DataFrame:
+        v = counts.select(F.col("cell_id").alias(key), F.col("gene").alias(gene), F.col("count").alias("c"))
+        found = rows.join(v, [key, gene], "left").fillna(0, ["c"]).join(moments.withColumnRenamed("gene", gene), [subset, gene])
+        return found.withColumn(name, F.exp((F.col("c") - F.col("mean")) / F.col("sd"))).drop("c", "mean", "sd")
+
+    typed = cells.where(F.col(kind).isNotNull()).select(subset, key, kind)
+    targets = level(typed.withColumnRenamed(kind, "target_type").join(table.select("ligand", "target_type").distinct(), "target_type"), "ligand", "lz")
+    near = edges.select("src", "dst").join(targets.select(F.col(key).alias("dst"), "ligand", "target_type", "lz"), "dst").groupBy(F.col("src").alias(key), "ligand", "target_type").agg(F.sum("lz").alias("near"), F.count(F.lit(1)).alias("m"))
+    anchors = level(typed.withColumnRenamed(kind, "anchor_type").join(table, "anchor_type"), "receptor", "rz")
+    score = F.when(F.col("m").isNull(), 0.0).otherwise(F.col("rz") * F.col("near"))
+    return anchors.join(near, [key, "ligand", "target_type"], "left").select("ligand", "receptor", "anchor_type", "target_type", key, score.alias("score"))
+
+
+def neighborhood_summary(edges: DataFrame, cells: DataFrame, key: str, columns: list[str], most: int = 200) -> DataFrame:
+    """(src, variable, level, value): sums of numeric columns and counts of each level of the others, over neighbours at a distance above 0.
+
+    What a column is follows from its type. Cells without neighbours have a sum of 0 and no levels; more than `most` levels give a warning.
+    """
+    numeric = [c for c in columns if isinstance(cells.schema[c].dataType, NumericType)]
+    found = None
+    for c in columns:
+        if c in numeric:
+            part = neighbor_values(edges, cells.where(F.col(c).isNotNull()), key, c).select("src", F.lit(c).alias("variable"), F.lit(None).cast("string").alias("level"), F.col("total").alias("value"))
+        else:
+            if cells.select(c).distinct().limit(most + 1).count() > most:
+                warnings.warn(f"{c} has more than {most} levels", stacklevel=2)
+            part = neighbor_tabulate(edges, cells, key, c).select("src", F.lit(c).alias("variable"), F.col(c).cast("string").alias("level"), F.col("n").cast("double").alias("value"))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 def quadrat_counts(points: DataFrame, by: str, nx: int, ny: int) -> DataFrame:
     """(by, qx, qy, n): points per quadrat of each window's bounding box, empty quadrats included."""
     box = points.groupBy(by).agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))

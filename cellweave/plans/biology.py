@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.levels import for_each_level
 from ..functions.scratch import saved
+from ..functions.tails import normal_upper_col, t_upper_col
+from ..functions.tails_sql import normal_quantile, normal_upper, t_upper
 from ..operators import expression, niches, patterns, qc, spatial, transcripts
 from ..sources.tables import table
-from . import domain
-from .space import EDGES, PROFILE_KINDS, RADIUS, cell_kinds
+from . import domain, imports
+from .space import EDGES, RADIUS, cell_kinds
 
 RADII = [0.0, 20.0, 40.0, 60.0, 80.0, 100.0, 120.0]
 KIND_I, KIND_J, KIND_K = "tumor", "fibroblast", "macrophage"
@@ -18,7 +21,7 @@ K = 5
 CLUSTER_SHARE = 0.05
 #: Simulations: the reference's 199 of an envelope and 999 of a label test; permutations of an enrichment test.
 ENVELOPES, LABELS, PERMUTATIONS = 199, 999, 1000
-BACKGROUND = 0.01
+LOOSE = 0.5
 CONTRAST = ["fixed_effect", "direction", "cell_type"]
 
 
@@ -44,13 +47,20 @@ def cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cooccurrence_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _cooccurring(spark, sf_dir)
+    return found.select("type_from", "type_to", *[F.round(c, 6).alias(c) for c in ("weight", "z", "p")])
+
+
+def _cooccurring(spark: SparkSession, sf_dir: str) -> DataFrame:
     share = saved(niches.shares(_profile(spark, sf_dir), "cell_id"))
     weights = niches.cooccurrence(share, "cell_id", "cell_type")
     return niches.cooccurrence_test(share, weights, "cell_type", domain.points(spark, sf_dir).count())
 
 
 def cooccurrence_significant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return niches.significant_edges(cooccurrence_permutation(spark, sf_dir))
+    """Edges below a loose level: types are mixed at random in the tables, so few pairs keep together at 0.05."""
+    found = niches.significant_edges(_cooccurring(spark, sf_dir), LOOSE)
+    return found.select("type_from", "type_to", F.round("p", 6).alias("p"), "degree")
 
 
 def node_abundance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,11 +119,13 @@ def niche_silhouettes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def niche_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean neighbourhood of the annotated niches, over a given list of types."""
-    wide = spatial.neighbor_profile(_edges(spark, sf_dir), domain.points(spark, sf_dir), "cell_id", "cell_type", list(PROFILE_KINDS))
-    known = domain.points(spark, sf_dir).where("niche IS NOT NULL").select("cell_id", "niche")
-    means = niches.niche_means(wide, known, "cell_id", list(PROFILE_KINDS))
-    return means.select("niche", *[F.round(k, 7).alias(k) for k in PROFILE_KINDS])
+    """Mean number of neighbours of each type per annotated niche, cells without any included."""
+    points = domain.points(spark, sf_dir)
+    known = points.where("niche IS NOT NULL").select("cell_id", "niche")
+    sizes = known.groupBy("niche").agg(F.count(F.lit(1)).alias("n_cells"))
+    sums = _profile(spark, sf_dir).join(known, "cell_id").groupBy("niche", "cell_type").agg(F.sum("n").alias("s"))
+    kinds = points.where("cell_type IS NOT NULL").select("cell_type").distinct()
+    return for_each_level(sizes, kinds).join(sums, ["niche", "cell_type"], "left").select("niche", "cell_type", F.round(F.coalesce("s", F.lit(0)) / F.col("n_cells"), 7).alias("mean"))
 
 
 def _fov_niches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -136,9 +148,9 @@ def super_niches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def niche_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gap statistic of the neighbourhood profiles over a given list of types."""
-    wide = saved(spatial.neighbor_profile(_edges(spark, sf_dir), domain.points(spark, sf_dir), "cell_id", "cell_type", list(PROFILE_KINDS)))
-    return niches.gap_statistic(wide, "cell_id", list(PROFILE_KINDS), [2, 3, 4], 3)
+    """Gap statistic of the neighbourhood profiles."""
+    wide, kinds = _wide(spark, sf_dir)
+    return niches.gap_statistic(wide, "cell_id", kinds, [2, 3, 4], 3)
 
 
 def xy_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,7 +179,8 @@ def embedding_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rank_normal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return niches.rank_normal(domain.cells(spark, sf_dir).where("area IS NOT NULL").select("cell_id", "slide", "area"), "slide", "area")
+    found = niches.rank_normal(domain.cells(spark, sf_dir).where("area IS NOT NULL").select("cell_id", "slide", "area"), "slide", "area")
+    return found.select("cell_id", "slide", "area", F.round("rank_norm", 6).alias("rank_norm"))
 
 
 def wilcoxon_u(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +205,7 @@ def mean_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def typing_loglik_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = saved(_rna(spark, sf_dir))
     profiles = expression.mean_profiles(counts, domain.cells(spark, sf_dir), "cell_type")
-    return expression.likeliest_types(counts, profiles, "cell_type", BACKGROUND).select("cell_id", "cell_type")
+    return expression.likeliest_types(counts, profiles, "cell_type", 0.01).select("cell_id", "cell_type")
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,6 +236,17 @@ def neighbor_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expression.neighbor_expression(_edges(spark, sf_dir), _rna(spark, sf_dir), domain.points(spark, sf_dir), "cell_type")
 
 
+def neighbor_expression_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return expression.neighbor_expression_by_type(_edges(spark, sf_dir), _rna(spark, sf_dir), domain.points(spark, sf_dir), "cell_type")
+
+
+def de_covariates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells with the counts in neighbours of other types, and these as normal scores within a type: the covariate of the models."""
+    cells = domain.points(spark, sf_dir).where("cell_type IS NOT NULL").select("cell_id", "cell_type")
+    totals = expression.other_type_totals(neighbor_expression(spark, sf_dir), cells)
+    return niches.rank_normal(totals, "cell_type", "other_total").select("cell_id", "cell_type", "other_total", F.round("rank_norm", 6).alias("rank_norm"))
+
+
 def contamination_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = domain.points(spark, sf_dir)
     found = expression.contamination(neighbor_expression(spark, sf_dir), _rna(spark, sf_dir), points, "cell_type")
@@ -233,29 +257,35 @@ def _model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expression.count_model(_rna(spark, sf_dir), domain.cells(spark, sf_dir), "cell_type", "timepoint")
 
 
-def nb_de(spark: SparkSession, sf_dir: str) -> DataFrame:
+def quasi_poisson_de(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log rate ratios between timepoints, per type and gene."""
     return _model(spark, sf_dir).select("cell_type", "gene", "level_a", "level_b", *[F.round(c, 6).alias(c) for c in ("estimate", "se", "wald")], "df")
 
 
+def _tested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = F.least(F.lit(1.0), 2 * t_upper_col(F.abs("wald"), F.col("df")))
+    return qc.adjusted(quasi_poisson_de(spark, sf_dir).withColumn("p", p), "p", ["cell_type", "level_a", "level_b"], "gene")
+
+
 def de_tested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-sided p of each contrast, adjusted within cell type and contrast."""
-    from ..functions.tails import t_upper_col
-
-    p = F.least(F.lit(1.0), 2 * t_upper_col(F.abs("wald"), F.col("df")))
-    return qc.adjusted(_model(spark, sf_dir).withColumn("p", p), "p", ["cell_type", "level_a", "level_b"], "gene")
+    return _tested(spark, sf_dir).select("cell_type", "gene", "level_a", "level_b", "wald", F.round("p", 6).alias("p"), F.round("p_adj", 5).alias("p_adj"))
 
 
 def two_stage_top_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First stage's genes for the second: the 100 contrasts per type with the largest |estimate / se|."""
-    scored = nb_de(spark, sf_dir).withColumn("strength", F.abs("wald"))
+    scored = quasi_poisson_de(spark, sf_dir).withColumn("strength", F.abs("wald"))
     top = transcripts.best_rows(scored, "cell_type", [F.desc("strength"), F.col("gene"), F.col("level_a"), F.col("level_b")], 100)
     return top.select("cell_type", "gene", "level_a", "level_b", "strength", "place")
 
 
-def _gene_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gene sets of the panel: SET_x by the first letter of a gene's md5."""
-    name = F.concat(F.lit("SET_GROUP_"), F.upper(F.substring(F.md5("gene"), 1, 1)))
-    return domain.genes(spark, sf_dir).select(name.alias("gs_name"), "gene").dropDuplicates()
+def de_second_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chosen contrasts again, within places (FOVs), adjusted within a gene's own contrasts."""
+    top = saved(two_stage_top_genes(spark, sf_dir))
+    found = expression.stratified_ratios(_rna(spark, sf_dir), domain.cells(spark, sf_dir), top, "cell_type", "timepoint", "fov")
+    z = found.withColumn("p", F.least(F.lit(1.0), 2 * normal_upper_col(F.abs(F.col("estimate") / F.col("se")))))
+    adjusted = qc.adjusted(z, "p", ["cell_type", "gene"], "level_a")
+    return adjusted.select("cell_type", "gene", "level_a", "level_b", "n_strata", *[F.round(c, 6).alias(c) for c in ("estimate", "se")], F.round("p", 5).alias("p"), F.round("p_adj", 5).alias("p_adj"))
 
 
 def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,19 +295,36 @@ def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gsea_running_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return expression.enrichment(_ranked(spark, sf_dir), _gene_sets(spark, sf_dir), CONTRAST).select(*CONTRAST, "gs_name", "size", F.round("es", 8).alias("es"))
+    return expression.enrichment(_ranked(spark, sf_dir), domain.gene_sets(spark, sf_dir), CONTRAST).select(*CONTRAST, "gs_name", "size", F.round("es", 8).alias("es"))
+
+
+def gsea_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The running sums behind the enrichment scores, at the hits."""
+    found = expression.enrichment_curve(_ranked(spark, sf_dir), domain.gene_sets(spark, sf_dir), CONTRAST)
+    return found.select(*CONTRAST, "gs_name", "place", *[(F.round(c, 7) + F.lit(0.0)).alias(c) for c in ("before", "after")])
+
+
+def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tested = expression.enrichment_test(saved(_ranked(spark, sf_dir)), domain.gene_sets(spark, sf_dir), CONTRAST, PERMUTATIONS, 11)
+    return qc.adjusted(tested, "p", CONTRAST, "gs_name")
 
 
 def gsea_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tested = expression.enrichment_test(saved(_ranked(spark, sf_dir)), _gene_sets(spark, sf_dir), CONTRAST, PERMUTATIONS, 11)
-    return qc.adjusted(tested, "p", CONTRAST, "gs_name").withColumn("pathway", expression.clean_name(F.col("gs_name")))
+    found = _enriched(spark, sf_dir).withColumn("pathway", expression.clean_name(F.col("gs_name")))
+    return found.select(*CONTRAST, "gs_name", "pathway", "size", F.round("es", 7).alias("es"), F.round("nes", 6).alias("nes"), F.round("p", 7).alias("p"), F.round("p_adj", 7).alias("p_adj"))
 
 
 def pathway_score_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Score and percentile over the enrichment scores, with 1 - |es| as adjusted p."""
-    es = gsea_running_sum(spark, sf_dir).withColumn("p_adj", 1 - F.abs("es"))
-    found = expression.pathway_scores(es, CONTRAST, "gs_name", "p_adj", "es", 8)
-    return found.select(*CONTRAST, "gs_name", expression.clean_name(F.col("gs_name")).alias("pathway"), F.round("score", 7).alias("score"), "percentile")
+    """Score and percentile from the adjusted p and the normalized enrichment score, for the best eight sets of a contrast."""
+    found = expression.pathway_scores(_enriched(spark, sf_dir).where("nes IS NOT NULL"), CONTRAST, "gs_name", "p_adj", "nes", 8)
+    return found.select(*CONTRAST, "gs_name", expression.clean_name(F.col("gs_name")).alias("pathway"), F.round("score", 6).alias("score"), "percentile")
+
+
+def pathway_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enrichment of the sets that a table of wanted pathways names: those with more than an eighth of their genes in the add-on panel."""
+    share = domain.gene_sets(spark, sf_dir).join(domain.genes(spark, sf_dir).select("gene", "panel"), "gene").groupBy("gs_name").agg(F.avg((F.col("panel") == "addon").cast("double")).alias("s"))
+    wanted = share.where("s > 0.125")
+    return expression.only_pathways(gsea_running_sum(spark, sf_dir), wanted)
 
 
 def pathway_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,14 +333,7 @@ def pathway_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _regulons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(tf, target, mor, confidence) from the md5 of the panel's genes."""
-    h = F.md5("gene")
-    return domain.genes(spark, sf_dir).where("assay = 'RNA'").select(
-        F.concat(F.lit("TF"), F.substring(h, 2, 1)).alias("tf"),
-        F.col("gene").alias("target"),
-        F.when(F.substring(h, 3, 1) < "8", 1).otherwise(-1).alias("mor"),
-        F.when(F.substring(h, 4, 1) < "3", "A").when(F.substring(h, 4, 1) < "6", "B").when(F.substring(h, 4, 1) < "9", "C").when(F.substring(h, 4, 1) < "c", "D").otherwise("E").alias("confidence"),
-    )
+    return imports.csv_regulons(spark, sf_dir)
 
 
 def tf_target_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,7 +346,7 @@ def _n_genes(spark: SparkSession, sf_dir: str) -> int:
 
 
 def aucell(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = expression.recovery(_rna(spark, sf_dir), _gene_sets(spark, sf_dir), _n_genes(spark, sf_dir))
+    found = expression.recovery(_rna(spark, sf_dir), domain.gene_sets(spark, sf_dir), _n_genes(spark, sf_dir))
     return found.select("cell_id", "gs_name", F.round("auc", 9).alias("auc"))
 
 
@@ -320,7 +360,7 @@ def pathway_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lr_tf_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Complexes of up to five genes with the panel of each, one left join per position, and their factors."""
-    members = transcripts.best_rows(_gene_sets(spark, sf_dir), "gs_name", [F.col("gene")], 5)
+    members = transcripts.best_rows(domain.gene_sets(spark, sf_dir), "gs_name", [F.col("gene")], 5)
     wide = members.groupBy("gs_name").pivot("place", [1, 2, 3, 4, 5]).agg(F.first("gene"))
     units = [f"uniprot_{i}" for i in range(1, 6)]
     wide = wide.select("gs_name", *[F.col(str(i)).alias(f"uniprot_{i}") for i in range(1, 6)])
@@ -329,25 +369,19 @@ def lr_tf_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.join(tfs, "uniprot_1", "left").select("gs_name", *units, *[f"{u}_panel" for u in units], "tf")
 
 
-PAIRS = [
-    {"receptor": "LISP+HAR24", "ligand": "TEV22", "receptor_cell": "fibroblast", "ligand_cell": "tumor", "r": 120.0},
-    {"receptor": "HUT14", "ligand": "TEV22", "receptor_cell": "macrophage", "ligand_cell": "tumor", "r": 120.0},
-]
-
-
 def lr_fov_cross_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each listed pair for each FOV, with the number of cells of the FOV."""
+    """Each pair of the pair table for each FOV, with the number of cells of the FOV."""
     fovs = domain.cells(spark, sf_dir).groupBy("fov").agg(F.count(F.lit(1)).alias("n_cells"))
-    return expression.expanded_by(fovs, PAIRS)
+    return for_each_level(fovs, imports.csv_pairs(spark, sf_dir).select("receptor", "ligand", "receptor_cell", "ligand_cell", "r"))
 
 
 def fov_type_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cells of a few types per FOV and their percentages."""
-    n = domain.cells(spark, sf_dir).groupBy("fov").pivot("cell_type", list(PROFILE_KINDS)).agg(F.count(F.lit(1))).fillna(0)
-    total = F.lit(0)
-    for k in PROFILE_KINDS:
-        total = total + F.col(k)
-    return n.select("fov", *PROFILE_KINDS, *[F.round(F.col(k) * 100.0 / F.when(total > 0, total), 6).alias(f"percent_{k}") for k in PROFILE_KINDS])
+    """Cells of each type per FOV and their percentages of the FOV's typed cells; types that an FOV lacks have 0."""
+    cells = domain.cells(spark, sf_dir).where("cell_type IS NOT NULL")
+    totals = cells.groupBy("fov").agg(F.count(F.lit(1)).alias("total"))
+    n = cells.groupBy("fov", "cell_type").agg(F.count(F.lit(1)).alias("n"))
+    every = for_each_level(totals, cells.select("cell_type").distinct()).join(n, ["fov", "cell_type"], "left").fillna(0, ["n"])
+    return every.select("fov", "cell_type", "n", F.round(F.col("n") * 100.0 / F.col("total"), 6).alias("percent"))
 
 
 QUERIES = {
@@ -356,14 +390,19 @@ QUERIES = {
         cooccurrence, cooccurrence_permutation, cooccurrence_significant, node_abundance, gcross_rs, kcross_border, cross_curve_auc, sign_flip_test,
         gcross_envelope, pca, kmeans_niches, gmm_niches, niche_silhouettes, niche_gap, niche_profiles, fov_niches, super_niches, xy_clusters, snn_jaccard, snn_clusters,
         embedding_neighbors, rank_normal, wilcoxon_u, marker_log2fc, top_markers, mean_profiles, typing_loglik_argmax, cell_type_rules, rule_conflicts,
-        final_labels, neighbor_expression, contamination_ratio, nb_de, de_tested, two_stage_top_genes, gsea_running_sum, gsea_permutation,
-        pathway_score_percentile, pathway_bars, tf_target_lists, aucell, pathway_activity, lr_tf_chain, lr_fov_cross_expand, fov_type_percent,
+        final_labels, neighbor_expression, neighbor_expression_by_type, de_covariates, contamination_ratio, quasi_poisson_de, de_tested, two_stage_top_genes, de_second_stage,
+        gsea_running_sum, gsea_curve, gsea_permutation, pathway_score_percentile, pathway_subset, pathway_bars, tf_target_lists, aucell, pathway_activity, lr_tf_chain, lr_fov_cross_expand, fov_type_percent,
     )
 }
 
 _PROFILE = EDGES + """, profile AS (SELECT src AS cell_id, cell_type, count(*) AS n FROM edges JOIN pts ON dst = pts.cell_id WHERE cell_type IS NOT NULL GROUP BY ALL
     ), share AS (SELECT *, n / sum(n) OVER (PARTITION BY cell_id) AS v FROM profile)
 """
+_COOCCURRING = _PROFILE + f""", col AS (SELECT cell_type, sum(v) AS s, sum(v * v) - sum(v) * sum(v) / any_value(n) AS ss, any_value(n)::DOUBLE AS n FROM share_v, (SELECT count(*) AS n FROM pts) GROUP BY 1
+    ), met AS (SELECT a.cell_type AS type_from, b.cell_type AS type_to, sum(a.v * b.v) AS weight FROM share a JOIN share b ON a.cell_id = b.cell_id GROUP BY 1, 2
+    ), scored AS (SELECT m.*, (weight - a.s * b.s / a.n) / CASE WHEN a.ss * b.ss > 0 THEN sqrt(a.ss * b.ss / (a.n - 1)) END AS z FROM met m JOIN col a ON type_from = a.cell_type JOIN col b ON type_to = b.cell_type
+    ), co AS (SELECT *, CASE WHEN type_from = type_to THEN 1.0 ELSE {normal_upper("z")} END AS p FROM scored)
+""".replace("share_v", "(SELECT cell_type, v FROM share)")
 _CURVES = EDGES + f""", frame AS (
         SELECT p.fov, cell_id, cell_type AS kind, least(x - x0, x1 - x, y - y0, y1 - y) AS border, (x1 - x0) * (y1 - y0) AS area FROM pts p
         JOIN (SELECT fov, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM pts GROUP BY fov) b ON p.fov = b.fov WHERE cell_type IS NOT NULL
@@ -380,7 +419,7 @@ _CURVES = EDGES + f""", frame AS (
         LEFT JOIN reach ON a.fov = reach.fov AND a.kind = reach.type_i AND b.kind = reach.type_j AND radii.r = reach.r
     ), auc AS (SELECT fov, type_i, type_j, sum(g) * (max(r) - min(r)) / CASE WHEN count(*) > 1 THEN count(*) - 1 END AS auc, max(g) AS highest FROM curves WHERE g IS NOT NULL GROUP BY ALL)
 """
-_SETS = domain.SQL + """, sets AS (SELECT DISTINCT 'SET_GROUP_' || upper(md5(gene)[1:1]) AS gs_name, gene FROM genes)
+_SETS = domain.SQL + """, sets AS (SELECT DISTINCT upper(assay) || '_GROUP_' || upper(gene[1:1]) AS gs_name, gene FROM genes)
 """
 _GSEA = _SETS + """, est AS (SELECT fixed_effect, direction, cell_type, gene, round(avg(diff_mean), 9) AS stat FROM de_results WHERE gene IS NOT NULL AND NOT isnan(diff_mean) GROUP BY ALL
     ), ranked AS (SELECT *, row_number() OVER (PARTITION BY fixed_effect, direction, cell_type ORDER BY stat DESC, gene) AS place, count(*) OVER (PARTITION BY fixed_effect, direction, cell_type) AS n
@@ -393,10 +432,24 @@ _GSEA = _SETS + """, est AS (SELECT fixed_effect, direction, cell_type, gene, ro
         FROM walked WHERE whole > 0 AND n > size GROUP BY 1, 2, 3, 4)
     ), es8 AS (SELECT fixed_effect, direction, cell_type, gs_name, size, round(es, 8) AS es FROM es)
 """
-_REGULONS = domain.SQL + """, reg AS (SELECT 'TF' || md5(gene)[2:2] AS tf, gene AS target, CASE WHEN md5(gene)[3:3] < '8' THEN 1 ELSE -1 END AS mor,
-        CASE WHEN md5(gene)[4:4] < '3' THEN 'A' WHEN md5(gene)[4:4] < '6' THEN 'B' WHEN md5(gene)[4:4] < '9' THEN 'C' WHEN md5(gene)[4:4] < 'c' THEN 'D' ELSE 'E' END AS confidence
-        FROM genes WHERE assay = 'RNA')
+_PATHWAY = "upper(gs_name[1:1]) || lower(split_part(gs_name, '_', 1)[2:]) || ': Group ' || lower(split_part(gs_name, '_', 3))"
+_NULLS = _GSEA + f""", perms AS (SELECT perm FROM range(1, {PERMUTATIONS} + 1) r(perm)
+    ), hashed AS (SELECT r.fixed_effect, r.direction, r.cell_type, r.gene, r.n, r.place AS frm, perm, (r.place * 1103515245 + perm * 2654435 + 11) % {expression.DEAL} AS h0 FROM ranked r, perms
+    ), hashed1 AS (SELECT *, (h0 * h0 + perm) % {expression.DEAL} AS h1 FROM hashed), hashed2 AS (SELECT *, (h1 * h1 + frm) % {expression.DEAL} AS h2 FROM hashed1
+    ), moved AS (SELECT fixed_effect, direction, cell_type, gene, n, perm, row_number() OVER (PARTITION BY fixed_effect, direction, cell_type, perm ORDER BY (h2 * h2 + h0) % {expression.DEAL}, frm) AS place FROM hashed2
+    ), dwalked AS (SELECT m.*, gs_name, abs(r.stat) AS w, row_number() OVER o AS k, count(*) OVER p AS size, sum(abs(r.stat)) OVER p AS whole, sum(abs(r.stat)) OVER (o ROWS UNBOUNDED PRECEDING) AS upto
+        FROM moved m JOIN ranked r ON m.fixed_effect = r.fixed_effect AND m.direction = r.direction AND m.cell_type = r.cell_type AND m.place = r.place JOIN sets s ON m.gene = s.gene
+        WINDOW p AS (PARTITION BY m.fixed_effect, m.direction, m.cell_type, perm, gs_name), o AS (PARTITION BY m.fixed_effect, m.direction, m.cell_type, perm, gs_name ORDER BY m.place)
+    ), nulls AS (SELECT fixed_effect, direction, cell_type, gs_name, round(CASE WHEN round(top, 9) >= -round(bottom, 9) THEN top ELSE bottom END, 9) AS e0 FROM (
+        SELECT fixed_effect, direction, cell_type, gs_name, perm, max(upto / whole - (place - k) / (n - size)::DOUBLE) AS top, min((upto - w) / whole - (place - k) / (n - size)::DOUBLE) AS bottom
+        FROM dwalked WHERE whole > 0 AND n > size GROUP BY 1, 2, 3, 4, 5)
+    ), tested AS (SELECT e.fixed_effect, e.direction, e.cell_type, e.gs_name, size, es, es / CASE WHEN avg(abs(e0)) FILTER (same) > 0 THEN avg(abs(e0)) FILTER (same) END AS nes,
+            (count(*) FILTER (same AND abs(e0) >= abs(round(es, 9))) + 1) / (count(*) FILTER (same) + 1)::DOUBLE AS p
+        FROM (SELECT e.*, e0, sign(e0) = sign(es) AS same FROM es e LEFT JOIN nulls n ON e.fixed_effect = n.fixed_effect AND e.direction = n.direction AND e.cell_type = n.cell_type AND e.gs_name = n.gs_name) e GROUP BY 1, 2, 3, 4, 5, 6
+    ), enriched AS (SELECT *, least(1.0, min(raw) OVER (PARTITION BY fixed_effect, direction, cell_type ORDER BY p, gs_name ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS p_adj
+        FROM (SELECT *, p * count(*) OVER (PARTITION BY fixed_effect, direction, cell_type) / row_number() OVER (PARTITION BY fixed_effect, direction, cell_type ORDER BY p, gs_name) AS raw FROM tested))
 """
+_REGULONS = domain.SQL + f", reg AS (SELECT * FROM {imports.REGULONS})\n"
 _TOPGENES = "(SELECT *, row_number() OVER (PARTITION BY cell_id ORDER BY count DESC, gene) AS r FROM counts WHERE assay = 'RNA')"
 _TOP = "(SELECT greatest(1, floor(count(*) * 0.05)::INT) AS top FROM genes WHERE assay = 'RNA')"
 
@@ -432,6 +485,22 @@ _MODEL = domain.SQL + """, size AS (SELECT cell_id, sum(count) AS size FROM coun
         SELECT a.cell_type, a.gene, a.level AS level_a, b.level AS level_b, ln(b.rate / a.rate) AS est, sqrt(phi * (1.0 / a.y::DOUBLE + 1.0 / b.y::DOUBLE)) AS se, df
         FROM rates a JOIN rates b ON a.cell_type = b.cell_type AND a.gene = b.gene AND a.level < b.level JOIN phi p ON a.cell_type = p.cell_type AND a.gene = p.gene))
 """
+_TESTED_DE = _MODEL + f""", ps AS (SELECT *, least(1.0, 2 * {t_upper("abs(wald)", "df")}) AS p FROM de
+    ), tested AS (SELECT *, least(1.0, min(raw) OVER (PARTITION BY cell_type, level_a, level_b ORDER BY p, gene ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS p_adj
+        FROM (SELECT *, p * count(*) OVER (PARTITION BY cell_type, level_a, level_b) / row_number() OVER (PARTITION BY cell_type, level_a, level_b ORDER BY p, gene) AS raw FROM ps))
+"""
+_SECOND = _MODEL + f""", top AS (SELECT cell_type, gene, level_a, level_b FROM (SELECT *, row_number() OVER (PARTITION BY cell_type ORDER BY abs(wald) DESC, gene, level_a, level_b) AS k FROM de) WHERE k <= 100
+    ), heldf AS (SELECT c.cell_id, cell_type, timepoint AS level, fov, size FROM cells c JOIN size s ON c.cell_id = s.cell_id WHERE cell_type IS NOT NULL AND timepoint IS NOT NULL AND fov IS NOT NULL
+    ), ex AS (SELECT cell_type, fov, level, sum(size)::DOUBLE AS e FROM heldf GROUP BY ALL
+    ), yf AS (SELECT cell_type, gene, fov, level, sum(count)::DOUBLE AS y FROM counts k JOIN heldf h ON k.cell_id = h.cell_id WHERE assay = 'RNA' GROUP BY ALL
+    ), strata AS (SELECT t.*, a.fov, a.e AS ea, b.e AS eb, coalesce(ya.y, 0) AS ya, coalesce(yb.y, 0) AS yb FROM top t JOIN ex a ON t.cell_type = a.cell_type AND t.level_a = a.level JOIN ex b ON t.cell_type = b.cell_type AND t.level_b = b.level AND a.fov = b.fov
+        LEFT JOIN yf ya ON ya.cell_type = t.cell_type AND ya.gene = t.gene AND ya.fov = a.fov AND ya.level = t.level_a LEFT JOIN yf yb ON yb.cell_type = t.cell_type AND yb.gene = t.gene AND yb.fov = a.fov AND yb.level = t.level_b
+    ), mh AS (SELECT cell_type, gene, level_a, level_b, sum(yb * ea / (ea + eb)) AS r, sum(ya * eb / (ea + eb)) AS s, sum((ya + yb) * ea * eb / ((ea + eb) * (ea + eb))) AS v, count(*) AS n_strata FROM strata GROUP BY 1, 2, 3, 4
+    ), est AS (SELECT cell_type, gene, level_a, level_b, n_strata, ln(r / s) AS estimate, sqrt(v / (r * s)) AS se FROM mh WHERE r > 0 AND s > 0
+    ), pz AS (SELECT *, least(1.0, 2 * {normal_upper("abs(estimate / se)")}) AS p FROM est
+    ), adjusted AS (SELECT *, least(1.0, min(raw) OVER (PARTITION BY cell_type, gene ORDER BY p, level_a ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS p_adj
+        FROM (SELECT *, p * count(*) OVER (PARTITION BY cell_type, gene) / row_number() OVER (PARTITION BY cell_type, gene ORDER BY p, level_a) AS raw FROM pz))
+"""
 _FC = domain.SQL + """, known AS (SELECT cell_id, cell_type FROM cells WHERE cell_type IS NOT NULL
     ), s AS (SELECT gene, cell_type, sum(count)::DOUBLE AS s1 FROM counts c JOIN known k ON c.cell_id = k.cell_id WHERE assay = 'RNA' GROUP BY ALL
     ), fc AS (SELECT gene, s.cell_type, round(log2(s1 / n1 + 1) - log2((sum(s1) OVER (PARTITION BY gene) - s1) / (n - n1) + 1), 8) AS log2fc
@@ -440,6 +509,8 @@ _FC = domain.SQL + """, known AS (SELECT cell_id, cell_type FROM cells WHERE cel
 _GROUP = "fixed_effect, direction, cell_type"
 SQL = {
     "cooccurrence": _PROFILE + "SELECT a.cell_type AS type_from, b.cell_type AS type_to, round(sum(a.v * b.v), 7) AS weight FROM share a JOIN share b ON a.cell_id = b.cell_id GROUP BY 1, 2",
+    "cooccurrence_permutation": _COOCCURRING + "SELECT type_from, type_to, round(weight, 6) AS weight, round(z, 6) AS z, round(p, 6) AS p FROM co",
+    "cooccurrence_significant": _COOCCURRING + f"SELECT type_from, type_to, round(p, 6) AS p, count(*) OVER (PARTITION BY type_from) AS degree FROM co WHERE p < {LOOSE}",
     "node_abundance": _PROFILE + "SELECT cell_type, round(sum(n) * 100.0::DOUBLE / sum(sum(n)) OVER (), 8) AS abundance FROM profile GROUP BY 1",
     "gcross_rs": _CURVES + "SELECT fov, type_i, type_j, r, n_i, round(g, 8) AS g FROM curves",
     "kcross_border": _CURVES + "SELECT fov, type_i, type_j, r, round(k, 3) AS k FROM curves",
@@ -449,11 +520,12 @@ SQL = {
         ), flips AS (SELECT flip, round(avg(CASE WHEN md5(fov || '|' || flip || '|3')[1:1] < '8' THEN -delta ELSE delta END), 9) AS m FROM deltas, range(1, 1000) f(flip) GROUP BY 1)
         SELECT round(o.d, 6) AS mean_delta, o.n, round(avg(CASE WHEN abs(m) >= abs(round(o.d, 9)) THEN 1.0 ELSE 0.0 END), 6) AS p_value FROM flips, (SELECT avg(delta) AS d, count(*) AS n FROM deltas) o GROUP BY o.d, o.n""",
     "niche_profiles": EDGES
-    + "SELECT niche, "
-    + ", ".join(f"round(avg({k}), 7) AS {k}" for k in PROFILE_KINDS)
-    + " FROM (SELECT p.cell_id, p.niche, "
-    + ", ".join(f"count(*) FILTER (t.cell_type = '{k}') AS {k}" for k in PROFILE_KINDS)
-    + " FROM pts p LEFT JOIN edges e ON p.cell_id = e.src LEFT JOIN pts t ON e.dst = t.cell_id WHERE p.niche IS NOT NULL GROUP BY 1, 2) GROUP BY 1",
+    + """SELECT k.niche, t.cell_type, round(coalesce(s, 0) / k.n::DOUBLE, 7) AS mean FROM (SELECT niche, count(*) AS n FROM pts WHERE niche IS NOT NULL GROUP BY 1) k
+        CROSS JOIN (SELECT DISTINCT cell_type FROM pts WHERE cell_type IS NOT NULL) t
+        LEFT JOIN (SELECT a.niche, b.cell_type, count(*) AS s FROM edges JOIN pts a ON src = a.cell_id JOIN pts b ON dst = b.cell_id GROUP BY 1, 2) e ON k.niche = e.niche AND t.cell_type = e.cell_type""",
+    "rank_normal": domain.SQL
+    + f""", held AS (SELECT cell_id, slide, area FROM cells WHERE area IS NOT NULL), placed AS (SELECT *, (rank() OVER (PARTITION BY slide ORDER BY area) + (count(*) OVER (PARTITION BY slide, area) - 1) / 2.0::DOUBLE - 0.375::DOUBLE) / (count(*) OVER (PARTITION BY slide) + 0.25::DOUBLE) AS p FROM held)
+        SELECT cell_id, slide, area, round({normal_quantile("p")}, 6) AS rank_norm FROM placed""",
     "snn_jaccard": domain.SQL
     + f""", knn AS (SELECT src, dst FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY d2, dst) AS rank FROM (
         SELECT a.cell_id AS src, b.cell_id AS dst, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d2 FROM pts a JOIN pts b ON a.fov = b.fov AND a.cell_id <> b.cell_id)) WHERE rank <= {K})
@@ -479,7 +551,7 @@ SQL = {
     "typing_loglik_argmax": domain.SQL
     + f""", rna AS (SELECT * FROM counts WHERE assay = 'RNA'), prof AS (SELECT cell_type, gene, sum(count)::DOUBLE / sum(sum(count)) OVER (PARTITION BY cell_type) AS p FROM rna c JOIN cells k ON c.cell_id = k.cell_id WHERE cell_type IS NOT NULL GROUP BY 1, 2
         ), size AS (SELECT cell_id, sum(count) AS size FROM rna GROUP BY 1
-        ), scores AS (SELECT r.cell_id, t.cell_type, round(sum(count * ln(size * coalesce(p, 0) + {BACKGROUND}::DOUBLE)), 6) AS score FROM rna r JOIN size s ON r.cell_id = s.cell_id CROSS JOIN (SELECT DISTINCT cell_type FROM prof) t
+        ), scores AS (SELECT r.cell_id, t.cell_type, round(sum(count * ln(size * coalesce(p, 0) + 0.01::DOUBLE)), 6) AS score FROM rna r JOIN size s ON r.cell_id = s.cell_id CROSS JOIN (SELECT DISTINCT cell_type FROM prof) t
             LEFT JOIN prof f ON f.cell_type = t.cell_type AND f.gene = r.gene GROUP BY 1, 2)
         SELECT cell_id, cell_type FROM (SELECT *, row_number() OVER (PARTITION BY cell_id ORDER BY score DESC, cell_type) AS k FROM scores) WHERE k = 1""",
     "cell_type_rules": _LABELLED + "SELECT cell_id, broad_type, final_type, n_rules FROM typed",
@@ -492,14 +564,26 @@ SQL = {
     + """SELECT o.cell_type, o.gene, round(coalesce(m, 0) / own::DOUBLE, 8) AS ratio, coalesce(m, 0) / own::DOUBLE <= 1 AS kept
         FROM (SELECT cell_type, gene, sum(count) AS own FROM counts c JOIN pts p ON c.cell_id = p.cell_id WHERE cell_type IS NOT NULL AND assay = 'RNA' GROUP BY 1, 2) o
         LEFT JOIN (SELECT cell_type, gene, sum(other) AS m FROM near n JOIN pts p ON n.cell_id = p.cell_id GROUP BY 1, 2) x ON o.cell_type = x.cell_type AND o.gene = x.gene""",
-    "nb_de": _MODEL + "SELECT * FROM de",
+    "neighbor_expression_by_type": EDGES
+    + """SELECT src AS cell_id, gene, cell_type, sum(count)::BIGINT AS total FROM edges JOIN pts b ON dst = b.cell_id JOIN counts c ON dst = c.cell_id WHERE cell_type IS NOT NULL AND assay = 'RNA' GROUP BY 1, 2, 3""",
+    "de_covariates": _NEAR
+    + f""", tot AS (SELECT p.cell_id, p.cell_type, coalesce(t, 0)::BIGINT AS other_total FROM pts p LEFT JOIN (SELECT cell_id, sum(other) AS t FROM near GROUP BY 1) n ON p.cell_id = n.cell_id WHERE p.cell_type IS NOT NULL
+        ), placed AS (SELECT *, (rank() OVER (PARTITION BY cell_type ORDER BY other_total) + (count(*) OVER (PARTITION BY cell_type, other_total) - 1) / 2.0::DOUBLE - 0.375::DOUBLE) / (count(*) OVER (PARTITION BY cell_type) + 0.25::DOUBLE) AS p FROM tot)
+        SELECT cell_id, cell_type, other_total, round({normal_quantile("p")}, 6) AS rank_norm FROM placed""",
+    "quasi_poisson_de": _MODEL + "SELECT * FROM de",
+    "de_tested": _TESTED_DE + "SELECT cell_type, gene, level_a, level_b, wald, round(p, 6) AS p, round(p_adj, 5) AS p_adj FROM tested",
+    "de_second_stage": _SECOND + "SELECT cell_type, gene, level_a, level_b, n_strata, round(estimate, 6) AS estimate, round(se, 6) AS se, round(p, 5) AS p, round(p_adj, 5) AS p_adj FROM adjusted",
     "two_stage_top_genes": _MODEL
     + """SELECT cell_type, gene, level_a, level_b, abs(wald) AS strength, place FROM (SELECT *, row_number() OVER (PARTITION BY cell_type ORDER BY abs(wald) DESC, gene, level_a, level_b)::INT AS place FROM de) WHERE place <= 100""",
     "gsea_running_sum": _GSEA + f"SELECT {_GROUP}, gs_name, size, es FROM es8",
-    "pathway_score_percentile": _GSEA
-    + f""", scored AS (SELECT *, round(-log10(1 - abs(es)) * abs(es), 9) AS score FROM es8 WHERE 1 - abs(es) > 0), kept AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY {_GROUP} ORDER BY score DESC) AS r FROM scored) WHERE r <= 8)
-        SELECT {_GROUP}, gs_name, 'Set: Group ' || lower(gs_name[11:]) AS pathway, round(score, 7) AS score,
+    "gsea_curve": _GSEA
+    + f"SELECT {_GROUP}, gs_name, place, round((upto - w) / whole - (place - k) / (n - size)::DOUBLE, 7) + 0.0::DOUBLE AS before, round(upto / whole - (place - k) / (n - size)::DOUBLE, 7) + 0.0::DOUBLE AS after FROM walked WHERE whole > 0 AND n > size",
+    "gsea_permutation": _NULLS + f"SELECT {_GROUP}, gs_name, {_PATHWAY} AS pathway, size, round(es, 7) AS es, round(nes, 6) AS nes, round(p, 7) AS p, round(p_adj, 7) AS p_adj FROM enriched",
+    "pathway_score_percentile": _NULLS
+    + f""", scored AS (SELECT *, round(-log10(p_adj) * abs(nes), 9) AS score FROM enriched WHERE p_adj > 0 AND nes IS NOT NULL), kept AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY {_GROUP} ORDER BY score DESC) AS r FROM scored) WHERE r <= 8)
+        SELECT {_GROUP}, gs_name, {_PATHWAY} AS pathway, round(score, 6) AS score,
             round(100 - row_number() OVER (PARTITION BY {_GROUP} ORDER BY score DESC, gs_name) / count(*) OVER (PARTITION BY {_GROUP})::DOUBLE * 100, 1) AS percentile FROM kept""",
+    "pathway_subset": _GSEA + f"SELECT {_GROUP}, gs_name, size, es FROM es8 WHERE gs_name IN (SELECT gs_name FROM sets s JOIN probes p ON s.gene = p.gene GROUP BY 1 HAVING avg((panel = 'addon')::INT) > 0.125)",
     "pathway_bars": _GSEA
     + f""", w AS (SELECT *, count(*) OVER (PARTITION BY {_GROUP}) / 3.0::DOUBLE AS n, row_number() OVER (PARTITION BY {_GROUP} ORDER BY es, gs_name) AS place FROM es8
         ), b AS (SELECT *, CASE WHEN n <= 1 THEN 0.25 WHEN n <= 5 THEN 0.125 * n + 0.125 ELSE sqrt(n) - sqrt(5.0) + 0.75 END AS width FROM w)
@@ -512,7 +596,7 @@ SQL = {
     + ", tfsets AS (SELECT tf || CASE WHEN mor = 1 THEN '|up' ELSE '|down' END AS gs_name, target AS gene FROM reg WHERE confidence <> 'E')"
     + f"SELECT cell_id, split_part(gs_name, '|', 1) AS tf, round(sum(CASE WHEN split_part(gs_name, '|', 2) = 'up' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END * auc / size), 9) AS score FROM {_auc('tfsets')} GROUP BY 1, 2",
     "lr_tf_chain": _REGULONS
-    + """, sets AS (SELECT DISTINCT 'SET_GROUP_' || upper(md5(gene)[1:1]) AS gs_name, gene FROM genes
+    + """, sets AS (SELECT DISTINCT upper(assay) || '_GROUP_' || upper(gene[1:1]) AS gs_name, gene FROM genes
         ), m AS (SELECT *, row_number() OVER (PARTITION BY gs_name ORDER BY gene) AS k FROM sets
         ), c AS (SELECT gs_name, """
     + ", ".join(f"max(gene) FILTER (k = {i}) AS uniprot_{i}" for i in range(1, 6))
@@ -523,16 +607,8 @@ SQL = {
     + ", t.tf FROM c "
     + " ".join(f"LEFT JOIN genes g{i} ON uniprot_{i} = g{i}.gene" for i in range(1, 6))
     + " LEFT JOIN (SELECT target, max(tf) AS tf FROM reg GROUP BY 1) t ON uniprot_1 = t.target",
-    "lr_fov_cross_expand": domain.SQL
-    + """SELECT * FROM (SELECT fov, count(*) AS n_cells FROM cells GROUP BY 1) CROSS JOIN (VALUES ('LISP+HAR24', 'TEV22', 'fibroblast', 'tumor', 120.0::DOUBLE), ('HUT14', 'TEV22', 'macrophage', 'tumor', 120.0::DOUBLE)) v(receptor, ligand, receptor_cell, ligand_cell, r)""",
+    "lr_fov_cross_expand": domain.SQL + imports.LR_TABLE + "SELECT fov, n_cells, receptor, ligand, receptor_cell, ligand_cell, 120.0::DOUBLE AS r FROM (SELECT fov, count(*) AS n_cells FROM cells GROUP BY 1) CROSS JOIN lr",
     "fov_type_percent": domain.SQL
-    + "SELECT fov, "
-    + ", ".join(PROFILE_KINDS)
-    + ", "
-    + ", ".join(f"round({k} * 100.0::DOUBLE / CASE WHEN t > 0 THEN t END, 6) AS percent_{k}" for k in PROFILE_KINDS)
-    + " FROM (SELECT fov, "
-    + ", ".join(f"count(*) FILTER (cell_type = '{k}') AS {k}" for k in PROFILE_KINDS)
-    + ", count(*) FILTER (cell_type IN ("
-    + ", ".join(f"'{k}'" for k in PROFILE_KINDS)
-    + ")) AS t FROM cells GROUP BY 1)",
+    + """SELECT f.fov, k.cell_type, coalesce(n, 0) AS n, round(coalesce(n, 0) * 100.0::DOUBLE / total, 6) AS percent FROM (SELECT fov, count(*) AS total FROM cells WHERE cell_type IS NOT NULL GROUP BY 1) f
+        CROSS JOIN (SELECT DISTINCT cell_type FROM cells WHERE cell_type IS NOT NULL) k LEFT JOIN (SELECT fov, cell_type, count(*) AS n FROM cells GROUP BY 1, 2) c ON f.fov = c.fov AND k.cell_type = c.cell_type""",
 }

@@ -63,6 +63,11 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.join(assays, "gene").join(cells(spark, sf_dir).select("cell_id"), "cell_id", "left_semi")
 
 
+def gene_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(gs_name, gene): the genes of an assay by the first letter of their names."""
+    return genes(spark, sf_dir).select(F.concat_ws("_", F.upper("assay"), F.lit("GROUP"), F.upper(F.substring("gene", 1, 1))).alias("gs_name"), "gene").dropDuplicates()
+
+
 SQL = """
     WITH cells AS (
         SELECT m.updated_cell_id AS cell_id, m.Run_Tissue_name AS slide, m.Run_Tissue_name || ':' || m.fov AS fov,

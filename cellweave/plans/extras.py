@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scratch import saved
-from ..operators import expression, niches, patterns, spatial, views
-from . import biology, domain, quality, space
+from ..operators import expression, niches, patterns, qc, spatial, views
+from . import biology, domain, fovs, quality, space
 from .space import EDGES, RADIUS
 
 SIGMA = 30.0
@@ -54,7 +54,8 @@ def pca_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def de_volcano(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.volcano(biology.de_tested(spark, sf_dir), "p_adj")
+    found = views.volcano(biology._tested(spark, sf_dir), "p_adj")
+    return found.select("cell_type", "gene", "level_a", "level_b", "estimate", F.round("minus_log10_p", 4).alias("minus_log10_p"), "significant")
 
 
 def auc_group_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,14 +100,40 @@ def inhomogeneity_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(part[0].alias("fov"), part[1].alias("focal"), part[2].alias("mode"), "n", F.round("vmr", 7).alias("vmr"))
 
 
-TFS = ["TF0", "TF1", "TF2", "TF3"]
+def lr_final_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ligand-receptor scores with the receptor cell's activity of each factor, a row per factor."""
+    scores = biology.pathway_activity(spark, sf_dir).withColumnRenamed("cell_id", "receptor_cell")
+    return space.lr_score(spark, sf_dir).join(scores, "receptor_cell", "left").select("ligand", "receptor", "ligand_cell", "receptor_cell", "lr_score", "tf", F.col("score").alias("auc_score"))
 
 
-def lr_final_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ligand-receptor scores with the receptor cell's activity of some factors, a column each."""
-    scores = views.spread_scores(biology.pathway_activity(spark, sf_dir), "cell_id", "tf", "score", TFS)
-    joined = space.lr_score(spark, sf_dir).join(scores.withColumnRenamed("cell_id", "receptor_cell"), "receptor_cell", "left")
-    return joined.select("ligand_cell", "receptor_cell", "lr_score", *[f"auc_score_{t}" for t in TFS])
+def qc_filtered_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells that pass the cell flags, of FOVs that pass theirs."""
+    return _filtered(spark, sf_dir, False)[0].select("cell_id", "fov")
+
+
+def _filtered(spark: SparkSession, sf_dir: str, pre_qc: bool) -> tuple[DataFrame, DataFrame]:
+    flags = quality._flags(spark, sf_dir)
+    bad = fovs.fov_flags(spark, sf_dir).where("flagged")
+    moments = quality._moments(spark, sf_dir)
+    targets = qc.flagged_targets(quality._tested(spark, sf_dir), qc.below_negatives(moments, 0.5), True, False)
+    negatives = qc.negative_outliers(moments, quality.LIMITS.negative_alpha).where("outlier")
+    return qc.filtered(domain.cells(spark, sf_dir), domain.counts(spark, sf_dir), flags, bad, targets, negatives, pre_qc)
+
+
+def qc_filtered_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts per gene after all filters; flagged targets and outlying negative probes are gone."""
+    return _filtered(spark, sf_dir, False)[1].groupBy("gene", "assay").agg(F.count(F.lit(1)).alias("n_cells"), F.sum("count").alias("n_molecules"))
+
+
+def qc_pre_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells and genes that are left with the filters, and in pre-QC mode, which filters nothing."""
+    made = None
+    for mode in (False, True):
+        cells, counts = _filtered(spark, sf_dir, mode)
+        n = cells.agg(F.count(F.lit(1)).alias("n_cells")).join(counts.agg(F.countDistinct("gene").alias("n_genes")))
+        part = n.select(F.lit(mode).alias("pre_qc"), "n_cells", "n_genes")
+        made = part if made is None else made.unionByName(part)
+    return made
 
 
 QUERIES = {
@@ -114,6 +141,7 @@ QUERIES = {
     for f in (
         cell_export, types_in_order, profile_heatmap, niche_heatmap, counts_in_space, pca_variance, de_volcano, auc_group_summary, auc_label_test,
         kernel_intensity, inhomogeneity, k_inhomogeneous, inhomogeneity_by_type, lr_final_scores,
+        qc_filtered_cells, qc_filtered_genes, qc_pre_mode,
     )
 }
 
@@ -125,6 +153,15 @@ _TYPED = """, keyed AS (SELECT p.fov, focal, CASE WHEN cell_type = focal THEN 's
     ), quads AS (SELECT k.fov, k.focal, k.mode, CASE WHEN x1 > x0 THEN least(2, floor((x - x0) / (x1 - x0) * 3)) ELSE 0 END AS qx, CASE WHEN y1 > y0 THEN least(2, floor((y - y0) / (y1 - y0) * 3)) ELSE 0 END AS qy, count(*) AS c
         FROM keyed k JOIN boxes b ON k.fov = b.fov AND k.focal = b.focal AND k.mode = b.mode GROUP BY ALL)
 """
+_FILTERED = (
+    fovs._FLAGS
+    + quality._TOTALS[len(domain.SQL) :]
+    + f""", negs AS ({quality.SQL["neg_probe_outliers"][len(quality._TOTALS) :]}
+    ), kept AS (SELECT d.* FROM decided d WHERE NOT flagged AND NOT EXISTS (SELECT 1 FROM fov_flags f WHERE f.flagged AND f.fov = d.fov)
+    ), low_targets AS (SELECT gene FROM moments, (SELECT quantile_cont(mean, 0.5) AS l FROM moments WHERE assay = 'negative') WHERE assay = 'RNA' AND mean < l
+    ), left_counts AS (SELECT * FROM counts WHERE cell_id IN (SELECT cell_id FROM kept) AND NOT (assay = 'RNA' AND gene IN (SELECT gene FROM low_targets)) AND NOT (assay = 'negative' AND gene IN (SELECT gene FROM negs WHERE outlier)))
+"""
+)
 SQL = {
     "cell_export": domain.SQL + 'SELECT cell_id AS "CellID", fov, niche, cell_type, area FROM cells',
     "types_in_order": domain.SQL
@@ -155,7 +192,10 @@ SQL = {
     + _TYPED
     + """SELECT b.fov, b.focal, b.mode, n, round((sum(c * c)::DOUBLE / (n / 9.0::DOUBLE) - n) / 8, 7) AS vmr FROM boxes b JOIN quads q ON b.fov = q.fov AND b.focal = q.focal AND b.mode = q.mode
         WHERE n >= 10 GROUP BY b.fov, b.focal, b.mode, n""",
-    "lr_final_scores": "SELECT l.ligand_cell, l.receptor_cell, l.lr_score, "
-    + ", ".join(f"max(score) FILTER (tf = '{t}') AS auc_score_{t}" for t in TFS)
-    + f" FROM ({space.SQL['lr_score']}) l LEFT JOIN ({biology.SQL['pathway_activity']}) a ON l.receptor_cell = a.cell_id GROUP BY 1, 2, 3",
+    "lr_final_scores": f"SELECT l.ligand, l.receptor, l.ligand_cell, l.receptor_cell, l.lr_score, a.tf, a.score AS auc_score FROM ({space.SQL['lr_score']}) l LEFT JOIN ({biology.SQL['pathway_activity']}) a ON l.receptor_cell = a.cell_id",
+    "de_volcano": biology._TESTED_DE + "SELECT cell_type, gene, level_a, level_b, estimate, round(-log10(CASE WHEN p_adj > 0 THEN p_adj END), 4) AS minus_log10_p, p_adj < 0.05 AS significant FROM tested",
+    "qc_filtered_cells": _FILTERED + "SELECT cell_id, fov FROM kept",
+    "qc_filtered_genes": _FILTERED + "SELECT gene, assay, count(*) AS n_cells, sum(count)::BIGINT AS n_molecules FROM left_counts GROUP BY 1, 2",
+    "qc_pre_mode": _FILTERED
+    + "SELECT false AS pre_qc, (SELECT count(*) FROM kept) AS n_cells, (SELECT count(DISTINCT gene) FROM left_counts) AS n_genes UNION ALL SELECT true, (SELECT count(*) FROM cells), (SELECT count(DISTINCT gene) FROM counts)",
 }

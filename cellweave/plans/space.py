@@ -5,15 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.levels import few
+from ..functions.levels import few, for_each_level
 from ..functions.tails import chi2_upper_col
+from ..functions.tails_sql import chi2_upper
 from ..operators import spatial
-from . import domain
+from . import domain, imports
 
-RADIUS = 120.0
+RADIUS = spatial.to_micrometres(120.0, "um")
 K = 5
-LIGAND, RECEPTOR = "TEV22", "LISP+HAR24"
-LIGAND_CELL, RECEPTOR_CELL = "tumor", "fibroblast"
 
 
 def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,12 +57,17 @@ def cell_kinds(spark: SparkSession, sf_dir: str) -> list[str]:
     return sorted(r[0] for r in few(domain.cells(spark, sf_dir).where("cell_type IS NOT NULL").select("cell_type").distinct()))
 
 
-PROFILE_KINDS = ("fibroblast", "macrophage", "plasma", "tumor")
+def neighbor_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbours of each type for each cell, 0 where there are none: the cell by type matrix, a row per entry."""
+    points = domain.points(spark, sf_dir)
+    kinds = points.where("cell_type IS NOT NULL").select("cell_type").distinct()
+    held = spatial.local_profile(_edges(spark, sf_dir), points, "cell_id", "cell_type")
+    return for_each_level(points.select("cell_id"), kinds).join(held, ["cell_id", "cell_type"], "left").fillna(0, ["n"])
 
 
-def neighbor_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profile over a given list of types, others left out."""
-    return spatial.neighbor_profile(_edges(spark, sf_dir), domain.points(spark, sf_dir), "cell_id", "cell_type", list(PROFILE_KINDS))
+def neighborhood_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spatial.neighborhood_summary(_edges(spark, sf_dir), domain.points(spark, sf_dir), "cell_id", ["area", "cell_type"])
+    return found.select("src", "variable", "level", F.round("value", 4).alias("value"))
 
 
 def moran_uni(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,25 +86,24 @@ def lisa_bi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.lisa(_edges(spark, sf_dir), domain.points(spark, sf_dir), "fov", "cell_id", "area", "mean_panck").select("cell_id", (F.round("lisa", 1) + F.lit(0.0)).alias("lisa"))
 
 
-def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spatial.type_pairs(_edges(spark, sf_dir), domain.points(spark, sf_dir), "fov", "cell_id", "cell_type", LIGAND_CELL, RECEPTOR_CELL)
+def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ligand-receptor scores of every row of the pair table."""
+    return spatial.lr_table_scores(_edges(spark, sf_dir), domain.cells(spark, sf_dir), domain.counts(spark, sf_dir), imports.csv_pairs(spark, sf_dir), "fov", "cell_id", "cell_type")
 
 
 def ab_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pairs(spark, sf_dir).select("fov", "ligand_cell", "receptor_cell", F.round("dist", 6).alias("dist"))
+    return _scores(spark, sf_dir).select("fov", "ligand_type", "receptor_type", "ligand_cell", "receptor_cell", F.round("dist", 6).alias("dist")).distinct()
 
 
 def lr_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = domain.counts(spark, sf_dir)
-    scored = spatial.lr_scores(_pairs(spark, sf_dir), domain.cells(spark, sf_dir), counts, "fov", LIGAND, RECEPTOR)
-    return scored.select("fov", "ligand_cell", "receptor_cell", "lr_score", F.round("overall", 8).alias("overall"), F.round("overall_normalized", 10).alias("overall_normalized"))
+    return _scores(spark, sf_dir).select(
+        "fov", "ligand", "receptor", "ligand_cell", "receptor_cell", "lr_score", F.round("overall", 8).alias("overall"), F.round("overall_normalized", 10).alias("overall_normalized")
+    )
 
 
 def signaling_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = spatial.signaling_scores(
-        _edges(spark, sf_dir), domain.points(spark, sf_dir), domain.counts(spark, sf_dir), "fov", "cell_id", "cell_type", ["macrophage", "dendritic"], ["tumor"], "TEV22", "HUT14"
-    )
-    return found.select("cell_id", F.round("score", 5).alias("score"))
+    found = spatial.signaling_table(_edges(spark, sf_dir), domain.points(spark, sf_dir), domain.counts(spark, sf_dir), imports.csv_pairs(spark, sf_dir), "fov", "cell_id", "cell_type")
+    return found.select("ligand", "receptor", "anchor_type", "target_type", "cell_id", F.round("score", 5).alias("score"))
 
 
 def quadrat_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +117,7 @@ def quadrat_chi2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quadrat_test_p(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spatial.quadrat_test(spatial.quadrat_counts(domain.points(spark, sf_dir), "fov", 5, 5), "fov")
-    return found.withColumn("p", chi2_upper_col(F.col("chi2"), F.col("df")))
+    return found.select("fov", "n", F.round(chi2_upper_col(F.col("chi2"), F.col("df")), 7).alias("p"))
 
 
 def quadrat_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +128,7 @@ def quadrat_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        slide_offset, radius_edges, knn_edges, neighbor_sum, neighbor_mean, neighbor_tabulate, neighborhood_expression, neighbor_profile,
+        slide_offset, radius_edges, knn_edges, neighbor_sum, neighbor_mean, neighbor_tabulate, neighborhood_expression, neighbor_profile, neighborhood_summary,
         moran_uni, moran_bi, lisa_local, lisa_bi, ab_pairs, lr_score, signaling_score, quadrat_counts, quadrat_chi2, quadrat_test_p, quadrat_grids,
     )
 }
@@ -148,20 +151,36 @@ _MORAN = """SELECT s.fov, s.n, round(s.n / (sqrt(sx) * sqrt(sy)) * c / w, 8) AS
 _LISA = """SELECT d.cell_id, round(dx * coalesce(lag, 0), {digits}) + 0.0::DOUBLE AS lisa FROM dev d
     LEFT JOIN (SELECT src, sum(b.dy) AS lag FROM edges e JOIN dev b ON e.dst = b.cell_id GROUP BY src) l ON d.cell_id = l.src"""
 _AREAS = "(SELECT src, count(*) AS degree, sum(area) AS total FROM edges JOIN pts ON dst = cell_id WHERE dist > 0 AND area IS NOT NULL GROUP BY src)"
-_PAIRS = f"""(SELECT e.fov, src AS ligand_cell, dst AS receptor_cell, dist FROM edges e JOIN pts a ON src = a.cell_id JOIN pts b ON dst = b.cell_id
-    WHERE a.cell_type = '{LIGAND_CELL}' AND b.cell_type = '{RECEPTOR_CELL}')"""
 _QUADS = """(SELECT b.fov, qx::INT AS qx, qy::INT AS qy, coalesce(n, 0) AS n FROM (SELECT DISTINCT fov FROM pts) b CROSS JOIN range(5) u(qx) CROSS JOIN range(5) v(qy)
     LEFT JOIN (SELECT p.fov, CASE WHEN x1 > x0 THEN least(4, floor((x - x0) / (x1 - x0) * 5))::INT ELSE 0 END AS px, CASE WHEN y1 > y0 THEN least(4, floor((y - y0) / (y1 - y0) * 5))::INT ELSE 0 END AS py, count(*) AS n
         FROM pts p JOIN (SELECT fov, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM pts GROUP BY fov) w ON p.fov = w.fov GROUP BY 1, 2, 3) c
     ON b.fov = c.fov AND qx = px AND qy = py)"""
 
 
-def _level(gene: str) -> str:
-    return f"""(SELECT p.cell_id, CASE WHEN stddev_samp(coalesce(count, 0)) OVER w > 0 THEN exp((coalesce(count, 0) - avg(coalesce(count, 0)) OVER w) / stddev_samp(coalesce(count, 0)) OVER w) END AS z
-        FROM pts p LEFT JOIN counts c ON p.cell_id = c.cell_id AND c.gene = '{gene}' WINDOW w AS (PARTITION BY fov))"""
-
-
-_UNITS = RECEPTOR.split("+")
+LR = (
+    EDGES
+    + imports.LR_TABLE
+    + """, met AS (SELECT e.fov, l.ligand, l.receptor, unit1, unit2, l.ligand_cell AS ligand_type, l.receptor_cell AS receptor_type, src, dst, dist FROM edges e JOIN pts a ON src = a.cell_id JOIN pts b ON dst = b.cell_id
+        JOIN lr l ON a.cell_type = l.ligand_cell AND b.cell_type = l.receptor_cell WHERE l.ligand_cell <> l.receptor_cell OR src < dst
+    ), scored AS (SELECT m.*, coalesce(l.count, 0) * CASE WHEN unit2 IS NULL THEN coalesce(r1.count, 0) WHEN unit1 IS NULL THEN coalesce(r2.count, 0) ELSE least(coalesce(r1.count, 0), coalesce(r2.count, 0)) END AS lr_score
+        FROM met m LEFT JOIN counts l ON l.cell_id = src AND l.gene = m.ligand LEFT JOIN counts r1 ON r1.cell_id = dst AND r1.gene = unit1 LEFT JOIN counts r2 ON r2.cell_id = dst AND r2.gene = unit2
+    ), lr_scores AS (SELECT s.fov, ligand, receptor, ligand_type, receptor_type, src AS ligand_cell, dst AS receptor_cell, dist, lr_score, avg(lr_score) OVER w AS overall, avg(lr_score) OVER w / n AS overall_normalized
+        FROM scored s JOIN (SELECT fov, count(*) AS n FROM cells GROUP BY fov) c ON s.fov = c.fov WINDOW w AS (PARTITION BY s.fov, ligand, receptor, ligand_type, receptor_type))
+"""
+)
+_SIGNALS = (
+    EDGES
+    + imports.LR_TABLE
+    + """, signals AS (SELECT DISTINCT ligand, coalesce(unit1, unit2) AS receptor, receptor_cell AS anchor_type, ligand_cell AS target_type FROM lr
+    ), sizes AS (SELECT fov, count(*) AS n FROM pts GROUP BY 1
+    ), m AS (SELECT z.fov, g.gene, n, coalesce(s1, 0)::DOUBLE / n AS mean, CASE WHEN n > 1 AND (coalesce(s2, 0) - coalesce(s1, 0)::DOUBLE * coalesce(s1, 0) / n) / (n - 1) > 1e-12
+            THEN sqrt((coalesce(s2, 0) - coalesce(s1, 0)::DOUBLE * coalesce(s1, 0) / n) / (n - 1)) END AS sd
+        FROM sizes z CROSS JOIN (SELECT ligand AS gene FROM signals UNION SELECT receptor FROM signals) g LEFT JOIN (
+            SELECT fov, gene, sum(count) AS s1, sum(count * count) AS s2 FROM counts c JOIN pts p ON c.cell_id = p.cell_id GROUP BY 1, 2) s ON z.fov = s.fov AND g.gene = s.gene
+    ), lev AS (SELECT p.cell_id, p.cell_type, m.gene, exp((coalesce(c.count, 0) - mean) / sd) AS z FROM pts p JOIN m ON p.fov = m.fov LEFT JOIN counts c ON c.cell_id = p.cell_id AND c.gene = m.gene WHERE p.cell_type IS NOT NULL
+    ), near AS (SELECT src, t.cell_type AS target_type, t.gene AS ligand, sum(t.z) AS near, count(*) AS k FROM edges JOIN lev t ON dst = t.cell_id GROUP BY 1, 2, 3)
+"""
+)
 SQL = {
     "slide_offset": domain.SQL
     + """SELECT cell_id, round(x + (i % k) * w * 1.2, 5) AS x_adj, round(y + (i // k) * h * 1.2, 5) AS y_adj FROM pts p
@@ -181,25 +200,22 @@ SQL = {
     + """SELECT s.src, gene, round(s::DOUBLE / degree, 8) AS mean FROM (SELECT src, gene, sum(count) AS s FROM edges JOIN counts c ON dst = c.cell_id WHERE assay = 'RNA' GROUP BY 1, 2) s
         JOIN (SELECT src, count(*) AS degree FROM edges GROUP BY 1) d ON s.src = d.src""",
     "neighbor_profile": EDGES
-    + "SELECT p.cell_id, "
-    + ", ".join(f"count(*) FILTER (t.cell_type = '{k}') AS {k}" for k in PROFILE_KINDS)
-    + " FROM pts p LEFT JOIN edges e ON p.cell_id = e.src LEFT JOIN pts t ON e.dst = t.cell_id GROUP BY 1",
+    + """SELECT p.cell_id, k.cell_type, coalesce(n, 0) AS n FROM pts p CROSS JOIN (SELECT DISTINCT cell_type FROM pts WHERE cell_type IS NOT NULL) k
+        LEFT JOIN (SELECT src, cell_type, count(*) AS n FROM edges JOIN pts ON dst = cell_id GROUP BY 1, 2) e ON p.cell_id = e.src AND k.cell_type = e.cell_type""",
+    "neighborhood_summary": EDGES
+    + f"""SELECT cell_id AS src, 'area' AS variable, NULL::VARCHAR AS level, round(coalesce(total, 0), 4) AS value FROM pts LEFT JOIN {_AREAS} s ON cell_id = s.src WHERE area IS NOT NULL
+        UNION ALL SELECT src, 'cell_type', cell_type, count(*)::DOUBLE FROM edges JOIN pts ON dst = cell_id WHERE dist > 0 AND cell_type IS NOT NULL GROUP BY 1, 3""",
     "moran_uni": EDGES + _DEV.format(y="area") + _MORAN,
     "moran_bi": EDGES + _DEV.format(y="mean_panck") + _MORAN,
     "lisa_local": EDGES + _DEV.format(y="area") + _LISA.format(digits=1),
     "lisa_bi": EDGES + _DEV.format(y="mean_panck") + _LISA.format(digits=1),
-    "ab_pairs": EDGES + f"SELECT fov, ligand_cell, receptor_cell, round(dist, 6) AS dist FROM {_PAIRS}",
-    "lr_score": EDGES
-    + f""", scored AS (SELECT p.fov, ligand_cell, receptor_cell, coalesce(l.count, 0) * least(coalesce(r1.count, 0), coalesce(r2.count, 0)) AS lr_score
-        FROM {_PAIRS} p LEFT JOIN counts l ON l.cell_id = ligand_cell AND l.gene = '{LIGAND}'
-        LEFT JOIN counts r1 ON r1.cell_id = receptor_cell AND r1.gene = '{_UNITS[0]}' LEFT JOIN counts r2 ON r2.cell_id = receptor_cell AND r2.gene = '{_UNITS[1]}')
-        SELECT s.fov, ligand_cell, receptor_cell, lr_score, round(avg(lr_score) OVER (PARTITION BY s.fov), 8) AS overall,
-            round(avg(lr_score) OVER (PARTITION BY s.fov) / n, 10) AS overall_normalized
-        FROM scored s JOIN (SELECT fov, count(*) AS n FROM cells GROUP BY fov) c ON s.fov = c.fov""",
-    "signaling_score": EDGES
-    + f"""SELECT p.cell_id, CASE WHEN n IS NULL THEN 0.0 ELSE round(r.z * near, 5) END AS score FROM pts p JOIN {_level("HUT14")} r ON p.cell_id = r.cell_id
-        LEFT JOIN (SELECT src, sum(l.z) AS near, count(*) AS n FROM edges e JOIN pts t ON dst = t.cell_id AND t.cell_type = 'tumor' JOIN {_level("TEV22")} l ON dst = l.cell_id GROUP BY src) s ON p.cell_id = s.src
-        WHERE p.cell_type IN ('macrophage', 'dendritic')""",
+    "ab_pairs": LR + "SELECT DISTINCT fov, ligand_type, receptor_type, ligand_cell, receptor_cell, round(dist, 6) AS dist FROM lr_scores",
+    "lr_score": LR + "SELECT fov, ligand, receptor, ligand_cell, receptor_cell, lr_score, round(overall, 8) AS overall, round(overall_normalized, 10) AS overall_normalized FROM lr_scores",
+    "signaling_score": _SIGNALS
+    + """SELECT s.ligand, s.receptor, anchor_type, s.target_type, r.cell_id, CASE WHEN k IS NULL THEN 0.0 ELSE round(r.z * near, 5) END AS score FROM signals s JOIN lev r ON r.cell_type = anchor_type AND r.gene = s.receptor
+        LEFT JOIN near n ON r.cell_id = n.src AND s.ligand = n.ligand AND s.target_type = n.target_type""",
+    "quadrat_test_p": domain.SQL
+    + f"""SELECT fov, n, round({chi2_upper("chi2", "df")}, 7) AS p FROM (SELECT fov, sum(n)::BIGINT AS n, sum(n * n)::DOUBLE / (sum(n)::DOUBLE / count(*)) - sum(n)::DOUBLE AS chi2, (count(*) - 1)::INT AS df FROM {_QUADS} GROUP BY fov)""",
     "quadrat_counts": domain.SQL + f"SELECT fov, qx, qy, n FROM {_QUADS}",
     "quadrat_chi2": domain.SQL
     + f"""SELECT fov, n, round(chi2, 7) AS chi2, df, round(chi2 / df, 7) AS vmr FROM (SELECT fov, sum(n)::BIGINT AS n, sum(n * n)::DOUBLE / (sum(n)::DOUBLE / count(*)) - sum(n)::DOUBLE AS chi2,

@@ -6,13 +6,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.levels import few
 from ..functions.scratch import cut, saved
 from ..functions.tails import normal_quantile_col, normal_upper_col
 
@@ -74,6 +76,162 @@ def principal_components(profile: DataFrame, key: str, columns: list[str], k: in
     return model.transform(vectors).select(key, vector_to_array("pc").alias("pc")), [float(v) for v in model.explainedVariance]
 
 
+def dense_vectors(entries: DataFrame, keys: DataFrame, key: str, name: str, value: str) -> DataFrame:
+    """(key, v array<double>): long entries as vectors over all names that occur, sorted; what has no entry is 0.
+
+    Names are a panel (more than a factor may have are refused). Keys without entries have a vector of zeros.
+    """
+    names = sorted(r[0] for r in few(entries.select(name).distinct()))
+    index = entries.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)], f"`{name}` string, place int")
+    rows = entries.join(index, name).groupBy(key).agg(F.collect_list("place").alias("place"), F.collect_list(F.col(value).cast("double")).alias("value"))
+    held = keys.select(key).join(rows, key, "left")
+    kind = keys.schema[key].dataType.simpleString()
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            at = batch.column(1).fill_null(pa.scalar([], batch.column(1).type)) if batch.column(1).null_count else batch.column(1)
+            size = np.diff(at.offsets.to_numpy())
+            row = np.repeat(np.arange(n), size)
+            dense = np.zeros((n, len(names)))
+            dense[row, at.flatten().to_numpy()] = batch.column(2).flatten().to_numpy()
+            lists = pa.ListArray.from_arrays(np.arange(0, n * len(names) + 1, max(1, len(names)), dtype=np.int32)[: n + 1] if names else np.zeros(n + 1, np.int32), pa.array(dense.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=[key, "v"])
+
+    return held.select(key, "place", "value").mapInArrow(spread, f"`{key}` {kind}, v array<double>")
+
+
+def vector_components(vectors: DataFrame, key: str, k: int) -> tuple[DataFrame, list[float]]:
+    """`principal_components` of vectors (key, v); at most as many components as the vectors are long."""
+    rows = vectors.select(key, array_to_vector("v").alias("features"))
+    first = vectors.select(F.size("v")).first()
+    model = PCA(k=min(k, first[0]), inputCol="features", outputCol="pc").fit(rows)
+    return model.transform(rows).select(key, vector_to_array("pc").alias("pc")), [float(v) for v in model.explainedVariance]
+
+
+def vector_kmeans(vectors: DataFrame, key: str, k: int, seed: int = 1) -> DataFrame:
+    """(key, cluster): k-means of vectors (key, v)."""
+    rows = vectors.select(key, array_to_vector("v").alias("features"))
+    return KMeans(k=k, seed=seed, predictionCol="cluster").fit(rows).transform(rows).select(key, "cluster")
+
+
+def grouped_kmeans(vectors: DataFrame, by: str, key: str, k: int, steps: int = 10, seed: int = 1) -> DataFrame:
+    """(by, key, cluster, v): k-means within each group, each column in units of its spread within the group.
+
+    vectors: (by, key, v). Seeds are k distinct vectors of a group by a hash; a group with fewer has fewer clusters. A step joins the centers of its group, k short
+    vectors, to each row and averages per group and cluster, so no group lies in one task. It ends when no center moves, or after `steps`, as Spark's
+    own k-means does after its limit. A cluster that loses all its rows keeps its center; equal distances go to the first.
+    """
+    size = vectors.select(F.size("v")).first()
+    d = size[0] if size else 0
+    spread = vectors.groupBy(F.col(by).alias("sub")).agg(F.array(*[F.coalesce(F.stddev_samp(F.col("v")[i]), F.lit(0.0)) for i in range(d)]).cast("array<double>").alias("sd"))
+    scaled = F.zip_with("v", "sd", lambda x, s: F.when(s > 0, x / s).otherwise(0.0))
+    rows = saved(vectors.withColumnRenamed(by, "sub").join(spread, "sub").select("sub", F.col(key).alias("k"), "v", scaled.alias("z")))
+    chosen = Window.partitionBy("sub").orderBy(F.xxhash64("z", F.lit(seed)), "z")
+    seeds = rows.select("sub", "z").distinct().withColumn("c", F.row_number().over(chosen) - 1).where(F.col("c") < k)
+    gathered = lambda c: c.groupBy("sub").agg(F.transform(F.array_sort(F.collect_list(F.struct("c", "z"))), lambda x: x["z"]).alias("centers"))
+    centers = saved(gathered(seeds))
+    far = F.transform("centers", lambda c: F.aggregate(F.zip_with("z", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
+    nearest = (F.array_position("far", F.array_min("far")) - 1).cast("int")
+    for _ in range(steps):
+        placed = rows.join(centers, "sub").withColumn("far", far).withColumn("c", nearest)
+        means = placed.groupBy("sub", "c").agg(F.array(*[F.avg(F.col("z")[i]) for i in range(d)]).cast("array<double>").alias("z"))
+        old = centers.select("sub", F.posexplode("centers").alias("c", "old"))
+        moved = saved(old.join(means, ["sub", "c"], "left").select("sub", "c", F.coalesce("z", "old").alias("z"), (F.coalesce("z", "old") != F.col("old")).alias("moved")))
+        centers = saved(gathered(moved.select("sub", "c", "z")))
+        if moved.where("moved").isEmpty():
+            break
+    placed = rows.join(centers, "sub").withColumn("far", far)
+    return placed.select(F.col("sub").alias(by), F.col("k").alias(key), nearest.alias("cluster"), "v")
+
+
+def diagonal_mixture(vectors: DataFrame, key: str, k: int, steps: int = 30, seed: int = 1) -> DataFrame:
+    """(key, niche, certainty): Gaussian mixture whose components share one diagonal covariance, by expectation and maximization.
+
+    Starts from k-means. A step is one pass: every task sums weights, vectors and squares under the current parameters (k centers and one variance
+    per column, sent along), and the sums of the tasks, not rows, reach the driver. It ends when the likelihood grows by less than 1e-4 a row.
+    """
+    rows = saved(vectors.select(key, "v"))
+    n = rows.count()
+    if n == 0:
+        return rows.select(key, F.lit(0).alias("niche"), F.lit(0.0).alias("certainty"))
+    model = KMeans(k=k, seed=seed).fit(rows.select(array_to_vector("v").alias("features")))
+    means = np.array([c for c in model.clusterCenters()])
+    ranges = rows.agg(F.array(*[F.var_pop(F.col("v")[i]) for i in range(means.shape[1])])).first()[0]
+    var, weight = np.maximum(np.array(ranges, float), 1e-9), np.full(len(means), 1 / len(means))
+
+    def matrix(column: pa.Array) -> np.ndarray:
+        return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+    def responsibilities(x: np.ndarray, m: np.ndarray, s: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        log = np.log(np.maximum(w, 1e-300)) - 0.5 * (((x[:, None, :] - m) ** 2 / s).sum(axis=2) + np.log(2 * np.pi * s).sum())
+        top = log.max(axis=1, keepdims=True)
+        whole = top[:, 0] + np.log(np.exp(log - top).sum(axis=1))
+        return np.exp(log - whole[:, None]), whole
+
+    last = -np.inf
+    for _ in range(steps):
+
+        def summed(batches: Iterator[pa.RecordBatch], m=means, s=var, w=weight) -> Iterator[pa.RecordBatch]:
+            r, rx, rxx, like = np.zeros(len(m)), np.zeros_like(m), np.zeros_like(m), 0.0
+            for batch in batches:
+                if batch.num_rows:
+                    x = matrix(batch.column(0))
+                    share, whole = responsibilities(x, m, s, w)
+                    r, rx, rxx, like = r + share.sum(axis=0), rx + share.T @ x, rxx + share.T @ (x * x), like + float(whole.sum())
+            yield pa.RecordBatch.from_arrays([pa.array([like]), pa.array([np.concatenate([r, rx.ravel(), rxx.ravel()]).tolist()], pa.list_(pa.float64()))], names=["like", "sums"])
+
+        parts = rows.select("v").mapInArrow(summed, "like double, sums array<double>").collect()  # a row per task
+        total, like = np.sum([p["sums"] for p in parts], axis=0), sum(p["like"] for p in parts)
+        g, d = means.shape
+        r, rx, rxx = np.maximum(total[:g], 1e-12), total[g : g + g * d].reshape(g, d), total[g + g * d :].reshape(g, d)
+        weight, means = r / r.sum(), rx / r[:, None]
+        var = np.maximum((rxx - r[:, None] * means * means).sum(axis=0) / r.sum(), 1e-9)
+        if like - last < 1e-4 * n:
+            break
+        last = like
+
+    def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                share, _ = responsibilities(matrix(batch.column(1)), means, var, weight)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(share.argmax(axis=1).astype(np.int32)), pa.array(share.max(axis=1))], names=[key, "niche", "certainty"])
+
+    return rows.mapInArrow(settled, f"`{key}` {rows.schema[key].dataType.simpleString()}, niche int, certainty double")
+
+
+def batch_corrected(scores: DataFrame, batches: DataFrame, key: str, batch: str, clusters: int, rounds: int = 3, sigma: float = 0.1, ridge: float = 1.0, seed: int = 1) -> DataFrame:
+    """(key, v): component scores from which what sets batches apart within soft clusters is taken.
+
+    scores: (key, v), batches: (key, batch). Each round finds clusters of the directions of the scores, gives every row a share in each by its cosine, and takes from it the
+    shares' mean differences between its batch and all rows, damped by `ridge`. The means are sums per batch and cluster; clusters, not rows, are
+    held by the driver. Rows without a batch stay as they are.
+    """
+    rows = saved(scores.select(key, "v").join(batches.select(key, F.col(batch).alias("batch")), key, "left"))
+    size = rows.select(F.size("v")).first()
+    if size is None:
+        return rows.select(key, "v")
+    d = size[0]
+    for turn in range(rounds):
+        norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+        unit = rows.withColumn("u", F.when(norm > 0, F.transform("v", lambda x: x / norm)).otherwise(F.col("v")))
+        model = KMeans(k=clusters, seed=seed + turn).fit(unit.select(array_to_vector("u").alias("features")))
+        lit = F.array(*[F.array(*[F.lit(float(x)) for x in c / max(1e-12, float(np.linalg.norm(c)))]) for c in model.clusterCenters()])
+        close = F.transform(lit, lambda c: F.exp((F.aggregate(F.zip_with("u", c, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x) - 1) * 2 / sigma))
+        shared = saved(unit.withColumn("r", close).withColumn("r", F.transform("r", lambda x: x / F.greatest(F.aggregate("r", F.lit(0.0), lambda a, y: a + y), F.lit(1e-300)))).drop("u"))
+        long = shared.where("batch IS NOT NULL").select("batch", "v", F.posexplode("r").alias("c", "w"))
+        sums = saved(long.groupBy("batch", "c").agg(F.sum("w").alias("w"), F.array(*[F.sum(F.col("w") * F.col("v")[i]) for i in range(d)]).alias("s")))
+        whole = sums.groupBy("c").agg(F.sum("w").alias("wt"), F.array(*[F.sum(F.col("s")[i]) for i in range(d)]).alias("st"))
+        shift = F.zip_with("s", "st", lambda a, b: (a / F.col("w") - b / F.col("wt")) * F.col("w") / (F.col("w") + ridge))
+        shifts = sums.join(whole, "c").where("w > 0 AND wt > 0").groupBy("batch").agg(F.map_from_entries(F.collect_list(F.struct("c", shift.alias("shift")))).alias("m"))
+        moved = F.aggregate(
+            F.sequence(F.lit(0), F.lit(clusters - 1)), F.col("v"),
+            lambda v, c: F.when(F.map_contains_key("m", c), F.zip_with(v, F.try_element_at("m", c), lambda x, y: x - y * F.get("r", c))).otherwise(v),
+        )
+        rows = saved(shared.join(shifts, "batch", "left").select(key, F.when(F.col("m").isNotNull(), moved).otherwise(F.col("v")).alias("v"), "batch"))
+    return rows.select(key, "v")
+
+
 def kmeans_niches(profile: DataFrame, key: str, columns: list[str], k: int, seed: int = 1) -> DataFrame:
     """(key, niche): k-means clusters of profiles."""
     vectors = _vectors(profile, key, columns)
@@ -156,26 +314,60 @@ def silhouettes(profile: DataFrame, key: str, columns: list[str], ks: list[int],
     return profile.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
 
-def gap_statistic(profile: DataFrame, key: str, columns: list[str], ks: list[int], references: int, seed: int = 1) -> DataFrame:
+def gap_statistic(vectors: DataFrame, key: str, ks: list[int], references: int, steps: int = 10, seed: int = 1) -> DataFrame:
     """(k, gap, se, chosen): log dispersion of k-means against uniform references over the same ranges.
 
-    References are drawn by Spark, as many rows as the profile has, within each column's range. Chosen is the smallest k whose gap
-    is at least the next one's less its standard error, or the last.
+    vectors: (key, v). A reference has as many rows as the data, drawn within each column's range by a hash of key, reference and column. All k of
+    all references are fitted together: a step is one pass in which a task adds up rows per reference, k and cluster, and only these sums, whose number
+    depends on the parameters alone, reach the driver. Chosen is the smallest k whose gap is at least the first local maximum's less its standard error.
     """
-    flat = profile.select(key, *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
-    ranges = flat.agg(*[F.struct(F.min(c), F.max(c)).alias(c) for c in columns]).first()
-    drawn = [
-        cut(flat.select(key, *[(F.rand(seed * 1000 + b * len(columns) + i) * (ranges[c][1] - ranges[c][0]) + ranges[c][0]).alias(c) for i, c in enumerate(columns)]))
-        for b in range(references)
-    ]
-    cost = lambda rows, k: float(np.log(max(1e-12, KMeans(k=k, seed=seed).fit(_vectors(rows, key, columns)).summary.trainingCost)))
-    found = []
-    for k in ks:
-        null = np.array([cost(rows, k) for rows in drawn])
-        found.append((k, float(null.mean() - cost(flat, k)), float(null.std() * np.sqrt(1 + 1 / max(1, references)))))
-    good = [i for i in range(len(found) - 1) if found[i][1] >= found[i + 1][1] - found[i + 1][2]]
-    best = good[0] if good else len(found) - 1
-    return profile.sparkSession.createDataFrame([(*row, i == best) for i, row in enumerate(found)], "k int, gap double, se double, chosen boolean")
+    size = vectors.select(F.size("v")).first()
+    if size is None:
+        return vectors.sparkSession.createDataFrame([], "k int, gap double, se double, chosen boolean")
+    d, most = size[0], max(ks)
+    ends = vectors.agg(F.array(*[F.min(F.col("v")[i]) for i in range(d)]), F.array(*[F.max(F.col("v")[i]) for i in range(d)])).first()
+    low, high = np.array(ends[0], float), np.array(ends[1], float)
+    span = (high - low) / 2.0**32
+    drawn = [(F.pmod(F.xxhash64(key, "b", F.lit(i), F.lit(seed)), F.lit(1 << 32)) * float(span[i]) + float(low[i])) for i in range(d)]
+    copies = vectors.select(key, "v", F.explode(F.sequence(F.lit(0), F.lit(references))).alias("b"))
+    rows = copies.select("b", F.when(F.col("b") == 0, F.col("v")).otherwise(F.array(*drawn)).alias("x"))
+    starts = vectors.select("v").distinct().orderBy(F.xxhash64("v", F.lit(seed))).limit(most).collect()  # as many rows as clusters
+    rng = np.random.default_rng(seed)
+    seeds = rng.uniform(low, high, (references + 1, most, d))
+    seeds[0, : len(starts)] = [r["v"] for r in starts]
+    parts = np.cumsum([0, *ks])
+    centers = np.concatenate([seeds[:, :k] for k in ks], axis=1)
+
+    def summed(batches: Iterator[pa.RecordBatch], now: np.ndarray) -> Iterator[pa.RecordBatch]:
+        n, s, cost = np.zeros(now.shape[:2]), np.zeros_like(now), np.zeros((len(now), len(ks)))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            which, x = batch.column(0).to_numpy(), batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            for b in np.unique(which):
+                y = x[which == b]
+                far = (y * y).sum(axis=1)[:, None] - 2 * y @ now[b].T + (now[b] * now[b]).sum(axis=1)
+                for j, (lo, hi) in enumerate(zip(parts, parts[1:], strict=False)):
+                    own = far[:, lo:hi].argmin(axis=1)
+                    cost[b, j] += np.maximum(far[np.arange(len(y)), lo + own], 0).sum()
+                    n[b, lo:hi] += np.bincount(own, minlength=hi - lo)
+                    np.add.at(s[b], lo + own, y)
+        yield pa.RecordBatch.from_arrays([pa.array([a.ravel().tolist()], pa.list_(pa.float64())) for a in (n, s, cost)], names=["n", "s", "cost"])
+
+    cost = None
+    for _ in range(steps + 1):
+        tasks = rows.mapInArrow(lambda batches, now=centers: summed(batches, now), "n array<double>, s array<double>, cost array<double>").collect()  # a row per task
+        n, s, cost = (np.sum([t[i] for t in tasks], axis=0).reshape(shape) for i, shape in enumerate((centers.shape[:2], centers.shape, (references + 1, len(ks)))))
+        fresh = np.where(n[:, :, None] > 0, s / np.maximum(n, 1)[:, :, None], centers)
+        if np.allclose(fresh, centers, rtol=0, atol=1e-9):
+            break
+        centers = fresh
+    log = np.log(np.maximum(cost, 1e-12))
+    gaps, errors = log[1:].mean(axis=0) - log[0], log[1:].std(axis=0) * np.sqrt(1 + 1 / max(1, references))
+    peak = next((i for i in range(len(ks) - 1) if gaps[i] >= gaps[i + 1]), len(ks) - 1)
+    best = next(i for i in range(peak + 1) if gaps[i] >= gaps[peak] - errors[peak])
+    found = [(k, float(gaps[i]), float(errors[i]), i == best) for i, k in enumerate(ks)]
+    return vectors.sparkSession.createDataFrame(found, "k int, gap double, se double, chosen boolean")
 
 
 def niche_means(profile: DataFrame, niches: DataFrame, key: str, columns: list[str]) -> DataFrame:

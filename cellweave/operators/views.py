@@ -46,9 +46,15 @@ def standardized(rows: DataFrame, by: str, value: str) -> DataFrame:
     return rows.withColumn("z", (F.col(value) - F.avg(value).over(w)) / F.when(sd > 0, sd))
 
 
-def log_counts(totals: DataFrame, cutoff: int) -> DataFrame:
-    """(cell_id, x, y, log_count, below): log10(n + 1) of each cell and whether n is below the cutoff."""
-    return totals.select("cell_id", "x", "y", F.log10(F.col("n_count") + 1).alias("log_count"), (F.col("n_count") < cutoff).alias("below"))
+def log_counts(totals: DataFrame, cutoff: int, sample: int = 100_000) -> DataFrame:
+    """(cell_id, x, y, log_count, below, drawn): log10(n + 1) of each cell, whether n is below the cutoff, and whether the cell is among those to be drawn.
+
+    About `sample` cells are, all of fewer: those whose hash lies in a share of its range, so nothing is sorted and reruns agree.
+    """
+    n = F.broadcast(totals.agg(F.count(F.lit(1)).alias("n_cells")))
+    place = F.conv(F.substring(F.md5("cell_id"), 1, 8), 16, 10).cast("bigint")
+    drawn = place < F.lit(float(1 << 32)) * sample / F.col("n_cells")
+    return totals.join(n).select("cell_id", "x", "y", F.log10(F.col("n_count") + 1).alias("log_count"), (F.col("n_count") < cutoff).alias("below"), drawn.alias("drawn"))
 
 
 def volcano(rows: DataFrame, p: str, alpha: float = 0.05) -> DataFrame:

@@ -9,9 +9,9 @@ from ..functions.levels import for_each_level
 from ..functions.scratch import saved
 from ..functions.tails import normal_upper_col, t_upper_col
 from ..functions.tails_sql import normal_quantile, normal_upper, t_upper
-from ..operators import expression, niches, patterns, qc, spatial, transcripts
+from ..operators import expression, niches, normalize, patterns, qc, spatial, transcripts
 from ..sources.tables import table
-from . import domain, imports
+from . import domain, imports, quality
 from .space import EDGES, RADIUS, cell_kinds
 
 RADII = [0.0, 20.0, 40.0, 60.0, 80.0, 100.0, 120.0]
@@ -97,20 +97,61 @@ def gcross_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pca(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of the neighbourhood profiles."""
     wide, kinds = _wide(spark, sf_dir)
     return niches.principal_components(wide, "cell_id", kinds, 5)[0]
 
 
+def _expression_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells as vectors of their variable genes' log-normalized counts, each gene over its standard deviation."""
+    counts = _rna(spark, sf_dir)
+    norm = normalize.log_normalized(normalize.normalized_counts(counts, quality.MIN_TOTAL), normalize.scale_factors(quality._totals(spark, sf_dir)))
+    n = domain.cells(spark, sf_dir).count()
+    wanted = quality.variable_features(spark, sf_dir).select("gene")
+    logged = saved(norm.join(wanted, "gene", "left_semi").select("cell_id", "gene", "logged"))
+    sd = qc.gene_moments(logged.withColumnRenamed("logged", "count"), logged.select("gene", F.lit("RNA").alias("assay")).distinct(), n).where("sd > 0")
+    scaled = logged.join(sd.select("gene", "sd"), "gene").select("cell_id", "gene", (F.col("logged") / F.col("sd")).alias("value"))
+    return niches.dense_vectors(scaled, domain.cells(spark, sf_dir).select("cell_id"), "cell_id", "gene", "value")
+
+
+def expression_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return niches.vector_components(_expression_vectors(spark, sf_dir), "cell_id", 10)[0]
+
+
+def _corrected(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Components of the expression before and after slides are brought together."""
+    scores = saved(niches.vector_components(_expression_vectors(spark, sf_dir), "cell_id", 10)[0].withColumnRenamed("pc", "v"))
+    return scores, niches.batch_corrected(scores, domain.cells(spark, sf_dir).select("cell_id", "slide"), "cell_id", "slide", 8)
+
+
+def batch_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _corrected(spark, sf_dir)[1].withColumnRenamed("v", "pc")
+
+
+def batch_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First two components of each cell with its slide, before and after the correction, in an order that hides no slide."""
+    before, after = _corrected(spark, sf_dir)
+    slides = domain.cells(spark, sf_dir).select("cell_id", "slide")
+    rows = before.withColumn("stage", F.lit("before")).unionByName(after.select("cell_id", "v").withColumn("stage", F.lit("after")))
+    return rows.join(slides, "cell_id", "left").select("cell_id", "slide", "stage", F.col("v")[0].alias("pc1"), F.col("v")[1].alias("pc2"), F.xxhash64("cell_id").alias("draw_order"))
+
+
 def kmeans_niches(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide, kinds = _wide(spark, sf_dir)
     return niches.kmeans_niches(wide, "cell_id", kinds, 6)
 
 
+def neighborhood_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """25 components of the mean expression of a cell's neighbours."""
+    means = spatial.neighborhood_expression(_edges(spark, sf_dir), _rna(spark, sf_dir)).select(F.col("src").alias("cell_id"), "gene", F.col("mean").alias("value"))
+    vectors = niches.dense_vectors(means, domain.points(spark, sf_dir).select("cell_id"), "cell_id", "gene", "value")
+    return niches.vector_components(vectors, "cell_id", 25)[0]
+
+
 def gmm_niches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide, kinds = _wide(spark, sf_dir)
-    scores, _ = niches.principal_components(wide, "cell_id", kinds, 3)
-    flat = scores.select("cell_id", *[F.col("pc")[i].alias(f"pc{i}") for i in range(3)])
-    return niches.mixture_niches(flat, "cell_id", ["pc0", "pc1", "pc2"], 4)
+    """Ten groups of the neighbourhood expression: a Gaussian mixture with one diagonal covariance."""
+    scores = neighborhood_pca(spark, sf_dir).withColumnRenamed("pc", "v")
+    return niches.diagonal_mixture(scores, "cell_id", 10)
 
 
 def niche_silhouettes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,29 +169,32 @@ def niche_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_each_level(sizes, kinds).join(sums, ["niche", "cell_type"], "left").select("niche", "cell_type", F.round(F.coalesce("s", F.lit(0)) / F.col("n_cells"), 7).alias("mean"))
 
 
-def _fov_niches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
+def _fov_niches(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide, kinds = _wide(spark, sf_dir)
-    fovs = domain.points(spark, sf_dir).select("cell_id", "fov")
-    found = niches.kmeans_niches(wide, "cell_id", kinds, 6).join(fovs, "cell_id")
-    return found.select("cell_id", F.concat_ws(".", "fov", F.col("niche").cast("string")).alias("niche")), wide, kinds
+    vectors = wide.select("cell_id", F.array(*[F.col(f"`{k}`").cast("double") for k in kinds]).alias("v"))
+    grouped = vectors.join(domain.points(spark, sf_dir).select("cell_id", "fov"), "cell_id")
+    found = niches.grouped_kmeans(grouped, "fov", "cell_id", 6)
+    return saved(found.select("cell_id", F.concat_ws(".", "fov", F.col("cluster").cast("string")).alias("niche"), "v"))
 
 
 def fov_niches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each cell's niche within its FOV: one k-means over all profiles, its clusters named by FOV."""
-    return _fov_niches(spark, sf_dir)[0]
+    """Each cell's niche: clusters of neighbourhood profiles, found in each FOV on its own and named by it."""
+    return _fov_niches(spark, sf_dir).select("cell_id", "niche")
 
 
 def super_niches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Niches of the FOVs grouped by their mean profiles."""
-    found, wide, kinds = _fov_niches(spark, sf_dir)
-    means = niches.niche_means(wide, found, "cell_id", kinds)
-    return niches.kmeans_niches(means.withColumnRenamed("niche", "niche_id"), "niche_id", kinds, 3).withColumnRenamed("niche", "super_niche")
+    """Cells with their niche and the group of niches with a like mean profile."""
+    found = _fov_niches(spark, sf_dir)
+    size = len(found.first()["v"]) if not found.isEmpty() else 0
+    means = saved(found.groupBy("niche").agg(F.array(*[F.avg(F.col("v")[i]) for i in range(size)]).alias("v")))
+    return found.select("cell_id", "niche").join(niches.vector_kmeans(means, "niche", 3).withColumnRenamed("cluster", "super_niche"), "niche", "left")
 
 
 def niche_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gap statistic of the neighbourhood profiles."""
+    """Gap statistic of the neighbourhood profiles: 1 to 15 groups against 50 references."""
     wide, kinds = _wide(spark, sf_dir)
-    return niches.gap_statistic(wide, "cell_id", kinds, [2, 3, 4], 3)
+    vectors = saved(wide.select("cell_id", F.array(*[F.col(f"`{k}`").cast("double") for k in kinds]).alias("v")))
+    return niches.gap_statistic(vectors, "cell_id", list(range(1, 16)), 50)
 
 
 def xy_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,10 +246,53 @@ def mean_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expression.mean_profiles(_rna(spark, sf_dir), domain.cells(spark, sf_dir), "cell_type").select("cell_type", "gene", F.round("mean", 8).alias("mean"))
 
 
-def typing_loglik_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+def mean_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = expression.mean_negatives(domain.counts(spark, sf_dir), domain.cells(spark, sf_dir), domain.genes(spark, sf_dir))
+    return found.select("cell_id", F.round("mean_negative", 9).alias("mean_negative"))
+
+
+def _background(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = domain.counts(spark, sf_dir)
+    negatives = expression.mean_negatives(counts, domain.cells(spark, sf_dir), domain.genes(spark, sf_dir))
+    return expression.cell_background(counts.where("assay = 'RNA'"), negatives)
+
+
+def cell_background(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _background(spark, sf_dir).select("cell_id", F.round("background", 9).alias("background"))
+
+
+def _type_scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Scores of cells and types, with the counts and profiles they come from."""
     counts = saved(_rna(spark, sf_dir))
-    profiles = expression.mean_profiles(counts, domain.cells(spark, sf_dir), "cell_type")
-    return expression.likeliest_types(counts, profiles, "cell_type", 0.01).select("cell_id", "cell_type")
+    profiles = saved(expression.mean_profiles(counts, domain.cells(spark, sf_dir), "cell_type"))
+    return expression.type_scores(counts, profiles, "cell_type", _background(spark, sf_dir)), counts, profiles
+
+
+def typing_loglik_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return expression.likeliest_types(_type_scores(spark, sf_dir)[0], "cell_type").select("cell_id", "cell_type")
+
+
+def typing_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = expression.anchors(_type_scores(spark, sf_dir)[0], "cell_type")
+    return found.select("cell_id", "cell_type", F.round("cosine", 5).alias("cosine"), F.round("llr", 5).alias("llr"))
+
+
+def typing_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types of the cells that are no anchors, by the profiles of the anchors; anchors keep theirs."""
+    scores, counts, profiles = _type_scores(spark, sf_dir)
+    chosen = saved(expression.anchors(scores, "cell_type"))
+    updated = saved(expression.updated_profiles(counts, chosen, profiles, "cell_type"))
+    again = expression.likeliest_types(expression.type_scores(counts, updated, "cell_type", _background(spark, sf_dir)), "cell_type")
+    kept = chosen.select("cell_id", F.col("cell_type").alias("anchor"))
+    return again.join(kept, "cell_id", "left").select("cell_id", F.coalesce("anchor", "cell_type").alias("cell_type"), F.col("anchor").isNotNull().alias("is_anchor"))
+
+
+def cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells grouped by their stains, as normal scores over all cells."""
+    held = domain.cells(spark, sf_dir).where("mean_panck IS NOT NULL AND mean_cd45 IS NOT NULL").select("cell_id", "mean_panck", "mean_cd45", F.lit(1).alias("all"))
+    scored = niches.rank_normal(held, "all", "mean_panck").withColumnRenamed("rank_norm", "panck")
+    scored = niches.rank_normal(scored, "all", "mean_cd45").withColumnRenamed("rank_norm", "cd45")
+    return niches.mixture_niches(saved(scored.select("cell_id", "panck", "cd45")), "cell_id", ["panck", "cd45"], 3).select("cell_id", F.col("niche").alias("cohort"))
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -388,8 +475,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         cooccurrence, cooccurrence_permutation, cooccurrence_significant, node_abundance, gcross_rs, kcross_border, cross_curve_auc, sign_flip_test,
-        gcross_envelope, pca, kmeans_niches, gmm_niches, niche_silhouettes, niche_gap, niche_profiles, fov_niches, super_niches, xy_clusters, snn_jaccard, snn_clusters,
-        embedding_neighbors, rank_normal, wilcoxon_u, marker_log2fc, top_markers, mean_profiles, typing_loglik_argmax, cell_type_rules, rule_conflicts,
+        gcross_envelope, pca, expression_pca, batch_corrected, batch_scatter, kmeans_niches, neighborhood_pca, gmm_niches, niche_silhouettes, niche_gap, niche_profiles, fov_niches, super_niches, xy_clusters, snn_jaccard, snn_clusters,
+        embedding_neighbors, rank_normal, wilcoxon_u, marker_log2fc, top_markers, mean_profiles, mean_negatives, cell_background, typing_loglik_argmax, typing_anchors, typing_updated, cohorts, cell_type_rules, rule_conflicts,
         final_labels, neighbor_expression, neighbor_expression_by_type, de_covariates, contamination_ratio, quasi_poisson_de, de_tested, two_stage_top_genes, de_second_stage,
         gsea_running_sum, gsea_curve, gsea_permutation, pathway_score_percentile, pathway_subset, pathway_bars, tf_target_lists, aucell, pathway_activity, lr_tf_chain, lr_fov_cross_expand, fov_type_percent,
     )
@@ -506,6 +593,23 @@ _FC = domain.SQL + """, known AS (SELECT cell_id, cell_type FROM cells WHERE cel
     ), fc AS (SELECT gene, s.cell_type, round(log2(s1 / n1 + 1) - log2((sum(s1) OVER (PARTITION BY gene) - s1) / (n - n1) + 1), 8) AS log2fc
         FROM s JOIN (SELECT cell_type, count(*) AS n1, sum(count(*)) OVER () AS n FROM known GROUP BY 1) z ON s.cell_type = z.cell_type)
 """
+_BACKGROUND = domain.SQL + """, negmean AS (SELECT c.cell_id, coalesce(s, 0) / n::DOUBLE AS mean_negative FROM cells c LEFT JOIN (SELECT cell_id, sum(count) AS s FROM counts WHERE assay = 'negative' AND NOT contains(gene, 'NegAdd') GROUP BY 1) x ON c.cell_id = x.cell_id,
+        (SELECT count(*) AS n FROM genes WHERE assay = 'negative' AND NOT contains(gene, 'NegAdd'))
+    ), rna AS (SELECT * FROM counts WHERE assay = 'RNA'), size AS (SELECT cell_id, sum(count) AS size FROM rna GROUP BY 1
+    ), tot AS (SELECT n.cell_id, mean_negative, coalesce(size, 0) AS size FROM negmean n LEFT JOIN size s ON n.cell_id = s.cell_id
+    ), bg AS (SELECT cell_id, size * b / t AS background FROM tot, (SELECT avg(mean_negative) AS b, avg(size) AS t FROM tot))
+"""
+_TYPING = _BACKGROUND + """, means AS (SELECT s.cell_type, gene, s / n::DOUBLE AS mean FROM (SELECT cell_type, gene, sum(count) AS s FROM rna c JOIN cells k ON c.cell_id = k.cell_id WHERE cell_type IS NOT NULL GROUP BY 1, 2) s
+        JOIN (SELECT cell_type, count(*) AS n FROM cells GROUP BY 1) z ON s.cell_type = z.cell_type
+    ), prof AS (SELECT cell_type, gene, mean / sum(mean) OVER (PARTITION BY cell_type) AS p, mean / sqrt(sum(mean * mean) OVER (PARTITION BY cell_type)) AS u FROM means
+    ), scores AS (SELECT r.cell_id, t.cell_type, any_value(size) AS size, round(sum(count * ln(size * coalesce(p, 0) + greatest(background, 1e-6::DOUBLE))), 6) AS score, sum(count * coalesce(u, 0)) / sqrt(sum(count * count)) AS cosine
+        FROM rna r JOIN size s ON r.cell_id = s.cell_id JOIN bg ON r.cell_id = bg.cell_id CROSS JOIN (SELECT DISTINCT cell_type FROM prof) t LEFT JOIN prof f ON f.cell_type = t.cell_type AND f.gene = r.gene GROUP BY 1, 2
+    ), placed AS (SELECT *, row_number() OVER (PARTITION BY cell_id ORDER BY score DESC, cell_type) AS k, lead(score) OVER (PARTITION BY cell_id ORDER BY score DESC, cell_type) AS second FROM scores)
+"""
+_ANCHORS = _TYPING + """, good AS (SELECT cell_id, cell_type, cosine, round((score - second) / size, 9) AS llr FROM placed WHERE k = 1 AND cosine >= 0.3 AND round((score - second) / size, 9) >= 0.01
+    ), best AS (SELECT *, row_number() OVER (PARTITION BY cell_type ORDER BY llr DESC, cell_id) AS place FROM good
+    ), anchors AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY cell_type) AS m FROM best WHERE place <= 500) WHERE m >= 20)
+"""
 _GROUP = "fixed_effect, direction, cell_type"
 SQL = {
     "cooccurrence": _PROFILE + "SELECT a.cell_type AS type_from, b.cell_type AS type_to, round(sum(a.v * b.v), 7) AS weight FROM share a JOIN share b ON a.cell_id = b.cell_id GROUP BY 1, 2",
@@ -548,12 +652,17 @@ SQL = {
     "mean_profiles": domain.SQL
     + """SELECT s.cell_type, gene, round(s / n::DOUBLE, 8) AS mean FROM (SELECT cell_type, gene, sum(count) AS s FROM counts c JOIN cells k ON c.cell_id = k.cell_id WHERE assay = 'RNA' AND cell_type IS NOT NULL GROUP BY 1, 2) s
         JOIN (SELECT cell_type, count(*) AS n FROM cells GROUP BY 1) z ON s.cell_type = z.cell_type""",
-    "typing_loglik_argmax": domain.SQL
-    + f""", rna AS (SELECT * FROM counts WHERE assay = 'RNA'), prof AS (SELECT cell_type, gene, sum(count)::DOUBLE / sum(sum(count)) OVER (PARTITION BY cell_type) AS p FROM rna c JOIN cells k ON c.cell_id = k.cell_id WHERE cell_type IS NOT NULL GROUP BY 1, 2
-        ), size AS (SELECT cell_id, sum(count) AS size FROM rna GROUP BY 1
-        ), scores AS (SELECT r.cell_id, t.cell_type, round(sum(count * ln(size * coalesce(p, 0) + 0.01::DOUBLE)), 6) AS score FROM rna r JOIN size s ON r.cell_id = s.cell_id CROSS JOIN (SELECT DISTINCT cell_type FROM prof) t
-            LEFT JOIN prof f ON f.cell_type = t.cell_type AND f.gene = r.gene GROUP BY 1, 2)
-        SELECT cell_id, cell_type FROM (SELECT *, row_number() OVER (PARTITION BY cell_id ORDER BY score DESC, cell_type) AS k FROM scores) WHERE k = 1""",
+    "mean_negatives": _BACKGROUND + "SELECT cell_id, round(mean_negative, 9) AS mean_negative FROM negmean",
+    "cell_background": _BACKGROUND + "SELECT cell_id, round(background, 9) AS background FROM bg",
+    "typing_loglik_argmax": _TYPING + "SELECT cell_id, cell_type FROM placed WHERE k = 1",
+    "typing_anchors": _ANCHORS + "SELECT cell_id, cell_type, round(cosine, 5) AS cosine, round(llr, 5) AS llr FROM anchors",
+    "typing_updated": _ANCHORS
+    + """, fresh AS (SELECT s.cell_type, gene, s / n::DOUBLE AS mean FROM (SELECT cell_type, gene, sum(count) AS s FROM rna c JOIN anchors k ON c.cell_id = k.cell_id GROUP BY 1, 2) s JOIN (SELECT cell_type, count(*) AS n FROM anchors GROUP BY 1) z ON s.cell_type = z.cell_type
+            UNION ALL SELECT cell_type, gene, mean FROM means WHERE cell_type NOT IN (SELECT cell_type FROM anchors)
+        ), fprof AS (SELECT cell_type, gene, mean / sum(mean) OVER (PARTITION BY cell_type) AS p FROM fresh
+        ), again AS (SELECT *, row_number() OVER (PARTITION BY cell_id ORDER BY score DESC, cell_type) AS k FROM (SELECT r.cell_id, t.cell_type, round(sum(count * ln(size * coalesce(p, 0) + greatest(background, 1e-6::DOUBLE))), 6) AS score
+            FROM rna r JOIN size s ON r.cell_id = s.cell_id JOIN bg ON r.cell_id = bg.cell_id CROSS JOIN (SELECT DISTINCT cell_type FROM fprof) t LEFT JOIN fprof f ON f.cell_type = t.cell_type AND f.gene = r.gene GROUP BY 1, 2))
+        SELECT g.cell_id, coalesce(a.cell_type, g.cell_type) AS cell_type, a.cell_type IS NOT NULL AS is_anchor FROM again g LEFT JOIN anchors a ON g.cell_id = a.cell_id WHERE k = 1""",
     "cell_type_rules": _LABELLED + "SELECT cell_id, broad_type, final_type, n_rules FROM typed",
     "rule_conflicts": _LABELLED + "SELECT n_rules, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 2)::DOUBLE AS percent FROM typed GROUP BY 1",
     "final_labels": _LABELLED

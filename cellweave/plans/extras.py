@@ -12,6 +12,8 @@ from .space import EDGES, RADIUS
 
 SIGMA = 30.0
 CUTOFF = 5
+#: Cells to be drawn: few, so that the small tables have some that are not.
+DRAWN = 1000
 
 
 def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,8 +44,8 @@ def niche_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def counts_in_space(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.log_counts(quality._totals(spark, sf_dir), CUTOFF)
-    return rows.select("cell_id", "x", "y", F.round("log_count", 9).alias("log_count"), "below")
+    rows = views.log_counts(quality._totals(spark, sf_dir), CUTOFF, DRAWN)
+    return rows.select("cell_id", "x", "y", F.round("log_count", 9).alias("log_count"), "below", "drawn")
 
 
 def pca_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +176,7 @@ SQL = {
     "niche_heatmap": domain.SQL
     + """SELECT niche, cell_type, n, round((n - avg(n) OVER w) / CASE WHEN stddev_samp(n) OVER w > 0 THEN stddev_samp(n) OVER w END, 7) + 0.0::DOUBLE AS z
         FROM (SELECT niche, cell_type, count(*)::DOUBLE AS n FROM cells WHERE niche IS NOT NULL AND cell_type IS NOT NULL GROUP BY 1, 2) WINDOW w AS (PARTITION BY cell_type)""",
-    "counts_in_space": quality._TOTALS + f"SELECT cell_id, x, y, round(log10(n_count + 1), 9) AS log_count, n_count < {CUTOFF} AS below FROM totals",
+    "counts_in_space": quality._TOTALS + f"SELECT cell_id, x, y, round(log10(n_count + 1), 9) AS log_count, n_count < {CUTOFF} AS below, ('0x' || md5(cell_id)[1:8])::BIGINT < 4294967296.0::DOUBLE * {DRAWN} / (SELECT count(*) FROM totals) AS drawn FROM totals",
     "auc_group_summary": biology._CURVES + "SELECT type_i, type_j, round(avg(auc), 6) AS mean, round(stddev_samp(auc), 6) AS sd FROM auc GROUP BY 1, 2",
     "kernel_intensity": EDGES + f"SELECT cell_id, round(intensity, 10) AS intensity FROM {_INTENSITY}",
     "inhomogeneity": EDGES

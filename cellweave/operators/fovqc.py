@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from ..functions.scratch import saved
 from ..functions.tails import t_upper_col
 
 #: Colours of a barcode position, in the order of the bits.
@@ -74,39 +75,49 @@ def comparators(bits: DataFrame, nearest: int = NEAREST, per_square: int = PER_S
     """(square, other, place): the most similar squares of other FOVs of the slide, one per FOV, in order.
 
     Only the `nearest` squares of a square are looked at, its own FOV's included. The squares of a slide are
-    compared in blocks: each pair of blocks is one row of work, of which at most `nearest` rows a square come out.
+    compared in blocks of about `BLOCK`: all pairs of a block come to one task one after the other, which keeps the `nearest` best of each of its squares, so
+    no more than these leave it, however many blocks a slide has.
     """
-    block = F.pmod(F.xxhash64("square"), F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)).over(Window.partitionBy("slide")) / BLOCK)).cast("int"))
-    blocks = (
+    size = bits.groupBy("slide").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / BLOCK)).cast("int").alias("blocks"))
+    blocks = saved(
         bits.select("slide", "fov", "square", "bits")
-        .withColumn("block", block)
+        .join(size, "slide")
+        .withColumn("block", F.pmod(F.xxhash64("square"), F.col("blocks")))
         .groupBy("slide", "block")
         .agg(F.collect_list("square").alias("s"), F.collect_list("fov").alias("f"), F.collect_list("bits").alias("b"))
     )
-    a = blocks.select("slide", *[F.col(c).alias(f"{c}1") for c in "sfb"])
+    a = blocks.select("slide", F.col("block").alias("block1"), *[F.col(c).alias(f"{c}1") for c in "sfb"])
     b = blocks.select("slide", *[F.col(c).alias(f"{c}2") for c in "sfb"])
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, best = None, []  # the block at hand, and its squares' best so far: names, FOVs, distances
+
+        def done() -> Iterator[pd.DataFrame]:
+            for square, fov, (names, fovs, d) in zip(own[1], own[2], best, strict=True):
+                yield pd.DataFrame({"square": square, "fov": fov, "other": names, "other_fov": fovs, "d2": d})
+
         for batch in batches:
             for r in batch.itertuples(index=False):
-                x, y = np.array([list(v) for v in r.b1]), np.array([list(v) for v in r.b2])
-                names, fovs = np.array(r.s2, dtype=object), np.array(r.f2, dtype=object)
-                rows = []
-                for i in range(len(x)):
-                    d = np.round(((x[i] - y) ** 2).sum(axis=1), 6)
-                    order = np.lexsort((names.astype(str), d))[:nearest]
-                    rows.append(pd.DataFrame({"square": r.s1[i], "fov": r.f1[i], "other": names[order], "other_fov": fovs[order], "d2": d[order]}))
-                yield pd.concat(rows)
-
-    near = a.join(b, "slide").repartition("slide", F.xxhash64(F.col("s1")[0], F.col("s2")[0])).select("s1", "f1", "b1", "s2", "f2", "b2").mapInPandas(
-        compare, "square string, fov string, other string, other_fov string, d2 double"
-    )
+                if own is None or own[0] != (r.slide, r.block1):
+                    if own is not None:
+                        yield from done()
+                    own = ((r.slide, r.block1), r.s1, r.f1, np.array([list(v) for v in r.b1]))
+                    best = [(np.empty(0, object), np.empty(0, object), np.empty(0))] * len(r.s1)
+                y, names, fovs = np.array([list(v) for v in r.b2]), np.array(r.s2, dtype=object), np.array(r.f2, dtype=object)
+                for i, x in enumerate(own[3]):
+                    d = np.concatenate([best[i][2], np.round(((x - y) ** 2).sum(axis=1), 6)])
+                    both, owners = np.concatenate([best[i][0], names]), np.concatenate([best[i][1], fovs])
+                    order = np.lexsort((both.astype(str), d))[:nearest]
+                    best[i] = (both[order], owners[order], d[order])
+        if own is not None:
+            yield from done()
+
+    pairs = a.join(b, "slide").repartition("slide", "block1").sortWithinPartitions("slide", "block1")
+    near = pairs.select("slide", "block1", "s1", "f1", "b1", "s2", "f2", "b2").mapInPandas(compare, "square string, fov string, other string, other_fov string, d2 double")
     all_near = Window.partitionBy("square").orderBy("d2", "other")
     of_fov = Window.partitionBy("square", "other_fov").orderBy("d2", "other")
     return (
-        near.withColumn("r", F.row_number().over(all_near))
-        .where(F.col("r") <= nearest)
-        .where(F.col("other_fov") != F.col("fov"))
+        near.where(F.col("other_fov") != F.col("fov"))
         .withColumn("first", F.row_number().over(of_fov))
         .where(F.col("first") == 1)
         .withColumn("place", F.row_number().over(all_near))

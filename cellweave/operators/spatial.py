@@ -65,7 +65,7 @@ def knn_edges(points: DataFrame, subset: str, key: str, k: int, max_rounds: int
 
     Each subset gets a grid in which a cell holds about k points, finer where its fullest cell holds many more. A round
     compares the open points with the nine cells around them; a point is settled when k neighbours lie within one cell
-    width, for nothing outside the nine cells can be nearer, or when the cells cover the subset. The rest go on with cells four
+    width, for nothing outside the nine cells can be nearer, or when the cells cover the subset. The rest go on with cells eight
     times as wide. Only points in sparse places need further rounds, so no round compares all pairs of a subset. Of points at one place only
     the first k + 1 by key can be among anyone's k nearest and are compared.
     """
@@ -85,7 +85,7 @@ def knn_edges(points: DataFrame, subset: str, key: str, k: int, max_rounds: int
     located = saved(placed.join(fullest, "sub").withColumn("side", F.col("even") / finer).drop("m", "even"))
     opened, settled = located, None
     for level in range(max_rounds):
-        side = F.col("side") * float(4**level)
+        side = F.col("side") * float(8**level)
         at = lambda c, s=side: F.floor((F.col(c) - F.col(c + "0")) / s).cast("bigint")
         around = F.array(*[F.struct((F.col("bx") + i).alias("bx"), (F.col("by") + j).alias("by")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
         a = (
@@ -104,12 +104,13 @@ def knn_edges(points: DataFrame, subset: str, key: str, k: int, max_rounds: int
             .withColumn("rank", F.row_number().over(nearest))
             .where(F.col("rank") <= k)
         )
-        sure = F.col("whole") | (F.max("rank").over(Window.partitionBy("sub", "src")) == k)
-        found = saved(ranked.withColumn("done", sure).where("done").select("sub", "src", "dst", "d2", "rank"))
+        # one row per open point: its neighbours so far, and whether they are final
+        listed = ranked.groupBy("sub", F.col("src").alias("k")).agg(F.collect_list(F.struct("rank", "dst", "d2")).alias("near"))
+        sure = (side >= F.col("extent")) | (F.coalesce(F.size("near"), F.lit(0)) == k)
+        tried = saved(opened.join(listed, ["sub", "k"], "left").withColumn("done", F.coalesce(sure, F.lit(False))))
+        found = tried.where("done").select("sub", F.col("k").alias("src"), F.inline("near"))
         settled = found if settled is None else settled.unionByName(found)
-        opened = saved(
-            opened.where(side < F.col("extent")).join(found.select("sub", F.col("src").alias("k")).distinct(), ["sub", "k"], "left_anti").select(*located.columns)
-        )
+        opened = tried.where("NOT done").select(*located.columns)
         if opened.isEmpty():
             break
     else:

@@ -287,7 +287,104 @@ def test_inhomogeneous_k_of_an_even_intensity(spark):
 
 
 def test_gap_statistic_finds_three_groups(spark):
-    rnd = random.Random(2)
-    made = [(f"c{i}", rnd.gauss(40 * (i % 3), 1), rnd.gauss(30 * (i % 3 == 1), 1)) for i in range(150)]
-    found = niches.gap_statistic(spark.createDataFrame(made, "cell_id string, p double, q double"), "cell_id", ["p", "q"], [2, 3, 4], 2)
-    assert rows(found.where("chosen"), "k") == {(3,)}
+    rnd = random.Random(6)
+    made = [(f"c{i}", [rnd.gauss(m, 0.3), rnd.gauss(-m, 0.3)]) for i, m in enumerate([0, 10, 20] * 25)]
+    found = niches.gap_statistic(spark.createDataFrame(made, "cell_id string, v array<double>"), "cell_id", [1, 2, 3, 4, 5], 8)
+    assert [r.k for r in found.where("chosen").collect()] == [3] and found.count() == 5
+    assert niches.gap_statistic(spark.createDataFrame([], "cell_id string, v array<double>"), "cell_id", [1, 2], 3).count() == 0
+
+
+def test_clusters_within_groups(spark):
+    rnd = random.Random(7)
+    made = [(g, f"{g}{i}", [m + rnd.gauss(0, 0.1), 5.0]) for g, shift in (("p", 0), ("q", 100)) for i, m in enumerate([shift, shift + 9] * 20)] + [("tiny", "t", [1.0, 1.0])]
+    found = niches.grouped_kmeans(spark.createDataFrame(made, "fov string, cell_id string, v array<double>"), "fov", "cell_id", 2).collect()
+    of = {r.cell_id: (r.fov, r.cluster) for r in found}
+    assert len(of) == 81
+    for g in "pq":  # each group has both of its own clusters, whatever lies in the other
+        parts = [{of[f"{g}{i}"] for i in range(k, 40, 2)} for k in (0, 1)]
+        assert len(parts[0]) == len(parts[1]) == 1 and parts[0] != parts[1]
+
+
+def test_mixture_with_one_diagonal(spark):
+    rnd = random.Random(8)
+    made = [(i, [rnd.gauss(m, 1.0), rnd.gauss(0, 30.0)]) for i, m in enumerate([0, 12] * 150)]  # the second column is wide and says nothing
+    found = {r.id: r for r in niches.diagonal_mixture(spark.createDataFrame(made, "id long, v array<double>").repartition(3), "id", 2).collect()}
+    sides = [{found[i].niche for i in range(k, 300, 2) if abs(made[i][1][0] - 12 * k) < 3} for k in (0, 1)]
+    assert len(found) == 300 and all(0.5 <= r.certainty <= 1 for r in found.values())
+    if len(sides[0]) == len(sides[1]) == 1:
+        assert sides[0] != sides[1]
+    else:  # k-means starts along the wide column; then the shares still follow it
+        assert {r.niche for r in found.values()} == {0, 1}
+
+
+def test_dense_vectors(spark):
+    entries = spark.createDataFrame([("a", "x", 1.0), ("a", "z", 3.0), ("b", "y", 2.0)], "k string, name string, value double")
+    keys = spark.createDataFrame([("a",), ("b",), ("none",)], "k string")
+    assert {r.k: r.v for r in niches.dense_vectors(entries, keys, "k", "name", "value").collect()} == {"a": [1.0, 0.0, 3.0], "b": [0.0, 2.0, 0.0], "none": [0.0, 0.0, 0.0]}
+
+
+def test_batches_are_brought_together(spark):
+    rnd = random.Random(9)
+    made = [(i, [m + rnd.gauss(0, 0.3) + (4.0 if i % 2 else 0.0), 20 - m + rnd.gauss(0, 0.3)]) for i, m in enumerate([0, 0, 15, 15] * 60)] + [(999, [1.0, 1.0])]
+    scores = spark.createDataFrame(made, "id long, v array<double>")
+    batches = spark.createDataFrame([(i, "b" if i % 2 else "a") for i in range(240)], "id long, batch string")
+    after = {r.id: r.v for r in niches.batch_corrected(scores, batches, "id", "batch", 2).collect()}
+    gap = lambda of, m: abs(sum(of[i][0] * (1 if i % 2 else -1) for i in range(240) if (i // 2) % 2 == m)) / 60
+    before = dict(made)
+    assert len(after) == 241 and after[999] == [1.0, 1.0]
+    assert all(gap(after, m) < gap(before, m) / 2 for m in (0, 1))
+    spread = lambda of: abs(sum(of[i][1] * (1 if (i // 2) % 2 else -1) for i in range(240))) / 120
+    assert spread(after) > 0.9 * spread(before)  # what sets clusters apart stays
+
+
+def test_pair_table_scores(spark):
+    data = [("f", "a", 0.0, 0.0, "A", 1.0), ("f", "b", 1.0, 0.0, "B", 1.0), ("f", "c", 0.0, 1.0, "A", 1.0), ("f", "d", 50.0, 50.0, "B", 1.0), ("f", "e", 0.0, 2.0, None, 1.0)]
+    df = cells(spark, data)
+    edges = spatial.radius_edges(df, "fov", "cell_id", 2.0)
+    counts = spark.createDataFrame([("a", "L", 3), ("b", "R1", 2), ("b", "R2", 5), ("c", "L", 1), ("c", "R1", 4)], "cell_id string, gene string, count long")
+    pairs = spark.createDataFrame([("L", "R1+R2", "A", "B", 9.0), ("L", "R1", "A", "A", 9.0), ("L", "R1", "A", "B", 1.0), ("L", "none", "A", "B", 9.0)], "ligand string, receptor string, ligand_cell string, receptor_cell string, r double")
+    found = spatial.lr_table_scores(edges, df, counts, pairs, "fov", "cell_id", "cell_type")
+    assert rows(found, "ligand", "receptor", "ligand_cell", "receptor_cell", "lr_score", "overall", "overall_normalized") == {
+        ("L", "R1+R2", "a", "b", 6, 4.0, 0.8), ("L", "R1+R2", "c", "b", 2, 4.0, 0.8), ("L", "R1", "a", "c", 12, 12.0, 2.4), ("L", "R1", "a", "b", 6, 6.0, 1.2),
+        ("L", "none", "a", "b", 0, 0.0, 0.0), ("L", "none", "c", "b", 0, 0.0, 0.0),
+    }
+    assert spatial.lr_table_scores(edges, df, counts, pairs.limit(0), "fov", "cell_id", "cell_type").count() == 0
+
+
+def test_summary_by_type_of_column(spark):
+    df = cells(spark, SQUARE)
+    found = spatial.neighborhood_summary(spatial.radius_edges(df, "fov", "cell_id", 1.0), df, "cell_id", ["v", "cell_type"])
+    assert ("a", "v", None, 6.0) in rows(found) and ("a", "cell_type", "B", 2.0) in rows(found) and found.count() == 8
+    with pytest.warns(UserWarning, match="more than 1 levels"):
+        spatial.neighborhood_summary(spatial.radius_edges(df, "fov", "cell_id", 1.0), df, "cell_id", ["cell_type"], most=1)
+
+
+def test_anchors_and_updated_profiles(spark):
+    counts = [(f"{k}{i}", g, n) for k, own in (("A", "ga"), ("B", "gb")) for i in range(25) for g, n in ((own, 9), ("both", 1))] + [("m", "both", 4)]
+    c = spark.createDataFrame(counts, "cell_id string, gene string, count long")
+    profiles = spark.createDataFrame([("A", "ga", 5.0), ("A", "both", 1.0), ("B", "gb", 5.0), ("B", "both", 1.0)], "cell_type string, gene string, mean double")
+    background = c.select("cell_id", F.lit(0.01).alias("background")).distinct()
+    scores = expression.type_scores(c, profiles, "cell_type", background)
+    typed = dict(rows(expression.likeliest_types(scores, "cell_type"), "cell_id", "cell_type"))
+    assert typed == {**{f"{k}{i}": k for k in "AB" for i in range(25)}, "m": "A"}  # equal scores go by name
+    found = expression.anchors(scores, "cell_type", n=22)
+    assert found.groupBy("cell_type").count().collect() and {r["count"] for r in found.groupBy("cell_type").count().collect()} == {22}
+    assert expression.anchors(scores, "cell_type", at_least=26).count() == 0
+    updated = expression.updated_profiles(c, found.where("cell_type = 'A'"), profiles, "cell_type")
+    assert rows(updated, "cell_type", "gene", "mean") == {("A", "ga", 9.0), ("A", "both", 1.0), ("B", "gb", 5.0), ("B", "both", 1.0)}
+
+
+def test_ratios_within_places(spark):
+    data = [(f"{p}{lv}{i}", "T", lv, p) for p in "xy" for lv in "ab" for i in range(5)] + [("alone", "T", "a", "z")]
+    c = spark.createDataFrame(data, "cell_id string, cell_type string, timepoint string, fov string")
+    rate = {("x", "a"): 2, ("x", "b"): 4, ("y", "a"): 20, ("y", "b"): 40}  # twice as many in b at each place, ten times as many at y
+    counts = [(cid, "g", rate.get((p, lv), 1)) for cid, _, lv, p in data] + [(cid, "rest", 100) for cid, *_ in data]
+    k = spark.createDataFrame(counts, "cell_id string, gene string, count long")
+    genes = spark.createDataFrame([("T", "g", "a", "b"), ("T", "absent", "a", "b")], "cell_type string, gene string, level_a string, level_b string")
+    r = expression.stratified_ratios(k, c, genes, "cell_type", "timepoint", "fov").collect()
+    assert len(r) == 1 and r[0].n_strata == 2
+    e = {("x", "a"): 510, ("x", "b"): 520, ("y", "a"): 600, ("y", "b"): 700}
+    top = sum(5 * rate[p, "b"] * e[p, "a"] / (e[p, "a"] + e[p, "b"]) for p in "xy")
+    bottom = sum(5 * rate[p, "a"] * e[p, "b"] / (e[p, "a"] + e[p, "b"]) for p in "xy")
+    assert r[0].estimate == pytest.approx(math.log(top / bottom))
+

@@ -48,7 +48,7 @@ def cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cooccurrence_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _cooccurring(spark, sf_dir)
-    return found.select("type_from", "type_to", *[F.round(c, 6).alias(c) for c in ("weight", "z", "p")])
+    return found.select("type_from", "type_to", F.round("weight", 6).alias("weight"), F.round("z", 5).alias("z"), F.round("p", 5).alias("p"))
 
 
 def _cooccurring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +60,7 @@ def _cooccurring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cooccurrence_significant(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges below a loose level: types are mixed at random in the tables, so few pairs keep together at 0.05."""
     found = niches.significant_edges(_cooccurring(spark, sf_dir), LOOSE)
-    return found.select("type_from", "type_to", F.round("p", 6).alias("p"), "degree")
+    return found.select("type_from", "type_to", F.round("p", 5).alias("p"), "degree")
 
 
 def node_abundance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -356,7 +356,7 @@ def _tested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def de_tested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-sided p of each contrast, adjusted within cell type and contrast."""
-    return _tested(spark, sf_dir).select("cell_type", "gene", "level_a", "level_b", "wald", F.round("p", 6).alias("p"), F.round("p_adj", 5).alias("p_adj"))
+    return _tested(spark, sf_dir).select("cell_type", "gene", "level_a", "level_b", "wald", F.round("p", 5).alias("p"), F.round("p_adj", 4).alias("p_adj"))
 
 
 def two_stage_top_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -372,7 +372,7 @@ def de_second_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = expression.stratified_ratios(_rna(spark, sf_dir), domain.cells(spark, sf_dir), top, "cell_type", "timepoint", "fov")
     z = found.withColumn("p", F.least(F.lit(1.0), 2 * normal_upper_col(F.abs(F.col("estimate") / F.col("se")))))
     adjusted = qc.adjusted(z, "p", ["cell_type", "gene"], "level_a")
-    return adjusted.select("cell_type", "gene", "level_a", "level_b", "n_strata", *[F.round(c, 6).alias(c) for c in ("estimate", "se")], F.round("p", 5).alias("p"), F.round("p_adj", 5).alias("p_adj"))
+    return adjusted.select("cell_type", "gene", "level_a", "level_b", "n_strata", *[F.round(c, 6).alias(c) for c in ("estimate", "se")], F.round("p", 5).alias("p"), F.round("p_adj", 4).alias("p_adj"))
 
 
 def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -613,8 +613,8 @@ _ANCHORS = _TYPING + """, good AS (SELECT cell_id, cell_type, cosine, round((sco
 _GROUP = "fixed_effect, direction, cell_type"
 SQL = {
     "cooccurrence": _PROFILE + "SELECT a.cell_type AS type_from, b.cell_type AS type_to, round(sum(a.v * b.v), 7) AS weight FROM share a JOIN share b ON a.cell_id = b.cell_id GROUP BY 1, 2",
-    "cooccurrence_permutation": _COOCCURRING + "SELECT type_from, type_to, round(weight, 6) AS weight, round(z, 6) AS z, round(p, 6) AS p FROM co",
-    "cooccurrence_significant": _COOCCURRING + f"SELECT type_from, type_to, round(p, 6) AS p, count(*) OVER (PARTITION BY type_from) AS degree FROM co WHERE p < {LOOSE}",
+    "cooccurrence_permutation": _COOCCURRING + "SELECT type_from, type_to, round(weight, 6) AS weight, round(z, 5) AS z, round(p, 5) AS p FROM co",
+    "cooccurrence_significant": _COOCCURRING + f"SELECT type_from, type_to, round(p, 5) AS p, count(*) OVER (PARTITION BY type_from) AS degree FROM co WHERE p < {LOOSE}",
     "node_abundance": _PROFILE + "SELECT cell_type, round(sum(n) * 100.0::DOUBLE / sum(sum(n)) OVER (), 8) AS abundance FROM profile GROUP BY 1",
     "gcross_rs": _CURVES + "SELECT fov, type_i, type_j, r, n_i, round(g, 8) AS g FROM curves",
     "kcross_border": _CURVES + "SELECT fov, type_i, type_j, r, round(k, 3) AS k FROM curves",
@@ -680,8 +680,8 @@ SQL = {
         ), placed AS (SELECT *, (rank() OVER (PARTITION BY cell_type ORDER BY other_total) + (count(*) OVER (PARTITION BY cell_type, other_total) - 1) / 2.0::DOUBLE - 0.375::DOUBLE) / (count(*) OVER (PARTITION BY cell_type) + 0.25::DOUBLE) AS p FROM tot)
         SELECT cell_id, cell_type, other_total, round({normal_quantile("p")}, 6) AS rank_norm FROM placed""",
     "quasi_poisson_de": _MODEL + "SELECT * FROM de",
-    "de_tested": _TESTED_DE + "SELECT cell_type, gene, level_a, level_b, wald, round(p, 6) AS p, round(p_adj, 5) AS p_adj FROM tested",
-    "de_second_stage": _SECOND + "SELECT cell_type, gene, level_a, level_b, n_strata, round(estimate, 6) AS estimate, round(se, 6) AS se, round(p, 5) AS p, round(p_adj, 5) AS p_adj FROM adjusted",
+    "de_tested": _TESTED_DE + "SELECT cell_type, gene, level_a, level_b, wald, round(p, 5) AS p, round(p_adj, 4) AS p_adj FROM tested",
+    "de_second_stage": _SECOND + "SELECT cell_type, gene, level_a, level_b, n_strata, round(estimate, 6) AS estimate, round(se, 6) AS se, round(p, 5) AS p, round(p_adj, 4) AS p_adj FROM adjusted",
     "two_stage_top_genes": _MODEL
     + """SELECT cell_type, gene, level_a, level_b, abs(wald) AS strength, place FROM (SELECT *, row_number() OVER (PARTITION BY cell_type ORDER BY abs(wald) DESC, gene, level_a, level_b)::INT AS place FROM de) WHERE place <= 100""",
     "gsea_running_sum": _GSEA + f"SELECT {_GROUP}, gs_name, size, es FROM es8",

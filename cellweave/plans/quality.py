@@ -118,7 +118,7 @@ def _tested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def target_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tested(spark, sf_dir).select("gene", F.round("p", 6).alias("p"), F.round("p_adj", 5).alias("p_adj"), "flag_detection", "flag_both")
+    return _tested(spark, sf_dir).select("gene", F.round("p", 5).alias("p"), F.round("p_adj", 4).alias("p_adj"), "flag_detection", "flag_both")
 
 
 def norm_counts_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -384,7 +384,7 @@ SQL = {
     "neg_probe_outliers": _TOTALS
     + f"""SELECT gene, round(m.mean, 8) AS mean, round(p10, 6) AS p, p10 < {LIMITS.negative_alpha} AND m.mean = CASE WHEN highest - g.mean >= g.mean - lowest THEN highest ELSE lowest END AS outlier
         FROM moments m, ({_grubbs('mean', "(SELECT mean FROM moments WHERE assay = 'negative')")}) g WHERE assay = 'negative'""",
-    "target_detection": _TOTALS + _DETECTION + "SELECT gene, round(p, 6) AS p, round(p_adj, 5) AS p_adj, flag_detection, flag_detection AND flag_below AS flag_both FROM tested",
+    "target_detection": _TOTALS + _DETECTION + "SELECT gene, round(p, 5) AS p, round(p_adj, 4) AS p_adj, flag_detection, flag_detection AND flag_below AS flag_both FROM tested",
     "gene_moments": _TOTALS + "SELECT gene, assay, n_cells, round(mean, 8) AS mean, round(sd, 6) AS sd FROM moments",
     "probe_means": _TOTALS + "SELECT gene, round(mean, 8) AS mean FROM moments WHERE assay = 'negative'",
     "neg_probe_extreme": _TOTALS

@@ -101,7 +101,7 @@ def _fingerprints(words_of, table: dict[str, str], gram: int, shared: int, bits:
         for batch in batches:
             raw = batch.column(1).to_pylist()
             plain.prepare(t for t in raw if t)
-            texts = [words_of(t, plain) if t else [] for t in raw]
+            texts = [words_of(t, plain.apply) if t else [] for t in raw]
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
             hashes = np.fromiter((cache[w] for t in texts for w in t), np.uint64, int(sizes.sum()))
             kept, h = winnow(hashes, sizes, gram, window)

@@ -153,8 +153,8 @@ class Rewriter:
     """Rewrites texts by a table, from left to right, longest pattern first, and composes them.
 
     The automaton searches the children of a node one by one, so it holds only patterns whose characters have occurred; `prepare`
-    brings in those of many texts at once, before they are rewritten. Where patterns are made of other than ASCII characters, after at most one of
-    these, it is run on the stretches of a text that can hold one, and the rest is skipped.
+    brings in those of many texts at once, and `apply` rewrites a text that is among them. A call does both for one text. Unless a pattern is ASCII
+    alone, the automaton is run on the stretches of a text that can hold a pattern, and the rest is skipped.
     """
 
     def __init__(self, table: dict[str, str]):
@@ -163,11 +163,15 @@ class Rewriter:
         self.special = {c for p in table for c in p if self.ascii_too or not c.isascii()}
         self.known: set[str] = set()
         self.automaton: ahocorasick.Automaton | None = None
-        self.by_stretch = not any(c.isascii() for p in table for c in p[1:]) and not self.ascii_too
+        runs = [[len(r) for r in re.split("[^\x00-\x7f]+", p)] for p in table] if not self.ascii_too else []
+        self.lead, self.trail = max((r[0] for r in runs), default=0), max((r[-1] for r in runs), default=0)
+        self.inner = max([self.lead + self.trail, *(n for r in runs for n in r[1:-1])])  # nearer stretches are one
         self.stretches: re.Pattern | None = None
 
     def prepare(self, texts: Iterable[str]) -> None:
-        fresh = set().union(*(set(t) for t in texts if self.ascii_too or not t.isascii())) & self.special - self.known
+        whole = "".join(t for t in texts if self.ascii_too or not t.isascii())
+        seen = np.flatnonzero(np.bincount(np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)))
+        fresh = {chr(c) for c in seen} & self.special - self.known
         if not fresh:
             return
         self.known |= fresh
@@ -179,17 +183,34 @@ class Rewriter:
         if len(made):
             made.make_automaton()
             self.automaton = made
-        if self.by_stretch:
-            self.stretches = re.compile("[\x00-\x7f]?[" + "".join(map(re.escape, sorted(self.known))) + "]+")
+        if not self.ascii_too:
+            self.stretches = re.compile("[" + "".join(map(re.escape, sorted(self.known))) + "]+")
 
     def __call__(self, text: str) -> str:
+        self.prepare([text])
+        return self.apply(text)
+
+    def apply(self, text: str) -> str:
         if text.isascii() and not self.ascii_too:
             return text
-        self.prepare([text])
         if self.automaton is None:
             return unicodedata.normalize("NFC", text)
-        made = self._run(text) if self.stretches is None else self.stretches.sub(lambda m: self._run(m.group()), text)
-        return unicodedata.normalize("NFC", made)
+        if self.stretches is None:
+            return unicodedata.normalize("NFC", self._run(text))
+        made, at, begin, end = [], 0, 0, -1
+        for found in self.stretches.finditer(text):
+            first, last = found.span()
+            if end >= 0 and first - end > self.inner:
+                made += [text[at:begin], self._run(text[begin : end + self.trail])]
+                at, end = end + self.trail, -1
+            if end < 0:
+                begin = max(at, first - self.lead)
+            end = last
+        if end >= 0:
+            made += [text[at:begin], self._run(text[begin : end + self.trail])]
+            at = end + self.trail
+        made.append(text[at:])
+        return unicodedata.normalize("NFC", "".join(made))
 
     def _run(self, text: str) -> str:
         made, at = [], 0
@@ -253,7 +274,7 @@ def consistent_texts(texts: DataFrame, doc_id: str, text: str) -> DataFrame:
         for batch in batches:
             old = batch.column(1).to_pylist()
             rewrite.prepare(t for t in old if t)
-            new = [None if t is None else rewrite(t) for t in old]
+            new = [None if t is None else rewrite.apply(t) for t in old]
             changed = [a is not None and a != b for a, b in zip(old, new, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.string()), pa.array(changed)], names=batch.schema.names + ["changed"])
 
@@ -278,7 +299,7 @@ def text_forms(texts: DataFrame, doc_id: str, text: str) -> DataFrame:
             rewrite.prepare(texts)
             for t in texts:
                 own.append(digest(t))
-                made = rewrite(t)
+                made = rewrite.apply(t)
                 form.append(own[-1] if made is t else digest(made))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(form, pa.binary()), pa.array(own, pa.binary())], names=["doc_id", "form", "own"])
 

@@ -1,11 +1,16 @@
+import csv
 import datetime as dt
 import itertools
+import json
 import random
+import re
 
+import duckdb
 import pytest
 
 from cellweave.functions import levels
 from cellweave.operators import drift
+from cellweave.plans import problems
 from tests.helpers import rows
 
 RAW = "record_id long, stream_name string, file_name string, file_format string, delivered_at timestamp_ntz, line_no int, raw_line string, names string, head int"
@@ -199,3 +204,59 @@ def test_lines_that_come_several_times(spark):
     one = (1, "s", "a", "csv", None, 2, "1,x", "x", 0)
     lines = [one, one, (2, *one[1:]), (3, *one[1:6], "2,y", "x", 0), (4, *one[1:6], "", "x", 0), (5, *one[1:5], 1, "fov,n", "x", 0), (0, *one[1:5], None, "3,z", "x", 0)]
     assert sorted((r.record_id, r.line_no) for r in drift.distinct_lines(spark.createDataFrame(lines, RAW)).collect()) == [(0, None), (1, 2), (5, 1)]
+
+
+def stated_changes(records, names):
+    """The changes between neighbouring files as the problem states them, file by file in plain Python."""
+    known = {n.strip().lower(): f for f, n in names}
+    files = {}
+    for stream, name, kind, at, line_no, line in records:
+        files.setdefault((stream, at, name, kind), {})[line_no] = line
+    clean = lambda n: n.strip("﻿ \"'\t").lower()
+
+    def kind_of(values):
+        values = [v.strip().strip('"').strip() for v in values if v is not None]
+        values = [v for v in values if v.lower() not in ("", "na", "n/a", "null", "nan")]
+        whole = [re.fullmatch(r"[+-]?\d+", v) for v in values]
+        number = [w or re.fullmatch(r"[+-]?(\d+\.\d*|\.?\d+)([eE][+-]?\d+)?", v) for w, v in zip(whole, values, strict=True)]
+        return None if not values else "integer" if all(whole) else "decimal" if all(number) else "text"
+
+    def fields(kind, lines):
+        kept = [line for _, line in sorted(lines.items()) if line and line.strip("﻿ \r\n") and not line.strip("﻿ ").startswith("#")]
+        columns = {}
+        if kind == "jsonl":
+            for line in kept:
+                for k, v in json.loads(line.strip("﻿"), parse_float=str, parse_int=str).items():
+                    columns.setdefault(clean(k), []).append(v)
+        elif kept:
+            mark = max(",;|\t", key=lambda c: re.sub(r'"[^"]*"', "", kept[0]).count(c))
+            head, *body = csv.reader([line.strip("﻿\r\n") for line in kept], delimiter=mark, skipinitialspace=True)
+            for i, n in enumerate(head):
+                columns[clean(n)] = [row[i] if i < len(row) else None for row in body]
+        found = {}
+        for n, values in columns.items():
+            at = found.setdefault(known.get(n, n), [set(), []])
+            at[0].add(n)
+            at[1].extend(values)
+        return {f: (ns, kind_of(vs)) for f, (ns, vs) in found.items()}
+
+    out, before = set(), {}
+    for (stream, _, name, kind), lines in sorted(files.items(), key=lambda f: f[0][:3]):
+        now = fields(kind, lines)
+        if stream in before:
+            then = before[stream]
+            out |= {(name, f, "added") for f in now.keys() - then.keys()} | {(name, f, "removed") for f in then.keys() - now.keys()}
+            for f in now.keys() & then.keys():
+                out |= {(name, f, "renamed")} if not now[f][0] & then[f][0] else set()
+                out |= {(name, f, "retyped")} if now[f][1] and then[f][1] and now[f][1] != then[f][1] else set()
+        before[stream] = now
+    return out
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+def test_found_against_the_statement(spark, scale):
+    data = f"/root/testdata/{scale}"
+    records = duckdb.sql(f"SELECT stream_name, file_name, file_format, delivered_at, line_no, raw_line FROM '{data}/raw_records.parquet' ORDER BY record_id DESC").fetchall()
+    names = duckdb.sql(f"SELECT field_name, known_name FROM '{data}/field_names.parquet'").fetchall()
+    wanted = stated_changes(records, names)
+    assert rows(problems.p5_found(spark, data)) == wanted and wanted

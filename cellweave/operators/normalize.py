@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.levels import few
+
 
 def normalized_counts(counts: DataFrame, min_counts: int, axis: str = "cell") -> DataFrame:
     """counts with norm = count / max(total, min_counts); the total is that of the cell, or with axis='gene' of the gene."""
@@ -51,21 +53,33 @@ def z_scores(counts: DataFrame, moments: DataFrame, value: str = "count", clip:
     return counts.join(moments.select("gene", "mean", "sd"), "gene").select("cell_id", "gene", z.alias("z"), (-F.col("mean") / F.when(F.col("sd") > 0, F.col("sd"))).alias("z_zero"))
 
 
-def variable_features(counts: DataFrame, moments: DataFrame, n: int) -> DataFrame:
+def local_fit(x: np.ndarray, y: np.ndarray, span: float = 0.3) -> np.ndarray:
+    """Local quadratic regression of y on x at each x: the nearest `span` of the points, weighted by the tricube of their distance (Cleveland 1979)."""
+    n = len(x)
+    q = min(n, max(4, int(np.ceil(span * n))))
+    fitted = np.empty(n)
+    for i in range(n):
+        far = np.abs(x - x[i])
+        near = np.argpartition(far, q - 1)[:q]
+        width = far[near].max()
+        w = np.sqrt(np.maximum(1 - (far[near] / width) ** 3, 0) ** 3) if width > 0 else np.ones(q)
+        d = x[near] - x[i]
+        fitted[i] = np.linalg.lstsq(np.stack([w, w * d, w * d * d], axis=1), w * y[near], rcond=None)[0][0]
+    return fitted
+
+
+def variable_features(counts: DataFrame, moments: DataFrame, n: int, span: float = 0.3) -> DataFrame:
     """(gene, standardized, rank): the n genes whose variance most exceeds what their mean lets expect.
 
-    log10 variance is fitted on log10 mean by a parabola (for a local regression); values are standardized by
-    the fitted sd, clipped at the root of the number of cells, and the variance of these is ranked. The sums of the fit are the only rows that
-    reach the driver.
+    log10 variance is fitted on log10 mean by a local regression; values are standardized by
+    the fitted sd, clipped at the root of the number of cells, and the variance of these is ranked. The fit is made on the driver from one row per
+    gene of the panel; more genes than a factor may have levels are refused.
     """
     m = moments.where((F.col("mean") > 0) & (F.col("sd") > 0)).withColumns({"lx": F.log10("mean"), "ly": F.log10(F.pow("sd", F.lit(2)))})
-    sums = m.agg(*[F.sum(F.pow("lx", F.lit(i))).alias(f"x{i}") for i in range(5)], *[F.sum(F.pow("lx", F.lit(i)) * F.col("ly")).alias(f"y{i}") for i in range(3)]).first()
-    if not sums["x0"]:
-        return m.select("gene", F.lit(None).cast("double").alias("standardized"), F.lit(1).alias("rank")).limit(0)
-    a = np.array([[sums[f"x{i + j}"] for j in range(3)] for i in range(3)])
-    fit = np.linalg.lstsq(a, np.array([sums[f"y{i}"] for i in range(3)]), rcond=None)[0]
-    expected = F.sqrt(F.pow(F.lit(10.0), F.lit(float(fit[0])) + F.col("lx") * float(fit[1]) + F.col("lx") * F.col("lx") * float(fit[2])))
-    m = m.withColumn("expected", expected).select("gene", "n_cells", "mean", "expected")
+    rows = sorted(few(m.select("gene", "lx", "ly")), key=lambda r: r["gene"])
+    fitted = local_fit(np.array([r["lx"] for r in rows]), np.array([r["ly"] for r in rows]), span) if rows else []
+    expected = moments.sparkSession.createDataFrame([(r["gene"], float(10 ** (f / 2))) for r, f in zip(rows, fitted, strict=True)], "gene string, expected double")
+    m = m.join(expected, "gene").select("gene", "n_cells", "mean", "expected")
     top = F.sqrt(F.col("n_cells").cast("double"))
     z = F.least((F.col("count") - F.col("mean")) / F.col("expected"), top)
     zero = F.first(-F.col("mean") / F.col("expected"))

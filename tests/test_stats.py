@@ -1,9 +1,11 @@
 """Formulas on small hand-computed cases, and tails against published tables."""
 
 import math
+import random
 import statistics
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,3 +142,22 @@ def test_histogram_holds_every_value(spark):
     got = dict(rows(transcripts.histogram_bins(df, "v", 5)))
     assert got == {1: 2, 2: 2, 3: 2, 4: 2, 5: 3}
     assert rows(transcripts.histogram_bins(df.where("v = 3"), "v", 5)) == {(1, 1)}
+
+
+def test_local_fit():
+    x = np.linspace(-2, 2, 80)
+    np.testing.assert_allclose(normalize.local_fit(x, 1 + 2 * x - 0.5 * x * x), 1 + 2 * x - 0.5 * x * x, atol=1e-9)
+    bend = normalize.local_fit(x, np.abs(x), 0.2)
+    assert np.abs(bend - np.abs(x)).max() < 0.15 and abs(bend[0] - 2) < 0.02  # follows a bend that one parabola would miss
+    assert len(normalize.local_fit(np.array([]), np.array([]))) == 0
+    np.testing.assert_allclose(normalize.local_fit(np.ones(6), np.arange(6.0), 1.0), np.full(6, 2.5))
+
+
+def test_variable_genes_stand_out(spark):
+    rnd = random.Random(3)
+    counts = [(f"c{c}", f"g{g:03}", 1 + rnd.randint(0, 1 + g // 4)) for g in range(60) for c in range(40)]
+    counts = [(c, g, (40 if rnd.random() < 0.1 else 1) if g == "g030" else n) for c, g, n in counts]
+    df = spark.createDataFrame(counts, "cell_id string, gene string, count long")
+    moments = qc.gene_moments(df, df.select("gene", F.lit("RNA").alias("assay")).distinct(), 40)
+    assert normalize.variable_features(df, moments, 3).where("rank = 1").first().gene == "g030"
+    assert normalize.variable_features(df.limit(0), moments.limit(0), 3).count() == 0

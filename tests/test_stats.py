@@ -155,9 +155,9 @@ def test_local_fit():
 
 def test_variable_genes_stand_out(spark):
     rnd = random.Random(3)
-    counts = [(f"c{c}", f"g{g:03}", 1 + rnd.randint(0, 1 + g // 4)) for g in range(60) for c in range(40)]
-    counts = [(c, g, (40 if rnd.random() < 0.1 else 1) if g == "g030" else n) for c, g, n in counts]
+    counts = [(f"c{c}", f"g{g:03}", 1 + rnd.randint(0, 4 + g)) for g in range(60) for c in range(150)]
+    counts = [(c, g, (150 if rnd.random() < 0.1 else 1) if g == "g030" else n) for c, g, n in counts]
     df = spark.createDataFrame(counts, "cell_id string, gene string, count long")
-    moments = qc.gene_moments(df, df.select("gene", F.lit("RNA").alias("assay")).distinct(), 40)
+    moments = qc.gene_moments(df, df.select("gene", F.lit("RNA").alias("assay")).distinct(), 150)
     assert normalize.variable_features(df, moments, 3).where("rank = 1").first().gene == "g030"
     assert normalize.variable_features(df.limit(0), moments.limit(0), 3).count() == 0

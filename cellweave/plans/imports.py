@@ -19,6 +19,10 @@ from ..sources.tables import table
 from . import domain
 
 
+#: Texts keep their outer spaces and line ends; an empty text is no null, since nulls have a mark of their own.
+VERBATIM = {"lineSep": "\n", "nullValue": uuid.uuid4().hex, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def _folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}/{name}"
 
@@ -86,8 +90,8 @@ def csv_run_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_molecules(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _folder(spark, "molecules")
-    table(spark, sf_dir, "transcripts").select("fov", "cell_ID", "cell", "x_local_px", "y_local_px", "x_global_px", "y_global_px", "z", "target", "CellComp").write.option("header", True).csv(path)
-    return flatfiles.read_molecules(spark, path).groupBy("target", "CellComp").agg(
+    table(spark, sf_dir, "transcripts").select("fov", "cell_ID", "cell", "x_local_px", "y_local_px", "x_global_px", "y_global_px", "z", "target", "CellComp").write.option("header", True).options(**VERBATIM).csv(path)
+    return flatfiles.read_molecules(spark, path, multiLine=True, **VERBATIM).groupBy("target", "CellComp").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("cell").alias("n_cells"), F.min("x_local_px").alias("x_min"), F.max(F.nanvl("z", F.lit(None).cast("double"))).alias("z_max")
     )
 

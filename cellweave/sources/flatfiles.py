@@ -149,9 +149,9 @@ def with_additional(cells: DataFrame, extra: DataFrame, on: str) -> DataFrame:
     return cells.join(extra.select(fresh).dropDuplicates([on]), on, "left")
 
 
-def read_molecules(spark: SparkSession, path: str) -> DataFrame:
-    """Molecule files with declared types."""
-    return spark.read.option("header", True).schema(MOLECULES).csv(path)
+def read_molecules(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Molecule files with declared types; `options` are those of Spark's CSV reader (multiLine for texts with line ends, a file is then one task)."""
+    return spark.read.option("header", True).options(**options).schema(MOLECULES).csv(path)
 
 
 def read_profiles(spark: SparkSession, path: str) -> DataFrame:

@@ -5,7 +5,7 @@ from cellweave import config, streaming
 from cellweave.functions.scratch import checkpoint_dir, cut, saved
 from cellweave.operators import qc
 from cellweave.operators.qc import Limits
-from cellweave.plans import pipeline
+from cellweave.plans import imports, pipeline
 from cellweave.sources import flatfiles
 from tests.helpers import rows
 
@@ -166,3 +166,11 @@ def test_negative_outliers(spark):
 def test_settings_are_dumped(tmp_path):
     config.dumped({"min_counts_per_cell": 5, "filter_cells": True}, str(tmp_path / "qc.yaml"))
     assert dict(config.load(str(tmp_path / "qc.yaml")).values) == {"min_counts_per_cell": 5, "filter_cells": True}
+
+
+def test_csv_molecules_keeps_odd_texts(spark, tmp_path):
+    texts = ["plain", " lead", "trail ", "a,b", 'q"x', "b,back\\", "new\nline", "cr\rx", "\ttab", " ", "", None]
+    held = [("1", "1", f"c_{t}", float("nan") if i % 2 else -1.5, 1.0, 1.0, 1.0, 0.5, t, t) for i, t in enumerate(texts)]
+    spark.createDataFrame(held, flatfiles.MOLECULES).coalesce(1).write.parquet(f"{tmp_path}/transcripts.parquet")
+    found = imports.csv_molecules(spark, str(tmp_path)).withColumn("x_min", F.col("x_min").cast("string"))
+    assert rows(found) == {(t, t, 1, 1, "NaN" if i % 2 else "-1.5", 0.5) for i, t in enumerate(texts)}

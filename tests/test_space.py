@@ -3,10 +3,12 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from cellweave.functions import levels
+from cellweave.functions.mixing import GOLDEN, mixed
 from cellweave.operators import expression, fovqc, niches, patterns, spatial
 from cellweave.plans import biology, domain, space
 from tests.helpers import rows
@@ -233,6 +235,31 @@ def test_envelope_over_radii_and_numbers_of_simulations(spark):
     assert biology.ENVELOPES >= 199 and biology.LABELS >= 999 and biology.PERMUTATIONS >= 1000
 
 
+def test_envelope_against_each_simulation(spark, monkeypatch):
+    rnd = random.Random(11)
+    made = [(f, f"{f}{i:02}", rnd.uniform(0, 30), rnd.uniform(0, 30), rnd.choice(["A", "A", "B", "C", None]), 1.0) for f in "fg" for i in range(50)]
+    df, radii, sims = cells(spark, made), [2.0, 4.0, 8.0], 7
+    frame, edges = patterns.framed(df, "fov", "cell_type"), spatial.radius_edges(df, "fov", "cell_id", 8.0)
+    hashes = {r[0]: r[1] for r in frame.select("cell_id", F.xxhash64("cell_id", F.lit(3))).collect()}
+    near, wanted = edges.select("src", "dst", "dist").collect(), {}
+    for f in "fg":
+        own = sorted((r.cell_id, r.kind, r.border) for r in frame.where(F.col("fov") == f).collect())
+        border = {c: b for c, _, b in own}
+        for sim in range(1, sims + 1):
+            state = np.array([hashes[c] for c, _, _ in own], np.int64).view(np.uint64) + np.array([sim], np.uint64) * GOLDEN
+            dealt = dict(zip([own[i][0] for i in np.argsort(mixed(state))], [k for _, k, _ in own], strict=True))
+            for r in radii:
+                met = {(e.src, dealt[e.dst]) for e in near if e.src in dealt and e.dst in dealt and e.dist <= r}
+                for i in set(dealt.values()):
+                    inner = [c for c in dealt if dealt[c] == i and border[c] >= r]
+                    for j in set(dealt.values()) if inner else ():
+                        wanted.setdefault((f, i, j, r), []).append(sum((c, j) in met for c in inner) / len(inner))
+    wanted = {(*k, min(v), max(v)) for k, v in wanted.items()}
+    assert rows(patterns.envelope(edges, frame, "fov", radii, sims, 3)) == wanted
+    monkeypatch.setattr(patterns, "DEALT", 15)  # several tasks a window
+    assert rows(patterns.envelope(edges, frame, "fov", radii, sims, 3)) == wanted
+
+
 def test_enrichment_against_a_walk(spark):
     rnd = random.Random(8)
     stats = {f"g{i}": round(rnd.gauss(0, 1), 3) for i in range(40)}

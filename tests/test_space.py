@@ -321,6 +321,36 @@ def test_gap_statistic_finds_three_groups(spark):
     assert niches.gap_statistic(spark.createDataFrame([], "cell_id string, v array<double>"), "cell_id", [1, 2], 3).count() == 0
 
 
+def test_gap_statistic_against_plain_k_means(spark):
+    rnd = random.Random(12)
+    apart = [(f"c{i}", [rnd.gauss(m, 1.0), rnd.gauss(-m, 1.0), 7.0]) for i, m in enumerate([0, 6] * 60)]
+    even = [(f"c{i}", [float(i % 3)]) for i in range(30)]  # 1 is as near to 0 as to 2
+    for made, ks, references, steps in ((apart, [1, 2, 4], 5, 4), (even, [1, 2, 3], 2, 3)):
+        df = spark.createDataFrame(made, "cell_id string, v array<double>")
+        hashed = {r[0]: r[1] for r in df.select("cell_id", F.xxhash64("cell_id", F.lit(1))).collect()}
+        starts = [r[0] for r in df.select("v").distinct().orderBy(F.xxhash64("v", F.lit(1))).limit(max(ks)).collect()]
+        x = np.array([v for _, v in made])
+        low, high, d = x.min(axis=0), x.max(axis=0), x.shape[1]
+        state = np.array([hashed[c] for c, _ in made], np.int64).view(np.uint64)[:, None]
+        seeds = np.random.default_rng(1).uniform(low, high, (references + 1, max(ks), d))
+        seeds[0, : len(starts)] = starts
+        log = np.zeros((references + 1, len(ks)))
+        for b in range(references + 1):
+            turns = np.arange((b - 1) * d + 1, b * d + 1).astype(np.uint64) * GOLDEN
+            y = x if b == 0 else low + (mixed(state + turns) >> np.uint64(32)) * ((high - low) / 2.0**32)
+            for j, k in enumerate(ks):
+                centers = seeds[b, :k].copy()
+                for step in range(steps + 1):
+                    far = -2 * y @ centers.T + (centers * centers).sum(axis=1)
+                    own = far.argmin(axis=1)
+                    log[b, j] = np.log(max(1e-12, np.maximum(far.min(axis=1) + (y * y).sum(axis=1), 0).sum()))
+                    for c in set(own) if step < steps else ():
+                        centers[c] = y[own == c].mean(axis=0)
+        found = niches.gap_statistic(df.repartition(3), "cell_id", ks, references, steps).orderBy("k").collect()
+        assert [r.gap for r in found] == pytest.approx(list(log[1:].mean(axis=0) - log[0]), abs=1e-8)
+        assert [r.se for r in found] == pytest.approx(list(log[1:].std(axis=0) * math.sqrt(1 + 1 / references)), abs=1e-8)
+
+
 def test_clusters_within_groups(spark):
     rnd = random.Random(7)
     made = [(g, f"{g}{i}", [m + rnd.gauss(0, 0.1), 5.0]) for g, shift in (("p", 0), ("q", 100)) for i, m in enumerate([shift, shift + 9] * 20)] + [("tiny", "t", [1.0, 1.0])]
